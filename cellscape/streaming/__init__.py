@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The analysed workload is a single batch run over one count matrix: it has no
+streams, watermarks, windows over event time or stateful operators.  This package
+is intentionally empty so that nothing is offered that the workload does not do.
+"""
