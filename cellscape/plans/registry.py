@@ -149,3 +149,88 @@ SELECT n_before, n_after, n_before - n_after AS n_removed FROM (
 def q_qc_filter_report(spark, sf_dir):
     cq = qc.cell_qc_metrics(f2(spark, sf_dir))
     return qc.qc_filter_report(cq, F2_QC)
+
+
+# ----------------------------------------------------------------------------- transforms (F1)
+
+from cellscape.operators import transform as T  # noqa: E402
+
+F1_TOP = 50
+
+
+def f1_lognorm(spark, sf_dir):
+    return T.normalize_log(f1(spark, sf_dir))
+
+
+def f1_hvg(spark, sf_dir):
+    m = f1_lognorm(spark, sf_dir)
+    return m, T.hvg_dispersion(m, n_top_genes=F1_TOP)
+
+
+@register("normalize_total", f"""
+WITH {S.F1}, {S.lognorm('f1')}
+SELECT cell_id, gene_id, {S.R('y')} AS value FROM f1_norm
+""")
+def q_normalize_total(spark, sf_dir):
+    e = T.normalize_total(f1(spark, sf_dir)).expr
+    return e.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+@register("log1p_transform", f"""
+WITH {S.F1}, {S.lognorm('f1')}
+SELECT cell_id, gene_id, {S.R('x')} AS value FROM f1_ln
+""")
+def q_log1p_transform(spark, sf_dir):
+    e = f1_lognorm(spark, sf_dir).expr
+    return e.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+@register("hvg_dispersion", f"""
+WITH {S.F1}, {S.lognorm('f1')}, {S.hvg('f1', F1_TOP)}
+SELECT gene_id, {S.R('means')} AS means, {S.R('dispersions')} AS dispersions, mean_bin,
+       {S.R('zn')} AS dispersions_norm, highly_variable
+FROM f1_hvg
+""")
+def q_hvg_dispersion(spark, sf_dir):
+    _, h = f1_hvg(spark, sf_dir)
+    return h.select(
+        "gene_id", r6("means").alias("means"), r6("dispersions").alias("dispersions"), "mean_bin",
+        r6("dispersions_norm").alias("dispersions_norm"), "highly_variable",
+    )
+
+
+@register("hvg_scatter", f"""
+WITH {S.F1}, {S.lognorm('f1')}, {S.hvg('f1', F1_TOP)}
+SELECT h.gene_id, p.p_name AS gene_name, {S.R('h.means')} AS mean, {S.R('h.dispersions')} AS dispersion,
+       {S.R('h.zn')} AS dispersion_norm, h.highly_variable
+FROM f1_hvg h JOIN part p ON p.p_partkey = h.gene_id
+""")
+def q_hvg_scatter(spark, sf_dir):
+    m, h = f1_hvg(spark, sf_dir)
+    return h.join(m.genes.select("gene_id", "gene_name"), "gene_id").select(
+        "gene_id", "gene_name", r6("means").alias("mean"), r6("dispersions").alias("dispersion"),
+        r6("dispersions_norm").alias("dispersion_norm"), "highly_variable",
+    )
+
+
+@register("subset_hvg", f"""
+WITH {S.F1}, {S.lognorm('f1')}, {S.hvg('f1', F1_TOP)}
+SELECT l.cell_id, l.gene_id, {S.R('l.x')} AS value
+FROM f1_ln l JOIN f1_hvg h ON h.gene_id = l.gene_id WHERE h.highly_variable
+""")
+def q_subset_hvg(spark, sf_dir):
+    m, h = f1_hvg(spark, sf_dir)
+    e = T.subset_hvg(m, h).expr
+    return e.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+@register("scale_clip", f"""
+WITH {S.F1}, {S.lognorm('f1')}, {S.hvg('f1', F1_TOP)}, {S.scaled('f1')}
+SELECT cell_id, gene_id, {S.R('z')} AS value FROM f1_sc
+""")
+def q_scale_clip(spark, sf_dir):
+    m, h = f1_hvg(spark, sf_dir)
+    sub = T.subset_hvg(m, h)
+    vec = T.scale_clip(sub)
+    out = T.vectors_to_long(vec, T.gene_order(sub.genes))
+    return out.select("cell_id", "gene_id", r6("value").alias("value"))

@@ -48,3 +48,75 @@ def cell_qc(prefix: str) -> str:
     FROM {prefix}_expr e JOIN {prefix}_genes g ON e.gene_id = g.gene_id
     GROUP BY e.cell_id) a ON a.cell_id = c.cell_id)
 """
+
+
+def lognorm(prefix: str, target: float = 1e4) -> str:
+    """T1 + T2 over a fixture: ``{prefix}_ln(cell_id, gene_id, x)``."""
+    return f"""
+{prefix}_tot AS (SELECT cell_id, sum(value) AS tot FROM {prefix}_expr GROUP BY cell_id),
+{prefix}_norm AS (
+  SELECT e.cell_id, e.gene_id,
+         CASE WHEN t.tot = 0 THEN e.value ELSE e.value * {target!r} / t.tot END AS y
+  FROM {prefix}_expr e JOIN {prefix}_tot t ON t.cell_id = e.cell_id),
+{prefix}_ln AS (SELECT cell_id, gene_id, ln(1 + y) AS x FROM {prefix}_norm),
+{prefix}_n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {prefix}_cells)
+"""
+
+
+def zero_aware_stats(prefix: str, src: str, val: str, out: str) -> str:
+    """Per gene nnz, mean, sample variance over all cells (zeros implicit), all genes."""
+    return f"""
+{out}_nz AS (SELECT gene_id, count(*) AS nnz, avg({val}) AS mnz, var_pop({val}) AS vnz FROM {src} GROUP BY gene_id),
+{out} AS (
+  SELECT g.gene_id, coalesce(s.nnz, 0) AS nnz,
+         coalesce(s.mnz * s.nnz / n.n, 0.0) AS mean,
+         coalesce((s.vnz * s.nnz + s.mnz * s.mnz * s.nnz * (n.n - s.nnz) / n.n) / (n.n - 1.0), 0.0) AS var
+  FROM {prefix}_genes g CROSS JOIN {prefix}_n n LEFT JOIN {out}_nz s ON s.gene_id = g.gene_id)
+"""
+
+
+def hvg(prefix: str, n_top: int, n_bins: int = 20) -> str:
+    """T3 over ``{prefix}_ln``: ``{prefix}_hvg(gene_id, means, dispersions, mean_bin, zn, highly_variable)``."""
+    return f"""
+{zero_aware_stats(prefix, prefix + '_ln', 'exp(x) - 1', prefix + '_hst')},
+{prefix}_h1 AS (
+  SELECT gene_id, ln(1 + CASE WHEN mean = 0 THEN 1e-12 ELSE mean END) AS means,
+         CASE WHEN var / (CASE WHEN mean = 0 THEN 1e-12 ELSE mean END) = 0 THEN NULL
+              ELSE ln(var / (CASE WHEN mean = 0 THEN 1e-12 ELSE mean END)) END AS dispersions
+  FROM {prefix}_hst),
+{prefix}_hmm AS (SELECT min(means) AS lo, max(means) AS hi FROM {prefix}_h1),
+{prefix}_h2 AS (
+  SELECT h.*, CASE WHEN m.hi = m.lo THEN 1
+                   ELSE greatest(1, CAST(ceil((h.means - m.lo) / ((m.hi - m.lo) / {float(n_bins)!r})) AS INTEGER)) END AS mean_bin
+  FROM {prefix}_h1 h CROSS JOIN {prefix}_hmm m),
+{prefix}_hb AS (
+  SELECT mean_bin, avg(dispersions) AS a, stddev_samp(dispersions) AS d, count(dispersions) AS nd
+  FROM {prefix}_h2 GROUP BY mean_bin),
+{prefix}_hz AS (
+  SELECT h.*, round((h.dispersions - CASE WHEN b.nd = 1 THEN 0.0 ELSE b.a END)
+                    / nullif(CASE WHEN b.nd = 1 THEN b.a ELSE b.d END, 0.0) * 1e9) / 1e9 AS zn
+  FROM {prefix}_h2 h JOIN {prefix}_hb b ON b.mean_bin = h.mean_bin),
+{prefix}_hcut AS (SELECT min(zn) AS c FROM (SELECT zn FROM {prefix}_hz WHERE zn IS NOT NULL ORDER BY zn DESC LIMIT {n_top})),
+{prefix}_hvg AS (
+  SELECT z.gene_id, z.means, z.dispersions, z.mean_bin, z.zn, coalesce(z.zn >= c.c, false) AS highly_variable
+  FROM {prefix}_hz z CROSS JOIN {prefix}_hcut c)
+"""
+
+
+def scaled(prefix: str, max_value: float = 10.0) -> str:
+    """T5 over HVGs of ``{prefix}_ln``: ``{prefix}_sc(cell_id, gene_id, z)`` for every cell x HVG."""
+    return f"""
+{prefix}_hv AS (SELECT gene_id FROM {prefix}_hvg WHERE highly_variable),
+{prefix}_lnh AS (SELECT l.* FROM {prefix}_ln l JOIN {prefix}_hv h ON h.gene_id = l.gene_id),
+{prefix}_msd0_nz AS (SELECT gene_id, count(*) AS nnz, avg(x) AS mnz, var_pop(x) AS vnz FROM {prefix}_lnh GROUP BY gene_id),
+{prefix}_msd AS (
+  SELECT h.gene_id, coalesce(s.mnz * s.nnz / n.n, 0.0) AS mean,
+         CASE WHEN coalesce(sqrt((s.vnz * s.nnz + s.mnz * s.mnz * s.nnz * (n.n - s.nnz) / n.n) / (n.n - 1.0)), 0.0) = 0 THEN 1.0
+              ELSE sqrt((s.vnz * s.nnz + s.mnz * s.mnz * s.nnz * (n.n - s.nnz) / n.n) / (n.n - 1.0)) END AS sd
+  FROM {prefix}_hv h CROSS JOIN {prefix}_n n LEFT JOIN {prefix}_msd0_nz s ON s.gene_id = h.gene_id),
+{prefix}_sc AS (
+  SELECT c.cell_id, m.gene_id,
+         greatest(-{max_value!r}, least({max_value!r}, (coalesce(l.x, 0.0) - m.mean) / m.sd)) AS z
+  FROM {prefix}_cells c CROSS JOIN {prefix}_msd m
+  LEFT JOIN {prefix}_lnh l ON l.cell_id = c.cell_id AND l.gene_id = m.gene_id)
+"""
