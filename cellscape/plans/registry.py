@@ -234,3 +234,206 @@ def q_scale_clip(spark, sf_dir):
     vec = T.scale_clip(sub)
     out = T.vectors_to_long(vec, T.gene_order(sub.genes))
     return out.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+# ----------------------------------------------------------------------------- labels & evaluation
+
+from cellscape.operators import evaluate as EV  # noqa: E402
+from cellscape.operators import labels as LB  # noqa: E402
+from cellscape.operators import neighbors as NB  # noqa: E402
+
+# Four fixed labellings of the vectors act as clustering configurations.
+F3_LABELLINGS = [
+    ("label", "label", "label"),
+    ("label", "label_mod5", "label % 5"),
+    ("label", "label_mod3", "label % 3"),
+    ("id", "vec_id_mod4", "cell_id % 4"),
+]
+
+
+def f3_vectors(spark, sf_dir):
+    return tables.vectors(spark, sf_dir)
+
+
+def f3_assignments(spark, sf_dir):
+    """One scan of the vectors, every labelling produced by one explode."""
+    v = tables.vectors(spark, sf_dir)
+    cfg = F.array(*[
+        F.struct(F.lit(m).alias("method"), F.lit(k).alias("cluster_key"), F.expr(e).cast("int").alias("cluster"))
+        for m, k, e in F3_LABELLINGS
+    ])
+    return v.select("cell_id", F.explode(cfg).alias("a")).select("cell_id", "a.method", "a.cluster_key", "a.cluster")
+
+
+def f3_ranked(spark, sf_dir):
+    ev = EV.evaluate_all(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    return EV.composite_score(ev)
+
+
+EVAL_COLS = ["method", "cluster_key", "n_clusters", "silhouette_score", "davies_bouldin_index",
+             "calinski_harabasz_index"]
+
+
+def _eval_select(df, with_composite=True):
+    cols = ["method", "cluster_key", "n_clusters"] + [
+        r6(c).alias(c) for c in EVAL_COLS[3:] + (["composite_score"] if with_composite else [])
+    ]
+    return df.select(*cols)
+
+
+def _eval_sql(src, with_composite=True):
+    extra = f", {S.R('composite_score')} AS composite_score" if with_composite else ""
+    return (f"SELECT method, cluster_key, n_clusters, {S.R('silhouette_score')} AS silhouette_score, "
+            f"{S.R('davies_bouldin_index')} AS davies_bouldin_index, "
+            f"{S.R('calinski_harabasz_index')} AS calinski_harabasz_index{extra} FROM {src}")
+
+
+@register("attach_labels", f"""
+WITH {S.F3} SELECT a.cell_id, a.cluster_key, a.cluster, f3.label FROM f3_asg a JOIN f3 ON f3.cell_id = a.cell_id
+""")
+def q_attach_labels(spark, sf_dir):
+    cells = f3_vectors(spark, sf_dir).select("cell_id", "label")
+    return LB.attach_labels(cells, f3_assignments(spark, sf_dir)).select("cell_id", "cluster_key", "cluster", "label")
+
+
+@register("cluster_counts", f"""
+WITH {S.F3} SELECT cluster_key, count(DISTINCT cluster) AS n_clusters FROM f3_asg GROUP BY cluster_key
+""")
+def q_cluster_counts(spark, sf_dir):
+    return LB.cluster_counts(f3_assignments(spark, sf_dir))
+
+
+@register("cluster_sizes", f"""
+WITH {S.F3} SELECT cluster_key, cluster, count(*) AS size FROM f3_asg GROUP BY cluster_key, cluster
+""")
+def q_cluster_sizes(spark, sf_dir):
+    return LB.cluster_sizes(f3_assignments(spark, sf_dir))
+
+
+@register("cluster_centroids", f"""
+WITH {S.F3}
+SELECT c.cluster_key, c.cluster, CAST(c.i - 1 AS INTEGER) AS dim, {S.R('c.c')} AS value, z.size
+FROM f3_cen c JOIN f3_sz z ON z.cluster_key = c.cluster_key AND z.cluster = c.cluster
+""")
+def q_cluster_centroids(spark, sf_dir):
+    lab = LB.with_labels(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    c = LB.cluster_centroids(lab)
+    return c.select("cluster_key", "cluster", "size", F.posexplode("centroid").alias("dim", "value")).select(
+        "cluster_key", "cluster", F.col("dim").cast("int").alias("dim"), r6("value").alias("value"), "size"
+    )
+
+
+@register("relabel_by_size", f"""
+WITH {S.F3}
+SELECT cluster_key, cluster, size,
+       CAST(row_number() OVER (PARTITION BY cluster_key ORDER BY size DESC, first_id) - 1 AS INTEGER) AS new_cluster
+FROM (SELECT cluster_key, cluster, count(*) AS size, min(cell_id) AS first_id FROM f3_asg GROUP BY cluster_key, cluster)
+""")
+def q_relabel_by_size(spark, sf_dir):
+    return LB.relabel_by_size(f3_assignments(spark, sf_dir))
+
+
+def _truth_pred(spark, sf_dir):
+    v = f3_vectors(spark, sf_dir)
+    truth = v.select("cell_id", F.col("label").cast("string").alias("label"))
+    pred = v.select("cell_id", (F.col("cell_id") % 4).cast("string").alias("label"))
+    return truth, pred
+
+
+CONF_SQL = """
+tp AS (SELECT vec_id AS cell_id, CAST(label AS VARCHAR) AS truth, CAST(vec_id % 4 AS VARCHAR) AS pred FROM embeddings),
+cnt AS (SELECT truth, pred, count(*) AS n FROM tp GROUP BY truth, pred),
+grid AS (SELECT t.truth, p.pred FROM (SELECT DISTINCT truth FROM tp) t CROSS JOIN (SELECT DISTINCT pred FROM tp) p),
+conf AS (SELECT g.truth, g.pred, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM grid g LEFT JOIN cnt c
+         ON c.truth = g.truth AND c.pred = g.pred)
+"""
+
+
+@register("confusion_counts", f"WITH {CONF_SQL} SELECT truth, pred, n FROM conf")
+def q_confusion_counts(spark, sf_dir):
+    return LB.confusion_counts(*_truth_pred(spark, sf_dir))
+
+
+@register("cluster_purity", f"""
+WITH {CONF_SQL}
+SELECT c.truth, c.pred, c.n, {S.R('c.n / greatest(t.tot, 1)')} AS fraction
+FROM conf c JOIN (SELECT truth, sum(n) AS tot FROM conf GROUP BY truth) t ON t.truth = c.truth
+""")
+def q_cluster_purity(spark, sf_dir):
+    p = LB.cluster_purity(LB.confusion_counts(*_truth_pred(spark, sf_dir)))
+    return p.select("truth", "pred", "n", r6("fraction").alias("fraction"))
+
+
+@register("kmeans_inertia", f"""
+WITH {S.F3} SELECT cluster_key, {S.R('sum(w)')} AS inertia FROM f3_pcl GROUP BY cluster_key
+""")
+def q_kmeans_inertia(spark, sf_dir):
+    out = EV.kmeans_inertia(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    return out.select("cluster_key", r6("inertia").alias("inertia"))
+
+
+@register("kmeans_elbow", f"""
+WITH {S.F3}
+SELECT CAST(count(*) AS BIGINT) AS k, {S.R('sum(w)')} AS inertia FROM f3_pcl GROUP BY cluster_key
+""")
+def q_kmeans_elbow(spark, sf_dir):
+    """C8 on fixed labellings: (k, inertia) with k = number of clusters of the labelling."""
+    a = f3_assignments(spark, sf_dir)
+    out = EV.kmeans_inertia(f3_vectors(spark, sf_dir), a).join(LB.cluster_counts(a), "cluster_key")
+    return out.select(F.col("n_clusters").cast("bigint").alias("k"), r6("inertia").alias("inertia")).orderBy("k")
+
+
+@register("davies_bouldin", f"""
+WITH {S.F3}, {S.F3_EVAL} SELECT cluster_key, {S.R('davies_bouldin_index')} AS davies_bouldin_index FROM f3_dbchi
+""")
+def q_davies_bouldin(spark, sf_dir):
+    d = EV.davies_bouldin_and_calinski(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    return d.select("cluster_key", r6("davies_bouldin_index").alias("davies_bouldin_index"))
+
+
+@register("calinski_harabasz", f"""
+WITH {S.F3}, {S.F3_EVAL} SELECT cluster_key, {S.R('calinski_harabasz_index')} AS calinski_harabasz_index FROM f3_dbchi
+""")
+def q_calinski_harabasz(spark, sf_dir):
+    d = EV.davies_bouldin_and_calinski(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    return d.select("cluster_key", r6("calinski_harabasz_index").alias("calinski_harabasz_index"))
+
+
+@register("silhouette_exact", f"""
+WITH {S.F3}, {S.F3_EVAL} SELECT cluster_key, {S.R('silhouette_score')} AS silhouette_score FROM f3_sil
+""")
+def q_silhouette_exact(spark, sf_dir):
+    s = EV.silhouette_exact(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    return s.select("cluster_key", r6("silhouette_score").alias("silhouette_score"))
+
+
+@register("evaluate_all", f"WITH {S.F3}, {S.F3_EVAL} {_eval_sql('f3_ev', False)}")
+def q_evaluate_all(spark, sf_dir):
+    ev = EV.evaluate_all(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    return _eval_select(ev, with_composite=False)
+
+
+@register("composite_score", f"WITH {S.F3}, {S.F3_EVAL} {_eval_sql('f3_rank')}")
+def q_composite_score(spark, sf_dir):
+    return _eval_select(f3_ranked(spark, sf_dir))
+
+
+@register("recommend_best", f"""
+WITH {S.F3}, {S.F3_EVAL} {_eval_sql('f3_rank')} ORDER BY composite_score DESC NULLS LAST, cluster_key LIMIT 1
+""")
+def q_recommend_best(spark, sf_dir):
+    return _eval_select(EV.recommend_best(f3_ranked(spark, sf_dir)))
+
+
+@register("silhouette_bars", f"""
+WITH {S.F3}, {S.F3_EVAL}
+SELECT CAST(row_number() OVER (ORDER BY composite_score DESC NULLS LAST, cluster_key) AS INTEGER) AS position,
+       method, cluster_key, {S.R('silhouette_score')} AS silhouette_score,
+       CAST(dense_rank() OVER (ORDER BY method) - 1 AS INTEGER) AS color_index
+FROM f3_rank
+""")
+def q_silhouette_bars(spark, sf_dir):
+    b = EV.silhouette_bars(f3_ranked(spark, sf_dir))
+    return b.select(F.col("position").cast("int").alias("position"), "method", "cluster_key",
+                    r6("silhouette_score").alias("silhouette_score"),
+                    F.col("color_index").cast("int").alias("color_index"))

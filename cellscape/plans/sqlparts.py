@@ -120,3 +120,94 @@ def scaled(prefix: str, max_value: float = 10.0) -> str:
   FROM {prefix}_cells c CROSS JOIN {prefix}_msd m
   LEFT JOIN {prefix}_lnh l ON l.cell_id = c.cell_id AND l.gene_id = m.gene_id)
 """
+
+
+# embedding vectors with four fixed labellings as "configurations".
+F3 = """
+f3 AS (SELECT vec_id AS cell_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
+f3_asg AS (
+  SELECT cell_id, 'label' AS method, 'label' AS cluster_key, CAST(label AS INTEGER) AS cluster FROM f3
+  UNION ALL SELECT cell_id, 'label', 'label_mod5', CAST(label % 5 AS INTEGER) FROM f3
+  UNION ALL SELECT cell_id, 'label', 'label_mod3', CAST(label % 3 AS INTEGER) FROM f3
+  UNION ALL SELECT cell_id, 'id', 'vec_id_mod4', CAST(cell_id % 4 AS INTEGER) FROM f3),
+f3_long AS (
+  SELECT a.cluster_key, a.cluster, a.cell_id, u.i, u.x
+  FROM f3_asg a JOIN (SELECT cell_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM f3) u
+  ON u.cell_id = a.cell_id),
+f3_cen AS (SELECT cluster_key, cluster, i, avg(x) AS c FROM f3_long GROUP BY cluster_key, cluster, i),
+f3_sz AS (SELECT cluster_key, cluster, count(*) AS size FROM f3_asg GROUP BY cluster_key, cluster),
+f3_dc AS (
+  SELECT l.cluster_key, l.cluster, l.cell_id, sum((l.x - c.c) * (l.x - c.c)) AS sq
+  FROM f3_long l JOIN f3_cen c ON c.cluster_key = l.cluster_key AND c.cluster = l.cluster AND c.i = l.i
+  GROUP BY l.cluster_key, l.cluster, l.cell_id),
+f3_pcl AS (SELECT cluster_key, cluster, avg(sqrt(sq)) AS s, sum(sq) AS w FROM f3_dc GROUP BY cluster_key, cluster)
+"""
+
+F3_EVAL = """
+f3_cd AS (
+  SELECT a.cluster_key, a.cluster AS ci, b.cluster AS cj, sqrt(sum((a.c - b.c) * (a.c - b.c))) AS d
+  FROM f3_cen a JOIN f3_cen b ON a.cluster_key = b.cluster_key AND a.i = b.i
+  GROUP BY a.cluster_key, a.cluster, b.cluster),
+f3_r AS (
+  SELECT cd.cluster_key, cd.ci, max(CASE WHEN cd.d = 0 THEN 0.0 ELSE (pa.s + pb.s) / cd.d END) AS r
+  FROM f3_cd cd
+  JOIN f3_pcl pa ON pa.cluster_key = cd.cluster_key AND pa.cluster = cd.ci
+  JOIN f3_pcl pb ON pb.cluster_key = cd.cluster_key AND pb.cluster = cd.cj
+  GROUP BY cd.cluster_key, cd.ci),
+f3_k AS (
+  SELECT cluster_key, count(*) AS k, sum(w) AS w, max(abs(s)) AS max_s FROM f3_pcl GROUP BY cluster_key),
+f3_n AS (SELECT cluster_key, count(*) AS n FROM f3_asg GROUP BY cluster_key),
+f3_maxd AS (SELECT cluster_key, max(d) AS max_d FROM f3_cd GROUP BY cluster_key),
+f3_g AS (SELECT i, avg(x) AS g FROM (SELECT generate_subscripts(v, 1) AS i, unnest(v) AS x FROM f3) GROUP BY i),
+f3_b AS (
+  SELECT c.cluster_key, sum(z.size * c.sq) AS b FROM (
+    SELECT cen.cluster_key, cen.cluster, sum((cen.c - g.g) * (cen.c - g.g)) AS sq
+    FROM f3_cen cen JOIN f3_g g ON g.i = cen.i GROUP BY cen.cluster_key, cen.cluster) c
+  JOIN f3_sz z ON z.cluster_key = c.cluster_key AND z.cluster = c.cluster
+  GROUP BY c.cluster_key),
+f3_dbchi AS (
+  SELECT k.cluster_key, k.k AS n_clusters,
+    CASE WHEN k.k < 2 OR k.k >= n.n THEN NULL
+         WHEN k.max_s <= 1e-8 OR m.max_d <= 1e-8 THEN 0.0
+         ELSE (SELECT avg(r) FROM f3_r WHERE f3_r.cluster_key = k.cluster_key) END AS davies_bouldin_index,
+    CASE WHEN k.k < 2 OR k.k >= n.n THEN NULL
+         WHEN k.w = 0 THEN 1.0
+         ELSE (b.b * (n.n - k.k)) / (k.w * (k.k - 1.0)) END AS calinski_harabasz_index,
+    k.w AS inertia
+  FROM f3_k k JOIN f3_n n ON n.cluster_key = k.cluster_key JOIN f3_maxd m ON m.cluster_key = k.cluster_key
+  JOIN f3_b b ON b.cluster_key = k.cluster_key),
+f3_pd AS (
+  SELECT a.cell_id AS i, b.cell_id AS j, list_distance(a.v, b.v) AS d
+  FROM f3 a JOIN f3 b ON a.cell_id <> b.cell_id),
+f3_pk AS (
+  SELECT la.cluster_key, pd.i, la.cluster AS own, lb.cluster AS c, sum(pd.d) AS dsum, count(*) AS cnt
+  FROM f3_pd pd JOIN f3_asg la ON la.cell_id = pd.i
+  JOIN f3_asg lb ON lb.cell_id = pd.j AND lb.cluster_key = la.cluster_key
+  GROUP BY la.cluster_key, pd.i, la.cluster, lb.cluster),
+f3_pc AS (
+  SELECT cluster_key, i, max(CASE WHEN c = own THEN cnt END) AS n_own,
+         max(CASE WHEN c = own THEN dsum / cnt END) AS a, min(CASE WHEN c <> own THEN dsum / cnt END) AS b
+  FROM f3_pk GROUP BY cluster_key, i),
+f3_sil AS (
+  SELECT p.cluster_key,
+    CASE WHEN k.k < 2 OR k.k >= n.n THEN NULL ELSE
+    avg(CASE WHEN coalesce(p.n_own, 0) = 0 THEN 0.0 WHEN greatest(p.a, p.b) = 0 THEN 0.0
+             ELSE (p.b - p.a) / greatest(p.a, p.b) END) END AS silhouette_score
+  FROM f3_pc p JOIN f3_k k ON k.cluster_key = p.cluster_key JOIN f3_n n ON n.cluster_key = p.cluster_key
+  GROUP BY p.cluster_key, k.k, n.n),
+f3_ev AS (
+  SELECT DISTINCT a.method, d.cluster_key, CAST(d.n_clusters AS BIGINT) AS n_clusters, s.silhouette_score,
+         d.davies_bouldin_index, d.calinski_harabasz_index
+  FROM f3_dbchi d JOIN f3_sil s ON s.cluster_key = d.cluster_key JOIN f3_asg a ON a.cluster_key = d.cluster_key
+  WHERE d.n_clusters >= 2),
+f3_mm AS (
+  SELECT min(silhouette_score) AS s0, max(silhouette_score) AS s1, min(davies_bouldin_index) AS d0,
+         max(davies_bouldin_index) AS d1, min(calinski_harabasz_index) AS c0, max(calinski_harabasz_index) AS c1
+  FROM f3_ev),
+f3_rank AS (
+  SELECT e.*, ((CASE WHEN m.s1 = m.s0 THEN 0.5 ELSE (e.silhouette_score - m.s0) / (m.s1 - m.s0) END)
+             + (CASE WHEN m.d1 = m.d0 THEN 0.5 ELSE 1.0 - (e.davies_bouldin_index - m.d0) / (m.d1 - m.d0) END)
+             + (CASE WHEN m.c1 = m.c0 THEN 0.5 ELSE (e.calinski_harabasz_index - m.c0) / (m.c1 - m.c0) END)) / 3.0
+             AS composite_score
+  FROM f3_ev e CROSS JOIN f3_mm m)
+"""
