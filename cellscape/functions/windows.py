@@ -45,22 +45,28 @@ def row_number_by_unique_key(
 
 
 def count_below_by_value(
-    dv: DataFrame, part: str, value: str, weight: str, out: str = "below", buckets: int = 64
+    dv: DataFrame, part: str, value: str, weight: str, out: str = "below", buckets: int = 64,
+    max_rows: int = 1 << 20,
 ) -> DataFrame:
     """For each distinct (part, value) row, sum of ``weight`` over rows of the same
     ``part`` with a strictly smaller ``value`` (a double).
 
-    ``dv`` must hold one row per (part, value).  Equi-depth bucket edges per ``part``
-    come from ``percentile_approx`` (partially aggregated, so a hot part costs no
-    single task), each bucket is ordered on its own, and bucket totals are stitched
-    with a prefix sum over at most ``buckets`` rows per part.
+    ``dv`` must hold one row per (part, value).  A part with at most ``max_rows``
+    rows is ordered in one task.  A larger ("hot") part is cut at equi-depth edges
+    from ``percentile_approx`` (partially aggregated, so computing them costs no
+    single task) into ``buckets`` pieces that are ordered separately; bucket totals
+    are stitched with a prefix sum over at most ``buckets`` rows per part.
     """
     fracs = [i / buckets for i in range(1, buckets)]
-    edges = dv.groupBy(part).agg(
-        F.percentile_approx(value, F.array(*[F.lit(f) for f in fracs]), 10000).alias("_edges")
-    )
-    with_b = dv.join(edges, part).withColumn(
-        "_b", F.size(F.filter(F.array_distinct("_edges"), lambda e: e < F.col(value)))
+    stats = dv.groupBy(part).agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        F.percentile_approx(value, F.array(*[F.lit(f) for f in fracs]), 10000).alias("_edges"),
+    ).select(part, F.when(F.col("_cnt") > max_rows, F.array_distinct("_edges")).alias("_edges"))
+    with_b = dv.join(stats, part).withColumn(
+        "_b",
+        F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(
+            F.size(F.filter("_edges", lambda e: e < F.col(value)))
+        ),
     ).drop("_edges")
     totals = with_b.groupBy(part, "_b").agg(F.sum(weight).alias("_tot"))
     w_b = Window.partitionBy(part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

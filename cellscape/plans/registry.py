@@ -437,3 +437,131 @@ def q_silhouette_bars(spark, sf_dir):
     return b.select(F.col("position").cast("int").alias("position"), "method", "cluster_key",
                     r6("silhouette_score").alias("silhouette_score"),
                     F.col("color_index").cast("int").alias("color_index"))
+
+
+# ----------------------------------------------------------------------------- markers (F2, group = market segment)
+
+from cellscape.operators import markers as MK  # noqa: E402
+
+F2_TOP = 5
+
+
+def f2_lognorm(spark, sf_dir):
+    return T.normalize_log(f2(spark, sf_dir))
+
+
+def f2_markers(spark, sf_dir):
+    m = f2_lognorm(spark, sf_dir)
+    return m, MK.markers_wilcoxon(m)
+
+
+def f2_top(spark, sf_dir, n_top=F2_TOP):
+    m, res = f2_markers(spark, sf_dir)
+    return m, MK.top_markers(res, m.genes, n_top)
+
+
+MARKER_COLS_SQL = (f"cluster, rank, gene, {S.R('score')} AS score, {S.R('logfoldchange')} AS logfoldchange, "
+                   f"{S.R('pval')} AS pval, {S.R('pval_adj')} AS pval_adj")
+
+
+def _marker_cols(df):
+    return df.select("cluster", "rank", "gene", r6("score").alias("score"), r6("logfoldchange").alias("logfoldchange"),
+                     r6("pval").alias("pval"), r6("pval_adj").alias("pval_adj"))
+
+
+@register("markers_wilcoxon", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}, {S.top_markers('f2', F2_TOP)}
+SELECT {MARKER_COLS_SQL} FROM f2_top
+""")
+def q_markers_wilcoxon(spark, sf_dir):
+    _, top = f2_top(spark, sf_dir)
+    return _marker_cols(top)
+
+
+@register("top_markers", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}, {S.top_markers('f2', 10)}
+SELECT cluster, rank, gene, {S.R('score')} AS score FROM f2_top
+""")
+def q_top_markers(spark, sf_dir):
+    _, top = f2_top(spark, sf_dir, 10)
+    return top.select("cluster", "rank", "gene", r6("score").alias("score"))
+
+
+@register("log_fold_change", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}
+SELECT cluster, gene_id, {S.R('logfoldchange')} AS logfoldchange FROM f2_mk
+""")
+def q_log_fold_change(spark, sf_dir):
+    _, res = f2_markers(spark, sf_dir)
+    return res.select("cluster", "gene_id", r6("logfoldchange").alias("logfoldchange"))
+
+
+@register("normal_pvalue", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}
+SELECT cluster, gene_id, {S.R('score')} AS score, {S.R('pval')} AS pval FROM f2_mk
+""")
+def q_normal_pvalue(spark, sf_dir):
+    _, res = f2_markers(spark, sf_dir)
+    return res.select("cluster", "gene_id", r6("score").alias("score"), r6("pval").alias("pval"))
+
+
+@register("bh_adjust", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}
+SELECT cluster, gene_id, {S.R('pval_adj')} AS pval_adj FROM f2_mk
+""")
+def q_bh_adjust(spark, sf_dir):
+    _, res = f2_markers(spark, sf_dir)
+    return res.select("cluster", "gene_id", r6("pval_adj").alias("pval_adj"))
+
+
+@register("markers_to_expression", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}, {S.top_markers('f2', F2_TOP)}
+SELECT DISTINCT l.cell_id, c.grp AS cluster, l.gene_id, t.gene, {S.R('l.x')} AS value
+FROM f2_ln l JOIN (SELECT DISTINCT gene_id, gene FROM f2_top) t ON t.gene_id = l.gene_id
+JOIN f2_cells c ON c.cell_id = l.cell_id
+""")
+def q_markers_to_expression(spark, sf_dir):
+    m, top = f2_top(spark, sf_dir)
+    e = MK.markers_to_expression(m, top)
+    return e.select("cell_id", "cluster", "gene_id", "gene", r6("value").alias("value"))
+
+
+@register("marker_dotplot", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}, {S.top_markers('f2', F2_TOP)},
+tg AS (SELECT DISTINCT gene_id, gene FROM f2_top)
+SELECT z.cluster, tg.gene, tg.gene_id,
+       {S.R('coalesce(sum(l.x), 0.0) / z.n_c')} AS mean_expression,
+       {S.R('count(l.x) FILTER (WHERE l.x > 0) / z.n_c')} AS fraction_expressing
+FROM f2_sz z CROSS JOIN tg
+LEFT JOIN (SELECT l.*, c.cluster FROM f2_ln l JOIN f2_cl c ON c.cell_id = l.cell_id) l
+  ON l.cluster = z.cluster AND l.gene_id = tg.gene_id
+GROUP BY z.cluster, tg.gene, tg.gene_id, z.n_c
+""")
+def q_marker_dotplot(spark, sf_dir):
+    m, top = f2_top(spark, sf_dir)
+    d = MK.marker_dotplot(m, top)
+    return d.select("cluster", "gene", "gene_id", r6("mean_expression").alias("mean_expression"),
+                    r6("fraction_expressing").alias("fraction_expressing"))
+
+
+@register("marker_heatmap", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}, {S.top_markers('f2', F2_TOP)},
+tg AS (SELECT DISTINCT gene_id, gene FROM f2_top)
+SELECT c.cell_id, c.cluster, tg.gene, tg.gene_id, {S.R('coalesce(l.x, 0.0)')} AS value
+FROM f2_cl c CROSS JOIN tg LEFT JOIN f2_ln l ON l.cell_id = c.cell_id AND l.gene_id = tg.gene_id
+""")
+def q_marker_heatmap(spark, sf_dir):
+    m, top = f2_top(spark, sf_dir)
+    h = MK.marker_heatmap(m, top)
+    return h.select("cell_id", "cluster", "gene", "gene_id", r6("value").alias("value"))
+
+
+@register("group_correlation", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')},
+mu AS (SELECT a.gene_id, a.cluster, a.s_c / z.n_c AS mu FROM f2_agg a JOIN f2_sz z ON z.cluster = a.cluster)
+SELECT a.cluster AS cluster_a, b.cluster AS cluster_b, {S.R('corr(a.mu, b.mu)')} AS correlation
+FROM mu a JOIN mu b ON a.gene_id = b.gene_id GROUP BY a.cluster, b.cluster
+""")
+def q_group_correlation(spark, sf_dir):
+    c = MK.group_correlation(f2_lognorm(spark, sf_dir))
+    return c.select("cluster_a", "cluster_b", r6("correlation").alias("correlation"))

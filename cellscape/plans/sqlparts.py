@@ -211,3 +211,48 @@ f3_rank AS (
              AS composite_score
   FROM f3_ev e CROSS JOIN f3_mm m)
 """
+
+
+def wilcoxon(prefix: str) -> str:
+    """M1 + M5-M7 over ``{prefix}_ln`` grouped by ``{prefix}_cells.grp``, densified in SQL."""
+    return f"""
+{prefix}_cl AS (SELECT cell_id, grp AS cluster FROM {prefix}_cells),
+{prefix}_sz AS (SELECT cluster, count(*) AS n_c FROM {prefix}_cl GROUP BY cluster),
+{prefix}_dense AS (
+  SELECT c.cell_id, c.cluster, g.gene_id, coalesce(l.x, 0.0) AS x
+  FROM {prefix}_cl c CROSS JOIN {prefix}_genes g
+  LEFT JOIN {prefix}_ln l ON l.cell_id = c.cell_id AND l.gene_id = g.gene_id),
+{prefix}_rk AS (
+  SELECT *, rank() OVER (PARTITION BY gene_id ORDER BY x)
+            + (count(*) OVER (PARTITION BY gene_id, x) - 1) / 2.0 AS r
+  FROM {prefix}_dense),
+{prefix}_agg AS (SELECT gene_id, cluster, sum(r) AS rs, sum(x) AS s_c FROM {prefix}_rk GROUP BY gene_id, cluster),
+{prefix}_gt AS (SELECT gene_id, sum(x) AS s_all FROM {prefix}_dense GROUP BY gene_id),
+{prefix}_res AS (
+  SELECT a.cluster, a.gene_id,
+         round(((a.rs - z.n_c * (n.n + 1) / 2) / sqrt(z.n_c * (n.n - z.n_c) * (n.n + 1) / 12)) * 1e9) / 1e9 AS score,
+         log2(((exp(a.s_c / z.n_c) - 1) + 1e-9) / ((exp((t.s_all - a.s_c) / (n.n - z.n_c)) - 1) + 1e-9)) AS logfoldchange
+  FROM {prefix}_agg a JOIN {prefix}_sz z ON z.cluster = a.cluster JOIN {prefix}_gt t ON t.gene_id = a.gene_id
+  CROSS JOIN {prefix}_n n),
+{prefix}_p AS (SELECT *, {P2('score')} AS pval FROM {prefix}_res),
+{prefix}_o AS (
+  SELECT *, count(*) OVER (PARTITION BY cluster) AS m,
+            row_number() OVER (PARTITION BY cluster ORDER BY pval, gene_id) AS prk
+  FROM {prefix}_p),
+{prefix}_mk AS (
+  SELECT cluster, gene_id, score, logfoldchange, pval,
+         least(1.0, min(pval * m / prk) OVER (PARTITION BY cluster ORDER BY prk DESC
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS pval_adj
+  FROM {prefix}_o)
+"""
+
+
+def top_markers(prefix: str, n_top: int) -> str:
+    return f"""
+{prefix}_top AS (
+  SELECT * FROM (
+    SELECT m.cluster, CAST(row_number() OVER (PARTITION BY m.cluster ORDER BY m.score DESC, g.gene_name, m.gene_id) AS INTEGER) AS rank,
+           g.gene_name AS gene, m.gene_id, m.score, m.logfoldchange, m.pval, m.pval_adj
+    FROM {prefix}_mk m JOIN {prefix}_genes g ON g.gene_id = m.gene_id)
+  WHERE rank <= {n_top})
+"""
