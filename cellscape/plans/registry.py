@@ -565,3 +565,101 @@ FROM mu a JOIN mu b ON a.gene_id = b.gene_id GROUP BY a.cluster, b.cluster
 def q_group_correlation(spark, sf_dir):
     c = MK.group_correlation(f2_lognorm(spark, sf_dir))
     return c.select("cluster_a", "cluster_b", r6("correlation").alias("correlation"))
+
+
+# ----------------------------------------------------------------------------- sources and sinks
+
+from cellscape.sources import matrix_io as IO  # noqa: E402
+
+F1_TRIPLES_SQL = f"""
+WITH {S.F1}
+SELECT CAST(cell_id AS VARCHAR) AS cell, CAST(gene_id AS VARCHAR) AS gene, {S.R('value')} AS value FROM f1_expr
+"""
+
+
+def f1_named(spark, sf_dir):
+    """F1 with string names: cell = supplier key, gene = part key (unique column names)."""
+    m = tables.supplier_part(spark, sf_dir)
+    return m.with_cells(m.cells.withColumn("cell_name", F.col("cell_id").cast("string"))).with_genes(
+        m.genes.withColumn("gene_name", F.col("gene_id").cast("string")))
+
+
+def _named_triples(m):
+    return (m.expr.join(m.cells.select("cell_id", "cell_name"), "cell_id")
+            .join(m.genes.select("gene_id", "gene_name"), "gene_id")
+            .select(F.col("cell_name").alias("cell"), F.col("gene_name").alias("gene"), r6("value").alias("value")))
+
+
+@register("read_counts_csv", F1_TRIPLES_SQL)
+def q_read_counts_csv(spark, sf_dir):
+    path = IO.write_counts_csv(f1_named(spark, sf_dir), IO.scratch_path(spark, "f1-csv"))
+    return _named_triples(IO.read_counts_csv(spark, path))
+
+
+@register("orient_matrix", f"""
+WITH {S.F1}
+SELECT CAST(gene_id AS VARCHAR) AS cell, CAST(cell_id AS VARCHAR) AS gene, {S.R('value')} AS value FROM f1_expr
+""")
+def q_orient_matrix(spark, sf_dir):
+    """F1 has more genes (columns) than cells (rows): the file is kept as cells x genes.
+    Its transpose (genes as rows) has fewer columns than rows and is flipped back."""
+    m = f1_named(spark, sf_dir)
+    flipped = IO.orient_matrix(m, layout="genes_x_cells")
+    path = IO.write_counts_csv(flipped, IO.scratch_path(spark, "f1t-csv"))
+    back = IO.orient_matrix(IO.read_counts_csv(spark, path))   # auto rule: columns < rows -> transpose
+    return _named_triples(IO.orient_matrix(back, layout="genes_x_cells"))
+
+
+@register("read_counts_mtx", F1_TRIPLES_SQL)
+def q_read_counts_mtx(spark, sf_dir):
+    folder = IO.write_counts_mtx(f1_named(spark, sf_dir), IO.scratch_path(spark, "f1-mtx"))
+    return _named_triples(IO.read_counts_mtx(spark, folder))
+
+
+@register("matrix_bundle_roundtrip", f"""
+WITH {S.F1} SELECT cell_id, gene_id, {S.R('value')} AS value FROM f1_expr
+""")
+def q_matrix_bundle_roundtrip(spark, sf_dir):
+    path = IO.write_bundle(f1(spark, sf_dir), IO.scratch_path(spark, "f1") + ".bundle")
+    return IO.load_counts(spark, path).expr.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+@register("default_dataset", f"""
+WITH {S.F2} SELECT cell_id, gene_id, {S.R('value')} AS value FROM f2_expr
+""")
+def q_default_dataset(spark, sf_dir):
+    return IO.load_counts(spark, None, sf_dir=sf_dir).expr.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+@register("matrix_summary", f"""
+WITH {S.F1}
+SELECT (SELECT count(*) FROM f1_cells) AS n_cells, (SELECT count(*) FROM f1_genes) AS n_genes,
+       (SELECT count(*) FROM f1_expr) AS nnz
+""")
+def q_matrix_summary(spark, sf_dir):
+    m = f1(spark, sf_dir)
+    return m.cells.agg(F.count(F.lit(1)).alias("n_cells")).select(
+        "n_cells", m.n_genes().alias("n_genes"), m.expr.select(F.count(F.lit(1))).scalar().alias("nnz"))
+
+
+EVAL_SCHEMA = ("method string, cluster_key string, n_clusters long, silhouette_score double, "
+               "davies_bouldin_index double, calinski_harabasz_index double, composite_score double")
+
+
+@register("write_evaluation", f"WITH {S.F3}, {S.F3_EVAL} {_eval_sql('f3_rank')}")
+def q_write_evaluation(spark, sf_dir):
+    path = IO.write_table_csv(f3_ranked(spark, sf_dir), IO.scratch_path(spark, "evaluation-csv"))
+    return _eval_select(IO.read_table_csv(spark, path, EVAL_SCHEMA))
+
+
+MARKER_SCHEMA = "cluster string, rank int, gene string, score double, logfoldchange double, pval double, pval_adj double"
+
+
+@register("write_markers", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.wilcoxon('f2')}, {S.top_markers('f2', F2_TOP)}
+SELECT {MARKER_COLS_SQL} FROM f2_top
+""")
+def q_write_markers(spark, sf_dir):
+    _, top = f2_top(spark, sf_dir)
+    path = IO.write_table_csv(top.drop("gene_id"), IO.scratch_path(spark, "markers-csv"))
+    return _marker_cols(IO.read_table_csv(spark, path, MARKER_SCHEMA))
