@@ -6,6 +6,17 @@ non-zero entry).  Every operator is a function over DataFrames that can be chain
 with ``DataFrame.transform``; no operator pulls cell-sized data to the driver.
 """
 
-from cellscape.matrix import CountMatrix
+import sys as _sys
+
+# Functions of this package used inside pandas UDFs are shipped to the Python workers by
+# value, so executors do not need the package installed or on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
+from cellscape.matrix import CountMatrix  # noqa: E402
 
 __all__ = ["CountMatrix"]

@@ -45,7 +45,7 @@ def _dist_rows(L: np.ndarray, R: np.ndarray, chunk: int = 64):
 
 
 def knn_exact(vec: DataFrame, k: int = 15, n_cells: int | None = None, block_size: int = DEFAULT_BLOCK,
-              include_self: bool = True) -> DataFrame:
+              include_self: bool = True, tie_digits: int = 9) -> DataFrame:
     """D3: k nearest cells by Euclidean distance; ``k`` counts the cell itself.
 
     Returns ``knn(src, dst, rank, dist)``; ties broken by the smaller ``dst`` id.
@@ -82,6 +82,10 @@ def knn_exact(vec: DataFrame, k: int = 15, n_cells: int | None = None, block_siz
     )
     if not include_self:
         cand = cand.where(F.col("src") != F.col("dst"))
+    # Distances are ranked at ``tie_digits`` decimals so that near-ties do not depend on
+    # summation order; ties then go to the smaller id.
+    scale = float(10 ** tie_digits)
+    cand = cand.withColumn("dist", F.round(F.col("dist") * F.lit(scale)) / F.lit(scale))
     w = Window.partitionBy("src").orderBy("dist", "dst")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
         "src", "dst", F.col("rank").cast("int").alias("rank"), "dist"

@@ -663,3 +663,90 @@ def q_write_markers(spark, sf_dir):
     _, top = f2_top(spark, sf_dir)
     path = IO.write_table_csv(top.drop("gene_id"), IO.scratch_path(spark, "markers-csv"))
     return _marker_cols(IO.read_table_csv(spark, path, MARKER_SCHEMA))
+
+
+# ----------------------------------------------------------------------------- PCA and neighbours
+
+from cellscape.operators import reduce as RD  # noqa: E402
+
+N_PCS, N_PCS_USE, N_NEIGHBORS = 50, 30, 15
+
+
+def f3_pca(spark, sf_dir):
+    return RD.pca(f3_vectors(spark, sf_dir).select("cell_id", "v"), N_PCS)
+
+
+@register("pca")
+def q_pca(spark, sf_dir):
+    scores, _, _ = f3_pca(spark, sf_dir)
+    return scores.select("cell_id", F.posexplode("v").alias("pc", "score"))
+
+
+@register("pca_variance")
+def q_pca_variance(spark, sf_dir):
+    _, ratios, _ = f3_pca(spark, sf_dir)
+    return ratios
+
+
+@register("scree_table")
+def q_scree_table(spark, sf_dir):
+    _, ratios, _ = f3_pca(spark, sf_dir)
+    return RD.scree_table(ratios)
+
+
+@register("pca_total_variance", """
+WITH d AS (SELECT generate_subscripts(CAST(embedding AS DOUBLE[]), 1) AS i, unnest(CAST(embedding AS DOUBLE[])) AS x
+           FROM embeddings)
+SELECT """ + S.R("sum(v)") + """ AS total_variance FROM (SELECT i, var_samp(x) AS v FROM d GROUP BY i)
+""")
+def q_pca_total_variance(spark, sf_dir):
+    return RD.total_variance(f3_vectors(spark, sf_dir)).select(r6("total_variance").alias("total_variance"))
+
+
+@register("slice_pcs", """
+SELECT vec_id AS cell_id, CAST(u.i - 1 AS INTEGER) AS dim, """ + S.R("u.x") + """ AS value
+FROM (SELECT vec_id, generate_subscripts(CAST(embedding AS DOUBLE[]), 1) AS i, unnest(CAST(embedding AS DOUBLE[])) AS x
+      FROM embeddings) u WHERE u.i <= 30
+""")
+def q_slice_pcs(spark, sf_dir):
+    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    return v.select("cell_id", F.posexplode("v").alias("dim", "value")).select(
+        "cell_id", F.col("dim").cast("int").alias("dim"), r6("value").alias("value"))
+
+
+@register("knn_exact", f"""
+WITH f3 AS (SELECT vec_id AS cell_id, list_slice(CAST(embedding AS DOUBLE[]), 1, {N_PCS_USE}) AS v FROM embeddings),
+pd AS (SELECT a.cell_id AS src, b.cell_id AS dst, round(list_distance(a.v, b.v) * 1e9) / 1e9 AS dist
+       FROM f3 a JOIN f3 b ON true),
+rk AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pd)
+SELECT src, dst, CAST(rank AS INTEGER) AS rank, {S.R('dist')} AS dist FROM rk WHERE rank <= {N_NEIGHBORS}
+""")
+def q_knn_exact(spark, sf_dir):
+    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    k = NB.knn_exact(v, N_NEIGHBORS)
+    return k.select("src", "dst", "rank", r6("dist").alias("dist"))
+
+
+# ----------------------------------------------------------------------------- k-means sweep (F3 PCA scores)
+
+from cellscape.operators import kmeans as KM  # noqa: E402
+
+K_RANGE = list(range(2, 11))
+
+
+def f3_kmeans(spark, sf_dir):
+    scores, _, _ = f3_pca(spark, sf_dir)
+    return KM.kmeans_sweep(scores, K_RANGE, n_init=10, seed=42)
+
+
+@register("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    assignments, _, _ = f3_kmeans(spark, sf_dir)
+    return assignments
+
+
+@register("kmeans_elbow_sweep")
+def q_kmeans_elbow_sweep(spark, sf_dir):
+    """C8 on the sweep itself: (k, inertia of the best run) ordered by k."""
+    _, inertia, _ = f3_kmeans(spark, sf_dir)
+    return inertia.select("k", "inertia").orderBy("k")
