@@ -32,8 +32,8 @@ def silhouette_exact(vec: DataFrame, assignments: DataFrame, n_cells: int | None
     j = sums.join(own, ["cell_id", "cluster_key"])
     per_cell = j.groupBy("cell_id", "cluster_key").agg(
         F.max(F.when(F.col("cluster") == F.col("own"), F.col("cnt"))).alias("n_own"),
-        F.max(F.when(F.col("cluster") == F.col("own"), F.col("dsum") / F.col("cnt"))).alias("a"),
-        F.min(F.when((F.col("cluster") != F.col("own")) & (F.col("cnt") > 0), F.col("dsum") / F.col("cnt"))).alias("b"),
+        F.max(F.when(F.col("cluster") == F.col("own"), F.try_divide("dsum", "cnt"))).alias("a"),
+        F.min(F.when(F.col("cluster") != F.col("own"), F.try_divide("dsum", "cnt"))).alias("b"),
     )
     s = (
         F.when(F.coalesce(F.col("n_own"), F.lit(0)) == 0, F.lit(0.0))
