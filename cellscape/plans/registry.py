@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cellscape.functions.numeric import r6
 from cellscape.operators import qc
 from cellscape.plans import sqlparts as S
+from cellscape.session import cut_lineage
 from cellscape.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -750,3 +751,69 @@ def q_kmeans_elbow_sweep(spark, sf_dir):
     """C8 on the sweep itself: (k, inertia of the best run) ordered by k."""
     _, inertia, _ = f3_kmeans(spark, sf_dir)
     return inertia.select("k", "inertia").orderBy("k")
+
+
+# ----------------------------------------------------------------------------- graphs and communities
+
+from cellscape.operators import graph as GR  # noqa: E402
+
+RESOLUTIONS = [0.3, 0.5, 0.8, 1.0, 1.5]
+
+
+def f3_knn(spark, sf_dir):
+    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    return NB.knn_exact(v, N_NEIGHBORS)
+
+
+def f3_fuzzy(spark, sf_dir):
+    return GR.fuzzy_graph(f3_knn(spark, sf_dir), N_NEIGHBORS)
+
+
+@register("fuzzy_graph")
+def q_fuzzy_graph(spark, sf_dir):
+    return f3_fuzzy(spark, sf_dir).select("src", "dst", r6("w").alias("w"))
+
+
+@register("graph_modularity", f"""
+WITH {S.F3},
+v AS (SELECT vec_id AS cell_id, list_slice(CAST(embedding AS DOUBLE[]), 1, {N_PCS_USE}) AS v FROM embeddings),
+pd AS (SELECT a.cell_id AS src, b.cell_id AS dst, round(list_distance(a.v, b.v) * 1e9) / 1e9 AS dist
+       FROM v a JOIN v b ON true),
+knn AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pd)
+        WHERE rank <= {N_NEIGHBORS} AND src <> dst),
+e AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM knn UNION ALL SELECT dst AS src, src AS dst FROM knn)),
+m2 AS (SELECT CAST(count(*) AS DOUBLE) AS m2 FROM e),
+deg AS (SELECT src AS cell_id, CAST(count(*) AS DOUBLE) AS k FROM e GROUP BY src),
+tot AS (SELECT a.cluster_key, a.cluster, sum(d.k) AS tot FROM f3_asg a JOIN deg d ON d.cell_id = a.cell_id
+        GROUP BY a.cluster_key, a.cluster),
+pen AS (SELECT cluster_key, sum(tot * tot) AS sq FROM tot GROUP BY cluster_key),
+ins AS (SELECT la.cluster_key, CAST(count(*) AS DOUBLE) AS inside FROM e
+        JOIN f3_asg la ON la.cell_id = e.src
+        JOIN f3_asg lb ON lb.cell_id = e.dst AND lb.cluster_key = la.cluster_key AND lb.cluster = la.cluster
+        GROUP BY la.cluster_key)
+SELECT p.cluster_key, {S.R('coalesce(i.inside, 0.0) / m2.m2 - p.sq / (m2.m2 * m2.m2)')} AS modularity
+FROM pen p CROSS JOIN m2 LEFT JOIN ins i ON i.cluster_key = p.cluster_key
+""")
+def q_graph_modularity(spark, sf_dir):
+    edges = GR.knn_graph(f3_knn(spark, sf_dir))
+    q = GR.modularity(edges, f3_assignments(spark, sf_dir), 1.0)
+    return q.select("cluster_key", r6("modularity").alias("modularity"))
+
+
+def f3_louvain(spark, sf_dir, refine=False):
+    return GR.community_sweep(cut_lineage(f3_fuzzy(spark, sf_dir)), RESOLUTIONS, refine=refine)
+
+
+@register("louvain_sweep")
+def q_louvain_sweep(spark, sf_dir):
+    return f3_louvain(spark, sf_dir, refine=False)
+
+
+@register("leiden_sweep")
+def q_leiden_sweep(spark, sf_dir):
+    return f3_louvain(spark, sf_dir, refine=True)
+
+
+@register("cluster_stability")
+def q_cluster_stability(spark, sf_dir):
+    return GR.cluster_stability(f3_louvain(spark, sf_dir, refine=True))

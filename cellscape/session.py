@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage by writing a parquet table into the shared checkpoint folder and
+    reading it back.
+
+    The folder comes from the session (``spark.checkpoint.dir`` on a cluster), so the
+    table survives executor loss.  A read-back table starts a fresh plan with file
+    statistics; a ``Dataset.checkpoint`` would keep the statistics of its origin plan,
+    which makes iterative jobs that self-join their state plan ever more slowly.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/cellscape-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
