@@ -817,3 +817,141 @@ def q_leiden_sweep(spark, sf_dir):
 @register("cluster_stability")
 def q_cluster_stability(spark, sf_dir):
     return GR.cluster_stability(f3_louvain(spark, sf_dir, refine=True))
+
+
+# ----------------------------------------------------------------------------- gene sets, t-test, QC boxes (F2)
+
+from cellscape.operators import charts as CH  # noqa: E402
+from cellscape.operators import genesets as GS  # noqa: E402
+from cellscape.operators import markers_ttest as TT  # noqa: E402
+
+# Stand-in gene lists (part names present at every scale) for the S and
+# G2M phase lists, and one name that is absent on purpose.
+S_LIST = ["blue bolt", "cold gear", "hot rod", "large plate"]
+G2M_LIST = ["new anvil", "old widget", "small ring", "red gizmo"]
+ABSENT = "green sprocket"
+
+
+def _sql_list(names):
+    return ", ".join("('" + n.replace("'", "''") + "')" for n in names)
+
+
+def _score_sql(tag: str, names: list[str], ctrl: int) -> str:
+    return f"""
+{tag}_avg AS (
+  SELECT g.gene_id, g.gene_name AS name, coalesce(s.s, 0.0) / n.n AS avg
+  FROM f2_genes g CROSS JOIN f2_n n LEFT JOIN (SELECT gene_id, sum(x) AS s FROM f2_ln GROUP BY gene_id) s
+  ON s.gene_id = g.gene_id),
+{tag}_rk AS (
+  SELECT a.*, floor(rank() OVER (ORDER BY a.avg) / round_even((SELECT count(*) FROM {tag}_avg) / 24.0, 0)) AS bin
+  FROM {tag}_avg a),
+{tag}_lst AS (SELECT * FROM (VALUES {_sql_list(names)}) t(name)),
+{tag}_in AS (SELECT r.* FROM {tag}_rk r WHERE r.name IN (SELECT name FROM {tag}_lst)),
+{tag}_pick AS (
+  SELECT r.*, row_number() OVER (PARTITION BY r.bin ORDER BY md5(r.name || '0'), r.gene_id) AS o
+  FROM {tag}_rk r WHERE r.bin IN (SELECT bin FROM {tag}_in)),
+{tag}_ctrl AS (SELECT gene_id FROM {tag}_pick WHERE o <= {ctrl} AND name NOT IN (SELECT name FROM {tag}_lst)),
+{tag}_w AS (
+  SELECT gene_id, 1.0 / (SELECT count(*) FROM {tag}_in) AS w FROM {tag}_in
+  UNION ALL SELECT gene_id, -1.0 / (SELECT count(*) FROM {tag}_ctrl) AS w FROM {tag}_ctrl),
+{tag}_s AS (SELECT l.cell_id, sum(w.w * l.x) AS s FROM f2_ln l JOIN {tag}_w w ON w.gene_id = l.gene_id GROUP BY l.cell_id),
+{tag}_score AS (SELECT c.cell_id, coalesce(s.s, 0.0) AS score FROM f2_cells c LEFT JOIN {tag}_s s ON s.cell_id = c.cell_id)
+"""
+
+
+@register("gene_set_overlap", f"""
+WITH lists AS (SELECT 'S' AS gene_set, name AS gene_name FROM (VALUES {_sql_list(S_LIST + [ABSENT])}) t(name)
+               UNION ALL SELECT 'G2M', name FROM (VALUES {_sql_list(G2M_LIST)}) t(name)),
+names AS (SELECT DISTINCT p_name FROM part)
+SELECT l.gene_set, l.gene_name, l.gene_name IN (SELECT p_name FROM names) AS present FROM lists l
+""")
+def q_gene_set_overlap(spark, sf_dir):
+    return GS.gene_set_overlap(tables.part_name_genes(spark, sf_dir), {"S": S_LIST + [ABSENT], "G2M": G2M_LIST})
+
+
+@register("gene_set_score", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {_score_sql('s', S_LIST, len(S_LIST))}
+SELECT cell_id, {S.R('score')} AS score FROM s_score
+""")
+def q_gene_set_score(spark, sf_dir):
+    scores, _ = GS.gene_set_score(f2_lognorm(spark, sf_dir), S_LIST, ctrl_size=len(S_LIST))
+    return scores.select("cell_id", r6("score").alias("score"))
+
+
+@register("cell_cycle_phase", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {_score_sql('s', S_LIST, 4)}, {_score_sql('g', G2M_LIST, 4)}
+SELECT a.cell_id, {S.R('a.score')} AS S_score, {S.R('b.score')} AS G2M_score,
+       CASE WHEN a.score < 0 AND b.score < 0 THEN 'G1' WHEN b.score > a.score THEN 'G2M' ELSE 'S' END AS phase
+FROM s_score a JOIN g_score b ON b.cell_id = a.cell_id
+""")
+def q_cell_cycle_phase(spark, sf_dir):
+    p = GS.cell_cycle_phase(f2_lognorm(spark, sf_dir), S_LIST, G2M_LIST)
+    return p.select("cell_id", r6("S_score").alias("S_score"), r6("G2M_score").alias("G2M_score"), "phase")
+
+
+def _ttest_sql(overestim: bool) -> str:
+    n2se = "z.n_c" if overestim else "(n.n - z.n_c)"
+    return f"""
+WITH {S.F2}, {S.lognorm('f2')},
+cl AS (SELECT cell_id, grp AS cluster FROM f2_cells),
+sz AS (SELECT cluster, CAST(count(*) AS DOUBLE) AS n_c FROM cl GROUP BY cluster),
+grid AS (SELECT g.gene_id, z.cluster, z.n_c FROM f2_genes g CROSS JOIN sz z),
+pc AS (SELECT l.gene_id, c.cluster, sum(l.x) AS s, sum(l.x * l.x) AS q FROM f2_ln l JOIN cl c ON c.cell_id = l.cell_id
+       GROUP BY l.gene_id, c.cluster),
+tot AS (SELECT gene_id, sum(s) AS s_all, sum(q) AS q_all FROM pc GROUP BY gene_id),
+st AS (SELECT g.gene_id, g.cluster, g.n_c AS n1, n.n - g.n_c AS n2, {('g.n_c' if overestim else 'n.n - g.n_c')} AS n2se,
+              coalesce(p.s, 0.0) / g.n_c AS mu1, (coalesce(t.s_all, 0.0) - coalesce(p.s, 0.0)) / (n.n - g.n_c) AS mu2,
+              coalesce(p.q, 0.0) AS q1, coalesce(t.q_all, 0.0) - coalesce(p.q, 0.0) AS q2
+       FROM grid g CROSS JOIN f2_n n LEFT JOIN pc p ON p.gene_id = g.gene_id AND p.cluster = g.cluster
+       LEFT JOIN tot t ON t.gene_id = g.gene_id),
+v AS (SELECT *, (q1 - n1 * mu1 * mu1) / (n1 - 1) AS v1, (q2 - n2 * mu2 * mu2) / (n2 - 1) AS v2 FROM st),
+t AS (SELECT *, (mu1 - mu2) / nullif(sqrt(v1 / n1 + v2 / n2se), 0.0) AS t FROM v)
+SELECT cluster, gene_id, {S.R('coalesce(CASE WHEN isnan(t) THEN NULL ELSE t END, 0.0)')} AS score,
+       {S.R('log2(((exp(mu1) - 1) + 1e-9) / ((exp(mu2) - 1) + 1e-9))')} AS logfoldchange
+FROM t
+"""
+
+
+@register("markers_ttest", _ttest_sql(False))
+def q_markers_ttest(spark, sf_dir):
+    r = TT.markers_ttest(f2_lognorm(spark, sf_dir))
+    return r.select("cluster", "gene_id", r6("score").alias("score"), r6("logfoldchange").alias("logfoldchange"))
+
+
+@register("markers_ttest_overestim", _ttest_sql(True))
+def q_markers_ttest_overestim(spark, sf_dir):
+    r = TT.markers_ttest(f2_lognorm(spark, sf_dir), overestim_var=True)
+    return r.select("cluster", "gene_id", r6("score").alias("score"), r6("logfoldchange").alias("logfoldchange"))
+
+
+@register("markers_ttest_pvalues")
+def q_markers_ttest_pvalues(spark, sf_dir):
+    """Welch p-values and BH adjustment (Student-t tail in a pandas UDF; property-checked)."""
+    r = TT.markers_ttest(f2_lognorm(spark, sf_dir))
+    return r.select("cluster", "gene_id", r6("pval").alias("pval"), r6("pval_adj").alias("pval_adj"))
+
+
+@register("violin_box", f"""
+WITH {S.F2}, {S.cell_qc('f2')},
+after AS (SELECT * FROM f2_qc WHERE n_genes_by_counts >= {F2_QC.min_genes} AND n_genes_by_counts <= {F2_QC.max_genes}
+          AND coalesce(pct_counts_mt <= {F2_QC.max_pct_mito}, false)),
+long AS (
+  SELECT 'before' AS stage, 'n_genes_by_counts' AS metric, CAST(n_genes_by_counts AS DOUBLE) AS v FROM f2_qc
+  UNION ALL SELECT 'before', 'total_counts', total_counts FROM f2_qc
+  UNION ALL SELECT 'before', 'pct_counts_mt', pct_counts_mt FROM f2_qc WHERE pct_counts_mt IS NOT NULL
+  UNION ALL SELECT 'after', 'n_genes_by_counts', CAST(n_genes_by_counts AS DOUBLE) FROM after
+  UNION ALL SELECT 'after', 'total_counts', total_counts FROM after
+  UNION ALL SELECT 'after', 'pct_counts_mt', pct_counts_mt FROM after WHERE pct_counts_mt IS NOT NULL),
+q AS (SELECT stage, metric, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med,
+             quantile_cont(v, 0.75) AS q3 FROM long GROUP BY stage, metric)
+SELECT q.stage, q.metric, q.n, {S.R('q.q1')} AS q1, {S.R('q.med')} AS median, {S.R('q.q3')} AS q3,
+       {S.R('min(l.v) FILTER (WHERE l.v >= q.q1 - 1.5 * (q.q3 - q.q1))')} AS whisker_low,
+       {S.R('max(l.v) FILTER (WHERE l.v <= q.q3 + 1.5 * (q.q3 - q.q1))')} AS whisker_high
+FROM q JOIN long l ON l.stage = q.stage AND l.metric = q.metric
+GROUP BY q.stage, q.metric, q.n, q.q1, q.med, q.q3
+""")
+def q_violin_box(spark, sf_dir):
+    cq = qc.cell_qc_metrics(f2(spark, sf_dir))
+    after = cq.where(qc.qc_keep_condition(F2_QC))
+    b = CH.violin_box(cq, after)
+    return b.select("stage", "metric", "n", *[r6(c).alias(c) for c in ["q1", "median", "q3", "whisker_low", "whisker_high"]])
