@@ -955,3 +955,79 @@ def q_violin_box(spark, sf_dir):
     after = cq.where(qc.qc_keep_condition(F2_QC))
     b = CH.violin_box(cq, after)
     return b.select("stage", "metric", "n", *[r6(c).alias(c) for c in ["q1", "median", "q3", "whisker_low", "whisker_high"]])
+
+
+# ----------------------------------------------------------------------------- embeddings, compositions, logreg
+
+@register("embedding_scatter", """
+SELECT 'label' AS color_key, vec_id AS cell_id, """ + S.R("CAST(embedding[1] AS DOUBLE)") + """ AS x,
+       """ + S.R("CAST(embedding[2] AS DOUBLE)") + """ AS y, CAST(label AS VARCHAR) AS value FROM embeddings
+UNION ALL
+SELECT 'label_mod3', vec_id, """ + S.R("CAST(embedding[1] AS DOUBLE)") + """, """ + S.R("CAST(embedding[2] AS DOUBLE)") + """,
+       CAST(label % 3 AS VARCHAR) FROM embeddings
+""")
+def q_embedding_scatter(spark, sf_dir):
+    """C5 + J5 (cell columns): a 2-d basis (first two embedding coordinates) coloured by cell columns."""
+    v = f3_vectors(spark, sf_dir)
+    emb = v.select("cell_id", r6(F.col("v")[0]).alias("x"), r6(F.col("v")[1]).alias("y"))
+    cells = v.select("cell_id", "label", (F.col("label") % 3).alias("label_mod3"))
+    return CH.embedding_scatter(emb, {"label": CH.color_by_cell_column(emb, cells, "label"),
+                                      "label_mod3": CH.color_by_cell_column(emb, cells, "label_mod3")})
+
+
+@register("color_embedding", f"""
+WITH {S.F2}, {S.lognorm('f2')}, {S.cell_qc('f2')},
+g AS (SELECT min(p_partkey) AS gene_id FROM part WHERE p_name = '{S_LIST[0]}')
+SELECT q.cell_id, CAST(q.n_genes_by_counts AS DOUBLE) AS x, {S.R('q.total_counts')} AS y,
+       {S.R('coalesce(l.x, 0.0)')} AS color
+FROM f2_qc q LEFT JOIN (SELECT l.* FROM f2_ln l JOIN g ON g.gene_id = l.gene_id) l ON l.cell_id = q.cell_id
+""")
+def q_color_embedding(spark, sf_dir):
+    """J5 (gene): the QC basis (genes, total counts) coloured by one gene's log-normalised value."""
+    m = f2(spark, sf_dir)
+    basis = qc.cell_qc_metrics(m).select("cell_id", F.col("n_genes_by_counts").cast("double").alias("x"),
+                                         r6("total_counts").alias("y"))
+    gid = m.genes.where(F.col("gene_name") == S_LIST[0]).select(F.min("gene_id")).first()[0]
+    out = CH.color_by_gene(basis, T.normalize_log(m).expr, gid)
+    return out.select("cell_id", "x", "y", r6("color").alias("color"))
+
+
+F2_PRE = qc.QCThresholds(min_genes=F2_QC.min_genes, max_genes=F2_QC.max_genes, max_pct_mito=F2_QC.max_pct_mito)
+F2_PRE_TOP = 20
+
+
+def f2_preprocessed(spark, sf_dir):
+    """QC filter -> normalise -> log -> dispersion HVG -> subset -> scale (vectors)."""
+    m = f2(spark, sf_dir)
+    cq = qc.cell_qc_metrics(m)
+    kept = cq.where(qc.qc_keep_condition(F2_PRE)).select("cell_id")
+    mf = m.restrict_cells(kept)
+    ln = T.normalize_log(mf)
+    h = T.hvg_dispersion(ln, n_top_genes=F2_PRE_TOP)
+    sub = T.subset_hvg(ln, h)
+    return sub, T.scale_clip(sub)
+
+
+@register("preprocess_full", f"""
+WITH {S.F2.replace('f2_cells AS (SELECT c_custkey AS cell_id, c_mktsegment AS grp FROM customer)', 'f2_cells0 AS (SELECT c_custkey AS cell_id, c_mktsegment AS grp FROM customer)').replace('f2_expr AS (', 'f2_expr0 AS (')},
+f2_cells_q AS (SELECT * FROM f2_cells0),
+{S.cell_qc('f2').replace('f2_cells c', 'f2_cells0 c').replace('f2_expr e', 'f2_expr0 e')},
+f2_cells AS (SELECT c.* FROM f2_cells0 c JOIN f2_qc q ON q.cell_id = c.cell_id
+             WHERE q.n_genes_by_counts >= {F2_PRE.min_genes} AND q.n_genes_by_counts <= {F2_PRE.max_genes}
+             AND coalesce(q.pct_counts_mt <= {F2_PRE.max_pct_mito}, false)),
+f2_expr AS (SELECT e.* FROM f2_expr0 e WHERE e.cell_id IN (SELECT cell_id FROM f2_cells)),
+{S.lognorm('f2')}, {S.hvg('f2', F2_PRE_TOP)}, {S.scaled('f2')}
+SELECT cell_id, gene_id, {S.R('z')} AS value FROM f2_sc
+""")
+def q_preprocess_full(spark, sf_dir):
+    sub, vec = f2_preprocessed(spark, sf_dir)
+    out = T.vectors_to_long(vec, T.gene_order(sub.genes))
+    return out.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+@register("markers_logreg")
+def q_markers_logreg(spark, sf_dir):
+    r = MK.markers_logreg(f2_lognorm(spark, sf_dir))
+    w = __import__("pyspark.sql.window", fromlist=["Window"]).Window.partitionBy("cluster").orderBy(F.desc("score"), "gene_id")
+    return r.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F2_TOP).select(
+        "cluster", F.col("rank").cast("int").alias("rank"), "gene_id", r6("score").alias("score"))
