@@ -67,3 +67,32 @@ def cell_cycle_phase(m: CountMatrix, s_genes: list[str], g2m_genes: list[str], s
     phase = (F.when((F.col("S_score") < 0) & (F.col("G2M_score") < 0), F.lit("G1"))
              .when(F.col("G2M_score") > F.col("S_score"), F.lit("G2M")).otherwise(F.lit("S")))
     return j.withColumn("phase", phase)
+
+
+def regress_out(vec: DataFrame, covariates: DataFrame, names=("S_score", "G2M_score")) -> DataFrame:
+    """Per gene OLS residual of the dense per-cell vectors on [1, covariates].
+
+    X'X (3 x 3) and X'y (3 x genes) come from one pass of vector sums (partially
+    aggregated); the solve is done on the bounded 3 x genes table; residuals are
+    computed per cell with ``zip_with``.  Returns (cell_id, v)."""
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    a, b = names
+    d = vec.join(covariates.select("cell_id", a, b), "cell_id")
+    sums = d.select(
+        F.count(F.lit(1)).alias("n"), F.sum(a).alias("sa"), F.sum(b).alias("sb"),
+        F.sum(F.col(a) * F.col(a)).alias("saa"), F.sum(F.col(a) * F.col(b)).alias("sab"),
+        F.sum(F.col(b) * F.col(b)).alias("sbb"),
+        vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("y1"),
+        vector_to_array(Summarizer.sum(array_to_vector(F.transform("v", lambda x: x * F.col(a))))).alias("ya"),
+        vector_to_array(Summarizer.sum(array_to_vector(F.transform("v", lambda x: x * F.col(b))))).alias("yb"),
+    ).first()
+    xtx = np.array([[sums.n, sums.sa, sums.sb], [sums.sa, sums.saa, sums.sab], [sums.sb, sums.sab, sums.sbb]], float)
+    xty = np.vstack([sums.y1, sums.ya, sums.yb])
+    beta = np.linalg.solve(xtx, xty)  # 3 x genes
+    b0, b1, b2 = ([float(x) for x in row] for row in beta)
+    out = d.withColumn("_b", F.arrays_zip(F.lit(b0).alias("c0"), F.lit(b1).alias("c1"), F.lit(b2).alias("c2")))
+    res = F.zip_with("v", "_b", lambda y, c: y - (c["c0"] + c["c1"] * F.col(a) + c["c2"] * F.col(b)))
+    return out.select("cell_id", res.alias("v"))

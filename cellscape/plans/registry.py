@@ -1031,3 +1031,49 @@ def q_markers_logreg(spark, sf_dir):
     w = __import__("pyspark.sql.window", fromlist=["Window"]).Window.partitionBy("cluster").orderBy(F.desc("score"), "gene_id")
     return r.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F2_TOP).select(
         "cluster", F.col("rank").cast("int").alias("rank"), "gene_id", r6("score").alias("score"))
+
+
+@register("violin_density", f"""
+WITH {S.F2}, {S.cell_qc('f2')},
+after AS (SELECT * FROM f2_qc WHERE n_genes_by_counts >= {F2_QC.min_genes} AND n_genes_by_counts <= {F2_QC.max_genes}
+          AND coalesce(pct_counts_mt <= {F2_QC.max_pct_mito}, false)),
+long AS (
+  SELECT 'before' AS stage, 'n_genes_by_counts' AS metric, CAST(n_genes_by_counts AS DOUBLE) AS v FROM f2_qc
+  UNION ALL SELECT 'before', 'total_counts', total_counts FROM f2_qc
+  UNION ALL SELECT 'before', 'pct_counts_mt', pct_counts_mt FROM f2_qc WHERE pct_counts_mt IS NOT NULL
+  UNION ALL SELECT 'after', 'n_genes_by_counts', CAST(n_genes_by_counts AS DOUBLE) FROM after
+  UNION ALL SELECT 'after', 'total_counts', total_counts FROM after
+  UNION ALL SELECT 'after', 'pct_counts_mt', pct_counts_mt FROM after WHERE pct_counts_mt IS NOT NULL),
+st AS (SELECT stage, metric, count(*) AS n, stddev_samp(v) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw,
+              min(v) AS lo, max(v) AS hi FROM long GROUP BY stage, metric),
+grid AS (SELECT s.*, i, (s.lo - 2.0 * s.bw) + i * ((s.hi - s.lo + 4.0 * s.bw) / 99.0) AS x
+         FROM st s CROSS JOIN range(0, 100) r(i) WHERE s.bw > 0),
+dv AS (SELECT stage, metric, v, count(*) AS c FROM long GROUP BY stage, metric, v)
+SELECT g.stage, g.metric, CAST(g.i AS INTEGER) AS i, {S.R('g.x')} AS x,
+       {S.R('sum(d.c * exp(-pow(g.x - d.v, 2) / (2 * g.bw * g.bw))) / (g.n * g.bw * sqrt(2 * pi()))')} AS density
+FROM grid g JOIN dv d ON d.stage = g.stage AND d.metric = g.metric
+GROUP BY g.stage, g.metric, g.i, g.x, g.n, g.bw
+""")
+def q_violin_density(spark, sf_dir):
+    cq = qc.cell_qc_metrics(f2(spark, sf_dir))
+    d = CH.violin_density(cq, cq.where(qc.qc_keep_condition(F2_QC)))
+    return d.select("stage", "metric", "i", r6("x").alias("x"), r6("density").alias("density"))
+
+
+@register("regress_out")
+def q_regress_out(spark, sf_dir):
+    """T8 + T9: cell-cycle scores regressed out of the scaled matrix, then scaled again."""
+    sub, vec = f2_preprocessed(spark, sf_dir)
+    ln = T.normalize_log(f2(spark, sf_dir))
+    phase = GS.cell_cycle_phase(ln, S_LIST, G2M_LIST)
+    res = GS.regress_out(vec, phase)
+    # Scale + clip again, on the residual vectors (dense): mean / sd per position.
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    st = res.select(vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("mu"),
+                    vector_to_array(Summarizer.variance(array_to_vector("v"))).alias("var")).first()
+    mu = F.lit([float(x) for x in st.mu])
+    sd = F.lit([float(x) ** 0.5 if x > 0 else 1.0 for x in st.var])
+    z = F.zip_with(F.zip_with("v", mu, lambda a, b: a - b), sd, lambda a, b: F.greatest(F.least(a / b, F.lit(10.0)), F.lit(-10.0)))
+    out = T.vectors_to_long(res.select("cell_id", z.alias("v")), T.gene_order(sub.genes))
+    return out.select("cell_id", "gene_id", r6("value").alias("value"))
