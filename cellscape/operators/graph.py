@@ -255,3 +255,66 @@ def cluster_stability(assignments: DataFrame) -> DataFrame:
     r = F.split_part(F.col("cluster_key"), F.lit("res"), F.lit(2)).try_cast("double")
     return c.withColumn("resolution", r).where(F.col("resolution").isNotNull()).select(
         "method", "resolution", "n_clusters")
+
+
+# --------------------------------------------------------------------------- D7
+
+def _perplexity_rows(d2: np.ndarray, perplexity: float, n_steps: int = 100, tol: float = 1e-5) -> np.ndarray:
+    """Conditional probabilities p_{j|i} from squared distances (row-wise bisection on beta
+    so that the entropy equals log(perplexity)); vectorised over rows."""
+    target = math.log(perplexity)
+    beta = np.ones(len(d2))
+    lo = np.full(len(d2), -np.inf)
+    hi = np.full(len(d2), np.inf)
+    active = np.ones(len(d2), dtype=bool)
+    P = np.zeros_like(d2)
+    for _ in range(n_steps):
+        P = np.exp(-d2 * beta[:, None])
+        s = P.sum(1)
+        s = np.where(s == 0, 1e-8, s)
+        P = P / s[:, None]
+        H = np.log(s) + beta * (d2 * P).sum(1)
+        diff = H - target
+        active &= np.abs(diff) > tol
+        if not active.any():
+            break
+        up = active & (diff > 0)
+        dn = active & (diff <= 0)
+        lo = np.where(up, beta, lo)
+        beta = np.where(up, np.where(np.isinf(hi), beta * 2, (beta + hi) / 2), beta)
+        hi = np.where(dn, beta, hi)
+        beta = np.where(dn, np.where(np.isinf(lo), beta / 2, (beta + lo) / 2), beta)
+    return P
+
+
+def tsne_affinities(knn: DataFrame, perplexity: float = 30.0) -> DataFrame:
+    """Symmetric t-SNE input probabilities from a kNN table built with about
+    3 x perplexity neighbours (self excluded): p = (p_{j|i} + p_{i|j}) / sum over all.
+    Per-cell lists are bounded by the neighbour count; the normaliser is one global sum."""
+    lists = knn.where(F.col("src") != F.col("dst")).groupBy("src").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "dst", "dist"))).alias("nb"))
+
+    def cond(it):
+        for pdf in it:
+            if pdf.empty:
+                continue
+            out_s, out_d, out_p = [], [], []
+            by_len = {}
+            for i, nb in enumerate(pdf["nb"].to_numpy()):
+                by_len.setdefault(len(nb), []).append(i)
+            for ln, idx in by_len.items():
+                D2 = np.array([[r["dist"] ** 2 for r in pdf["nb"].iloc[i]] for i in idx])
+                P = _perplexity_rows(D2, perplexity)
+                for row, i in enumerate(idx):
+                    nb = pdf["nb"].iloc[i]
+                    out_s.extend([pdf["src"].iloc[i]] * ln)
+                    out_d.extend([r["dst"] for r in nb])
+                    out_p.extend(P[row].tolist())
+            yield pd.DataFrame({"src": out_s, "dst": out_d, "p": out_p})
+
+    c = lists.mapInPandas(cond, "src long, dst long, p double")
+    r = c.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("p").alias("q"))
+    j = c.join(r, ["src", "dst"], "full_outer").fillna({"p": 0.0, "q": 0.0}).select(
+        "src", "dst", (F.col("p") + F.col("q")).alias("p"))
+    total = j.select(F.sum("p")).scalar()
+    return j.select("src", "dst", (F.col("p") / F.greatest(total, F.lit(np.finfo(np.double).eps))).alias("p"))

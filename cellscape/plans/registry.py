@@ -1077,3 +1077,11 @@ def q_regress_out(spark, sf_dir):
     z = F.zip_with(F.zip_with("v", mu, lambda a, b: a - b), sd, lambda a, b: F.greatest(F.least(a / b, F.lit(10.0)), F.lit(-10.0)))
     out = T.vectors_to_long(res.select("cell_id", z.alias("v")), T.gene_order(sub.genes))
     return out.select("cell_id", "gene_id", r6("value").alias("value"))
+
+
+@register("tsne_affinities")
+def q_tsne_affinities(spark, sf_dir):
+    """Perplexity 30 on the first 30 coordinates, 91 nearest cells (self + 3 x 30)."""
+    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    knn = NB.knn_exact(v, 91)
+    return GR.tsne_affinities(knn, 30.0).select("src", "dst", r6("p").alias("p"))

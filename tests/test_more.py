@@ -41,3 +41,35 @@ def test_louvain_two_cliques(spark):
         lab = {r.cell_id: r.cluster for r in GR.community_sweep(e, [1.0], refine=refine).collect()}
         assert len(set(lab.values())) == 2
         assert len({lab[i] for i in range(5)}) == 1 and len({lab[i] for i in range(5, 10)}) == 1
+
+
+def test_tsne_affinities_against_numpy(spark):
+    from cellscape.operators import graph as GR
+    from cellscape.operators import neighbors as NB
+
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(30, 3))
+    vec = spark.createDataFrame([(i, X[i].tolist()) for i in range(30)], "cell_id long, v array<double>")
+    k = 13
+    P = {(r.src, r.dst): r.p for r in GR.tsne_affinities(NB.knn_exact(vec, k, n_cells=30), 4.0).collect()}
+    D = ((X[:, None] - X[None]) ** 2).sum(-1)
+    C = np.zeros((30, 30))
+    for i in range(30):
+        nb = [j for j in np.argsort(D[i], kind="stable")[:k] if j != i][: k - 1]
+        lo, hi, beta = 0.0, np.inf, 1.0
+        for _ in range(200):
+            p = np.exp(-D[i, nb] * beta)
+            p /= p.sum()
+            H = -(p * np.log(np.maximum(p, 1e-300))).sum()
+            if abs(H - np.log(4.0)) < 1e-10:
+                break
+            if H > np.log(4.0):
+                lo, beta = beta, beta * 2 if np.isinf(hi) else (beta + hi) / 2
+            else:
+                hi, beta = beta, (beta + lo) / 2
+        C[i, nb] = p
+    S = C + C.T
+    S /= S.sum()
+    assert abs(sum(P.values()) - 1.0) < 1e-9
+    for (i, j), p in P.items():
+        assert abs(p - S[i, j]) < 1e-5
