@@ -145,3 +145,80 @@ def cluster_distance_sums(vec: DataFrame, labels: DataFrame, n_cells: int | None
     return part.groupBy("cell_id", "cluster_key", "cluster").agg(
         F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt")
     )
+
+
+def knn_approx(vec: DataFrame, k: int = 15, n_lists: int | None = None, n_probe: int = 8,
+               chunk_rows: int = DEFAULT_BLOCK, seed: int = 42) -> DataFrame:
+    """Approximate kNN by an inverted file.
+
+    Coarse cells come from MLlib k-means (``n_lists`` ~ sqrt(N)); every cell searches the
+    residents of its ``n_probe`` nearest coarse cells.  Residents of a coarse cell are cut
+    into hash chunks of about ``chunk_rows`` so that a crowded coarse cell is spread over
+    many tasks; queries are copied to every chunk of each probed cell.  Work per cell is
+    about n_probe x (N / n_lists) distances instead of N.  Returns knn(src, dst, rank, dist).
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    n = vec.count()
+    n_lists = n_lists or max(1, int(math.sqrt(n)))
+    feats = vec.select("cell_id", "v", array_to_vector("v").alias("features"))
+    model = KMeans(k=n_lists, seed=seed, maxIter=20).fit(feats)
+    cents = [list(map(float, c)) for c in model.clusterCenters()]
+    C = np.array(cents)
+    probe = min(n_probe, len(cents))
+
+    def assign(it):
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            d = ((X[:, None, :] - C[None, :, :]) ** 2).sum(-1)
+            order = np.argsort(d, axis=1, kind="stable")[:, :probe]
+            yield pd.DataFrame({"cell_id": pdf["cell_id"].to_numpy(), "v": list(X),
+                                "home": order[:, 0].astype(np.int32), "probes": [list(map(int, r)) for r in order]})
+
+    a = vec.select("cell_id", "v").mapInPandas(assign, "cell_id long, v array<double>, home int, probes array<int>")
+    from cellscape.session import cut_lineage
+    a = cut_lineage(a)
+    sizes = a.groupBy("home").agg(F.count(F.lit(1)).alias("n_home"))
+    chunks = sizes.select("home", F.greatest(F.lit(1), F.ceil(F.col("n_home") / F.lit(chunk_rows))).alias("n_chunks"))
+    right = a.join(chunks, "home").select(
+        F.col("home").alias("_list"), F.pmod(F.xxhash64("cell_id"), F.col("n_chunks")).alias("_chunk"), "cell_id", "v")
+    left = (a.select("cell_id", "v", F.explode("probes").alias("_list"))
+            .join(chunks.withColumnRenamed("home", "_list"), "_list")
+            .select("_list", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("_chunk"), "cell_id", "v"))
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+
+    def task(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        if lp.empty or rp.empty:
+            return pd.DataFrame({"src": [], "dst": [], "dist": []})
+        L = np.stack(lp["v"].to_numpy()).astype(np.float64)
+        R = np.stack(rp["v"].to_numpy()).astype(np.float64)
+        rid = rp["cell_id"].to_numpy()
+        o = np.argsort(rid, kind="stable")
+        R, rid = R[o], rid[o]
+        lid = lp["cell_id"].to_numpy()
+        m = min(k, R.shape[0])
+        s_, d_, x_ = [], [], []
+        for s, D in _dist_rows(L, R):
+            idx = np.argsort(D, axis=1, kind="stable")[:, :m]
+            s_.append(np.repeat(lid[s:s + D.shape[0]], m))
+            d_.append(rid[idx].ravel())
+            x_.append(np.take_along_axis(D, idx, axis=1).ravel())
+        return pd.DataFrame({"src": np.concatenate(s_), "dst": np.concatenate(d_), "dist": np.concatenate(x_)})
+
+    cand = left.groupBy("_list", "_chunk").cogroup(right.groupBy("_list", "_chunk")).applyInPandas(
+        task, schema="src long, dst long, dist double")
+    cand = cand.withColumn("dist", F.round(F.col("dist") * F.lit(1e9)) / F.lit(1e9)).dropDuplicates(["src", "dst"])
+    w = Window.partitionBy("src").orderBy("dist", "dst")
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
+        "src", "dst", F.col("rank").cast("int").alias("rank"), "dist")
+
+
+def knn_recall(approx: DataFrame, exact: DataFrame) -> DataFrame:
+    """Fraction of the exact neighbours that the approximate search found (overall and per cell mean)."""
+    hit = exact.select("src", "dst").join(approx.select("src", "dst"), ["src", "dst"], "left_semi")
+    per = exact.groupBy("src").agg(F.count(F.lit(1)).alias("k")).join(
+        hit.groupBy("src").agg(F.count(F.lit(1)).alias("h")), "src", "left").fillna({"h": 0})
+    return per.agg((F.sum("h") / F.sum("k")).alias("recall"), F.min(F.col("h") / F.col("k")).alias("min_cell_recall"))

@@ -1085,3 +1085,16 @@ def q_tsne_affinities(spark, sf_dir):
     v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
     knn = NB.knn_exact(v, 91)
     return GR.tsne_affinities(knn, 30.0).select("src", "dst", r6("p").alias("p"))
+
+
+@register("knn_approx")
+def q_knn_approx(spark, sf_dir):
+    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    return NB.knn_approx(v, N_NEIGHBORS).select("src", "dst", "rank", r6("dist").alias("dist"))
+
+
+@register("knn_recall")
+def q_knn_recall(spark, sf_dir):
+    """Recall of the inverted-file search against the exact search (property: close to 1)."""
+    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    return NB.knn_recall(NB.knn_approx(v, N_NEIGHBORS), NB.knn_exact(v, N_NEIGHBORS))
