@@ -1098,3 +1098,14 @@ def q_knn_recall(spark, sf_dir):
     """Recall of the inverted-file search against the exact search (property: close to 1)."""
     v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
     return NB.knn_recall(NB.knn_approx(v, N_NEIGHBORS), NB.knn_exact(v, N_NEIGHBORS))
+
+
+from cellscape.operators import ward as WD  # noqa: E402
+
+
+@register("hierarchical_sweep")
+def q_hierarchical_sweep(spark, sf_dir):
+    """G7 on the PCA scores, k = 2..10, one Ward tree cut at every k."""
+    scores, _, _ = f3_pca(spark, sf_dir)
+    out, _ = WD.ward_sweep(scores, K_RANGE)
+    return out
