@@ -1109,3 +1109,17 @@ def q_hierarchical_sweep(spark, sf_dir):
     scores, _, _ = f3_pca(spark, sf_dir)
     out, _ = WD.ward_sweep(scores, K_RANGE)
     return out
+
+
+from cellscape.plans import workflow as WF  # noqa: E402
+
+
+@register("clustering_evaluation")
+def q_clustering_evaluation(spark, sf_dir):
+    """G8 + E5-E7 with the default methods (Leiden at 5 resolutions, k-means k = 2..10)
+    on the PCA scores of the vectors: the ranked evaluation table."""
+    scores, _, _ = f3_pca(spark, sf_dir)
+    scores = cut_lineage(scores)
+    asg, _ = WF.run_clustering(scores, WF.ClusteringConfig())
+    ranked, _ = WF.run_evaluation(scores, asg)
+    return _eval_select(ranked)
