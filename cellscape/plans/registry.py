@@ -1139,3 +1139,22 @@ def q_marker_report(spark, sf_dir):
     _, best = WF.run_evaluation(scores, asg)
     top = WF.marker_report(raw, asg, best, 10)
     return _marker_cols(top)
+
+
+@register("resolve_color_keys", f"""
+WITH {S.F3}, {S.F3_EVAL},
+best AS (SELECT cluster_key FROM f3_rank ORDER BY composite_score DESC NULLS LAST, cluster_key LIMIT 1),
+cand AS (SELECT 0 AS pos, cluster_key AS color_key FROM best UNION ALL SELECT 1, 'label' UNION ALL SELECT 2, 'vec_id_mod4'),
+d AS (SELECT color_key, min(pos) AS pos FROM cand GROUP BY color_key)
+SELECT CAST(row_number() OVER (ORDER BY pos) AS INTEGER) AS position, color_key, 'obs' AS source FROM d
+""")
+def q_resolve_color_keys(spark, sf_dir):
+    """P13 on the vectors' evaluation: recommended key, first key per method, QC columns
+    (absent on these cells, hence dropped), resolved against cell columns and gene names."""
+    best = EV.recommend_best(f3_ranked(spark, sf_dir))
+    firsts = []
+    for method in dict.fromkeys(m for m, _, _ in F3_LABELLINGS):
+        firsts.append(next(k for m, k, _ in F3_LABELLINGS if m == method))
+    obs_cols = f3_vectors(spark, sf_dir).columns + [k for _, k, _ in F3_LABELLINGS]
+    genes = tables.part_name_genes(spark, sf_dir)
+    return CH.resolve_color_keys(best, firsts, obs_cols, raw_genes=genes, genes=genes)
