@@ -1158,3 +1158,14 @@ def q_resolve_color_keys(spark, sf_dir):
     obs_cols = f3_vectors(spark, sf_dir).columns + [k for _, k, _ in F3_LABELLINGS]
     genes = tables.part_name_genes(spark, sf_dir)
     return CH.resolve_color_keys(best, firsts, obs_cols, raw_genes=genes, genes=genes)
+
+
+@register("dimension_reduction")
+def q_dimension_reduction(spark, sf_dir):
+    """D9 without layouts: per cell, its fuzzy-graph degree and t-SNE affinity mass on the
+    PCA-based neighbour graphs (one row per cell)."""
+    _, _, graph, affin = WF.run_dimension_reduction(f3_vectors(spark, sf_dir).select("cell_id", "v"))
+    deg = graph.groupBy(F.col("src").alias("cell_id")).agg(F.sum("w").alias("graph_degree"))
+    mass = affin.groupBy(F.col("src").alias("cell_id")).agg(F.sum("p").alias("affinity_mass"))
+    return deg.join(mass, "cell_id", "full_outer").select(
+        "cell_id", r6("graph_degree").alias("graph_degree"), r6(F.col("affinity_mass") * 1e6).alias("affinity_mass_ppm"))
