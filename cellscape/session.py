@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "cellscape") -> SparkSession:
@@ -32,20 +34,70 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.
-    Only when it is unset (tests, local runs) do we pick a folder ourselves.
+    A folder of our own is picked only when it is unset and the master is ``local``, where
+    driver and executors are one process; anywhere else an unset folder is an error.
     """
     sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = os.environ.get("CELLSCAPE_CHECKPOINT_DIR", "/tmp/cellscape-checkpoints")
+    master = sc.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    configured = os.environ.get("CELLSCAPE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="cellscape-checkpoints-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df):
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffle_files_dropped_at_end(spark: SparkSession):
+    """Jobs inside drop their shuffle files when they end; their result is a written table."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+class Scratch:
+    """Intermediate tables of one job in the shared checkpoint folder.
+
+    ``put`` writes a table and reads it back, which cuts the lineage in a way that survives
+    the loss of executors; ``drop`` removes tables that no later step reads.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cellscape-tables/{uuid.uuid4().hex}"
+        self._count = 0
+        self._paths: dict[str, str] = {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        self._count += 1
+        path = f"{self.base}/{self._count:03d}-{name}"
+        with shuffle_files_dropped_at_end(self.spark):
+            df.write.parquet(path)
+        self._paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing a parquet table into the shared checkpoint folder and
     reading it back.
 
@@ -54,8 +106,4 @@ def cut_lineage(df):
     statistics; a ``Dataset.checkpoint`` would keep the statistics of its origin plan,
     which makes iterative jobs that self-join their state plan ever more slowly.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/cellscape-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return Scratch(df.sparkSession).put("cut", df)
