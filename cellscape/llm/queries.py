@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscape.llm import decontam, exact_dedup, license_scan, shard, url_filter
+from cellscape.llm import bpe, decontam, exact_dedup, license_scan, shard, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,24 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokens = bpe.read_ranks(tokenizer_file())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, tokens, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return bpe.decode(ids, tokens).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (shard.kd_shards(docs, N_SHARDS, dims=["lang", "source"])
@@ -63,6 +81,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_bpe": op3_bpe,
     "op5_kd_shards": op5_kd_shards,
     "op6_license_scan": op6_license_scan,
     "op10_decontaminate": op10_decontaminate,
