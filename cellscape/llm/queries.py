@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscape.llm import bpe, decontam, exact_dedup, license_scan, shard, url_filter
+from cellscape.llm import bpe, decontam, exact_dedup, license_scan, ngram_join, shard, suffix_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_groups(table(spark, sf_dir, "documents"), k=3, similarity=90)
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (shard.kd_shards(docs, N_SHARDS, dims=["lang", "source"])
@@ -72,6 +76,13 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.concat_ws(",", "licenses").alias("licenses"), "containment", "n_windows"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -82,8 +93,10 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
+    "op4_ngram_join": op4_ngram_join,
     "op5_kd_shards": op5_kd_shards,
     "op6_license_scan": op6_license_scan,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
@@ -114,6 +127,20 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
 FROM n JOIN g USING (norm)""",
+    "op4_ngram_join": rf"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_UPPER}), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
+        THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM dw),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
+      WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT node, b FROM r JOIN l ON seen = a)
+SELECT node AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(seen) AS component_id
+FROM r LEFT JOIN n ON node = n.doc_id GROUP BY node""",
     "op6_license_scan": rf"""
 WITH t(template_id, text) AS (VALUES {_values(LICENSES)}),
 tw AS (SELECT template_id, {_WORDS.format('text')} AS w FROM t),
