@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscape.llm import bpe, decontam, exact_dedup, license_scan, ngram_join, shard, suffix_dedup, url_filter
+from cellscape.llm import (
+    bpe, decontam, exact_dedup, langid, license_scan, ngram_join, quality, shard, suffix_dedup, url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,7 @@ LICENSES = [
     ("all-rights-reserved", "All rights reserved."),
 ]
 N_SHARDS = 16
+MIN_SCORE = 0.3
 
 
 def _literal(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
@@ -83,6 +86,29 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _fold(of: int) -> Column:
+    """crc32 of the id as text, modulo ``of``; null for a null id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(_fold(4) != 2))
+    found = langid.detect(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
+    return quality.train(docs, labels.where(_fold(5) != 0))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= MIN_SCORE).cast("int").alias("predicted"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -97,6 +123,8 @@ QUERIES = {
     "op5_kd_shards": op5_kd_shards,
     "op6_license_scan": op6_license_scan,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }
 
