@@ -27,6 +27,10 @@ from cellscape.llm.text import BLANKS, shingle_hashes, words
 from cellscape.session import Scratch
 
 
+#: Parts of the n-gram space in which overlaps are bounded one by one.
+PARTS = 32
+
+
 def _with_grams(df: DataFrame, text: str, k: int) -> DataFrame:
     """Replace the text by ``g``, its distinct n-grams in order of their hashes.
 
@@ -78,6 +82,9 @@ def linked_groups(docs: DataFrame, k: int = 5, similarity: int = 80, lead: float
     classes = scratch.put("classes", named.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("g").alias("g"))
         .withColumn("cid", F.monotonically_increasing_id()))
+    members = scratch.put("members", signatures.select("doc_id", "n", "h1", "h2")
+                          .join(classes.select("h1", "h2", "cid"), ["h1", "h2"], "left").select("doc_id", "n", "cid"))
+    scratch.drop("signatures")
 
     # 1. Sieve.
     entries = classes.select("cid", F.explode("g").alias("g"))
@@ -86,9 +93,12 @@ def linked_groups(docs: DataFrame, k: int = 5, similarity: int = 80, lead: float
     left = scratch.put("left", entries.join(shared, "g").groupBy("cid").agg(F.count(F.lit(1)).alias("m"))
                        .join(classes.select("cid", "n", "rep", "h1", "h2"), "cid").where(F.col("m") >= partner)
                        .select("cid", "rep", "h1", "h2"))
+    reps = scratch.put("reps", classes.select("cid", "rep"))
+    scratch.drop("classes")
 
-    # 2. Prefixes of the full rows of what is left.
-    full = (_with_grams(narrow.toDF("rep", "text").join(left.select("rep").distinct(), "rep"), "text", k)
+    # 2. Prefixes of the full rows of what is left.  What is left grows with the input, so it is
+    # merged with the texts and not broadcast.
+    full = (_with_grams(narrow.toDF("rep", "text").join(left.select("rep").distinct().hint("merge"), "rep"), "text", k)
             .select("rep", "g", *_class_key(F.col("g")))
             .join(left, ["rep", "h1", "h2"]).dropDuplicates(["cid"]).select("cid", F.size("g").alias("n"), "g"))
     rows = scratch.put("rows", full)
@@ -99,9 +109,12 @@ def linked_groups(docs: DataFrame, k: int = 5, similarity: int = 80, lead: float
                .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("s"))
                .where(F.size("s") >= _at_least(n, similarity)))
     length = (n - _at_least(n, similarity) + 1 - alone).cast("int")
-    prefixes = scratch.put("prefixes", ordered.select("cid", "n", alone.alias("alone"), F.posexplode(
+    # How many of the n-grams that others share fall in each part of the n-gram space.
+    profile = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)),
+                          lambda part: F.size(F.filter("s", lambda x: F.pmod(x.g, F.lit(PARTS)) == part)))
+    prefixes = scratch.put("prefixes", ordered.select("cid", "n", alone.alias("alone"), profile.alias("profile"), F.posexplode(
         F.slice("s", 1, F.greatest(length, F.lit(0)))).alias("at", "x"))
-        .select("cid", "n", "alone", F.col("x.g").alias("g"), (F.col("alone") + F.col("at") + 1).alias("place")))
+        .select("cid", "n", "alone", "profile", F.col("x.g").alias("g"), (F.col("alone") + F.col("at") + 1).alias("place")))
 
     # 3a. Every row meets the pivot of its blocks: the row with the fewest n-grams of its own.
     pivots = prefixes.groupBy("g").agg(
@@ -114,33 +127,49 @@ def linked_groups(docs: DataFrame, k: int = 5, similarity: int = 80, lead: float
     links = scratch.put("star-links", _verified(stars.select("a", "b"), rows, similarity))
     labels = components(links, scratch, "star")
 
-    # 3b. Pairs of different components, block by block.
+    # 3b. Pairs of different components, block by block.  Only n-grams that other rows have can
+    # overlap, which bounds the sizes of a row's partners; blocks are keyed by the size classes
+    # of both, so a row meets only rows that it could link with by size.  In a block, the rows
+    # outside its most frequent component meet the others.
+    shared_n = n - F.col("alone")
+    low = _at_least(n, similarity)
+    high = F.least(F.floor(n * 100 / F.lit(float(similarity))),
+                   F.floor((shared_n * (100 + similarity) - n * similarity) / F.lit(float(similarity))))
+    scale = lambda m: F.floor(F.log(m.cast("double")) / (-math.log(similarity / 100) / 4)).cast("int")
     sized = (prefixes.join(labels.toDF("cid", "label"), "cid", "left")
-             .select("cid", "n", "g", "place", F.coalesce("label", "cid").alias("label"),
-                     F.floor(F.log(n.cast("double")) / -math.log(similarity / 100)).cast("int").alias("scale")))
-    mixed = sized.groupBy("g").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("g")
-    blocks = scratch.put("blocks", sized.join(mixed, "g"))
-    left_side = blocks.select("g", F.explode(F.array("scale", F.col("scale") + 1, F.col("scale") + 2)).alias("scale"),
-                              F.col("cid").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la"))
-    right_side = blocks.select("g", "scale", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"),
-                               F.col("label").alias("lb"))
-    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    products = (left_side.join(right_side, ["g", "scale"])
-                .where(smaller & (F.col("la") != F.col("lb")) & (F.col("na") * 100 >= F.col("nb") * similarity))
+             .select("cid", "n", "g", "place", "profile", shared_n.alias("e"), F.coalesce("label", "cid").alias("label"),
+                     scale(n).alias("own"), F.sequence(scale(low), scale(F.greatest(low, high))).alias("partners")))
+    per_label = sized.groupBy("g", "label").agg(F.count(F.lit(1)).alias("m"))
+    mixed = (per_label.groupBy("g").agg(F.max(F.struct("m", "label")).alias("x"), F.count(F.lit(1)).alias("labels"))
+             .where("labels > 1").select("g", F.col("x.label").alias("major")))
+    blocks = scratch.put("blocks", sized.join(mixed, "g").withColumn("minor", F.col("label") != F.col("major")))
+    here = blocks.where("minor").select(
+        "g", F.col("own").alias("x"), F.explode("partners").alias("y"), F.col("cid").alias("a"), F.col("n").alias("na"),
+        F.col("e").alias("ea"), F.col("place").alias("pa"), F.col("label").alias("la"), F.col("profile").alias("fa"))
+    there = blocks.select(
+        "g", F.explode("partners").alias("x"), F.col("own").alias("y"), F.col("cid").alias("b"), F.col("n").alias("nb"),
+        F.col("e").alias("eb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("profile").alias("fb"), "minor")
+    sizes = similarity * (F.col("na") + F.col("nb"))
+    # A pair overlaps in each part of the n-gram space by the smaller of its counts at most.
+    in_parts = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    products = (here.join(there, ["g", "x", "y"])
+                .where((F.col("la") != F.col("lb")) & (~F.col("minor") | (F.col("a") < F.col("b")))
+                       & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity)
+                       & (F.least("ea", "eb") * (100 + similarity) >= sizes)
+                       & (in_parts * (100 + similarity) >= sizes))
                 .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"),
                                                    F.max("pb").alias("pb")))
     # Behind the last shared prefix n-gram, at most the rest of the shorter remainder can overlap.
     most = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    candidates = products.where(most * (100 + similarity) >= similarity * (F.col("na") + F.col("nb"))).select("a", "b")
+    candidates = products.where(most * (100 + similarity) >= sizes).select("a", "b")
     more = _verified(candidates, rows, similarity)
     every = scratch.put("links", links.unionByName(more))
     groups = components(every, scratch, "all").toDF("cid", "label")
 
-    ids = classes.select("cid", "h1", "h2", "rep")
-    component = (groups.join(ids.select("cid", "rep"), "cid").groupBy("label").agg(F.min("rep").alias("component")))
-    classed = (ids.join(groups, "cid", "left").join(component, "label", "left")
-               .select("h1", "h2", F.coalesce("component", "rep").alias("component")))
-    return (signatures.select("doc_id", "n", "h1", "h2").join(classed, ["h1", "h2"], "left")
+    component = groups.join(reps, "cid").groupBy("label").agg(F.min("rep").alias("component"))
+    classed = (reps.join(groups, "cid", "left").join(component, "label", "left")
+               .select("cid", F.coalesce("component", "rep").alias("component")))
+    return (members.join(classed, "cid", "left")
             .select("doc_id", n.cast("long").alias("n_shingles"), F.when(
                 F.col("doc_id").isNotNull(),
                 F.when(n > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id")))
