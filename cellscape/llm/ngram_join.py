@@ -105,14 +105,14 @@ def linked_groups(docs: DataFrame, k: int = 5, similarity: int = 80, lead: float
     cells = rows.select("cid", "n", F.explode("g").alias("g"))
     frequency = cells.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     alone = n - F.size("s")
+    # The profile counts the n-grams that others share in each part of the n-gram space.
+    part = F.pmod("g", F.lit(PARTS))
     ordered = (cells.join(frequency, "g").groupBy("cid", "n")
-               .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("s"))
+               .agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("s"),
+                    F.array(*(F.count(F.when(part == i, 1)).cast("int") for i in range(PARTS))).alias("profile"))
                .where(F.size("s") >= _at_least(n, similarity)))
     length = (n - _at_least(n, similarity) + 1 - alone).cast("int")
-    # How many of the n-grams that others share fall in each part of the n-gram space.
-    profile = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)),
-                          lambda part: F.size(F.filter("s", lambda x: F.pmod(x.g, F.lit(PARTS)) == part)))
-    prefixes = scratch.put("prefixes", ordered.select("cid", "n", alone.alias("alone"), profile.alias("profile"), F.posexplode(
+    prefixes = scratch.put("prefixes", ordered.select("cid", "n", alone.alias("alone"), "profile", F.posexplode(
         F.slice("s", 1, F.greatest(length, F.lit(0)))).alias("at", "x"))
         .select("cid", "n", "alone", "profile", F.col("x.g").alias("g"), (F.col("alone") + F.col("at") + 1).alias("place")))
 
