@@ -139,22 +139,25 @@ def evaluate_all(vec: DataFrame, assignments: DataFrame, n_cells: int | None = N
     return cut_lineage(out)
 
 
-def _norm(df: DataFrame, c: str, invert: bool = False):
-    lo = df.select(F.min(c)).scalar()
-    hi = df.select(F.max(c)).scalar()
-    x = F.when(hi == lo, F.lit(0.5)).otherwise((F.col(c) - lo) / (hi - lo))
-    if invert:
-        x = F.when(hi == lo, F.lit(0.5)).otherwise(F.lit(1.0) - (F.col(c) - lo) / (hi - lo))
-    return x
+#: Indices of the composite score; for the last one smaller is better.
+_INDICES = ("silhouette_score", "calinski_harabasz_index", "davies_bouldin_index")
 
 
 def composite_score(ev: DataFrame) -> DataFrame:
     """Min-max each index across configurations (constant -> 0.5, DBI inverted), mean
     of the three; a missing index leaves the score missing.  Sorted by score descending,
-    missing last, ties by cluster_key."""
-    score = (_norm(ev, "silhouette_score") + _norm(ev, "davies_bouldin_index", True)
-             + _norm(ev, "calinski_harabasz_index")) / F.lit(3.0)
-    return ev.withColumn("composite_score", score).orderBy(F.desc_nulls_last("composite_score"), "cluster_key")
+    missing last, ties by cluster_key.  All ranges come from one aggregate of the table."""
+    ranges = ev.agg(*(F.struct(F.min(c).alias("lo"), (F.max(c) - F.min(c)).alias("width")).alias(f"_{c}") for c in _INDICES))
+
+    def place(c: str):
+        share = (F.col(c) - F.col(f"_{c}.lo")) / F.nullif(F.col(f"_{c}.width"), F.lit(0.0))
+        share = F.lit(1.0) - share if c == _INDICES[-1] else share
+        return F.when(F.col(f"_{c}.width") == 0, F.lit(0.5)).otherwise(share)
+
+    score = (place("silhouette_score") + place("davies_bouldin_index") + place("calinski_harabasz_index")) / F.lit(3.0)
+    return (ev.join(F.broadcast(ranges))  # one row
+            .withColumn("composite_score", score).drop(*(f"_{c}" for c in _INDICES))
+            .orderBy(F.desc_nulls_last("composite_score"), "cluster_key"))
 
 
 def recommend_best(ranked: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ def regress_out(vec: DataFrame, covariates: DataFrame, names=("S_score", "G2M_sc
     ).first()
     xtx = np.array([[sums.n, sums.sa, sums.sb], [sums.sa, sums.saa, sums.sab], [sums.sb, sums.sab, sums.sbb]], float)
     xty = np.vstack([sums.y1, sums.ya, sums.yb])
-    beta = np.linalg.solve(xtx, xty)  # 3 x genes
+    beta = np.linalg.lstsq(xtx, xty, rcond=None)[0]  # 3 x genes; collinear scores share their effect
     b0, b1, b2 = ([float(x) for x in row] for row in beta)
     out = d.withColumn("_b", F.arrays_zip(F.lit(b0).alias("c0"), F.lit(b1).alias("c1"), F.lit(b2).alias("c2")))
     res = F.zip_with("v", "_b", lambda y, c: y - (c["c0"] + c["c1"] * F.col(a) + c["c2"] * F.col(b)))

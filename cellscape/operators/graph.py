@@ -17,11 +17,6 @@ iterative jobs write their small per-node state to the checkpoint folder every r
 from __future__ import annotations
 
 import math
-import os
-import time
-
-_TRACE = os.environ.get("CELLSCAPE_TRACE") == "1"
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -166,21 +161,19 @@ def _local_moving(edges: DataFrame, nodes: DataFrame, m2, max_rounds: int, level
         nodes_new = cut_lineage(nodes.drop("comm").join(upd, ["res", "node"]))
         counts = nodes_new.agg(F.count_if("moved").alias("m"), F.count_if("wants").alias("w")).first()
         nodes = nodes_new.drop("moved", "wants")
-        if _TRACE:
-            print(f"level {level} round {rnd} moved {counts['m']} wants {counts['w']} t={time.time():.1f}", flush=True)
         if counts["w"] == 0:
             break
     return nodes
 
 
-def _components_within(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """Connected components inside every community by min-label propagation."""
+def _components_within(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Connected components inside every community: smallest labels spread until none changes."""
     comp = nodes.select("res", "node", "comm", F.col("node").alias("cc"))
     intra = (edges.join(nodes.select("res", F.col("node").alias("src"), F.col("comm").alias("cs")), ["res", "src"])
              .join(nodes.select("res", F.col("node").alias("dst"), F.col("comm").alias("cd")), ["res", "dst"])
              .where(F.col("cs") == F.col("cd")).select("res", "src", "dst"))
     intra = cut_lineage(intra)
-    for _ in range(max_rounds):
+    while True:
         prop = (intra.join(comp.select("res", F.col("node").alias("src"), F.col("cc").alias("c_src")), ["res", "src"])
                 .groupBy("res", F.col("dst").alias("node")).agg(F.min("c_src").alias("c_in")))
         new = comp.join(prop, ["res", "node"], "left").withColumn(
@@ -240,7 +233,7 @@ def community_sweep(edges: DataFrame, resolutions: list[float], refine: bool = F
     labels = member.select(
         "cell_id", F.lit(method).alias("method"),
         F.concat(F.lit(f"{method}_res"), F.col("res").cast("string")).alias("cluster_key"),
-        F.col("node").cast("int").alias("cluster"))
+        F.col("node").alias("cluster"))
     mapping = relabel_by_size(labels)
     return labels.join(mapping.select("cluster_key", "cluster", "new_cluster"), ["cluster_key", "cluster"]).select(
         "cell_id", "method", "cluster_key", F.col("new_cluster").alias("cluster"))

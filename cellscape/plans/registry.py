@@ -1064,8 +1064,9 @@ def q_violin_density(spark, sf_dir):
 def q_regress_out(spark, sf_dir):
     """T8 + T9: cell-cycle scores regressed out of the scaled matrix, then scaled again."""
     sub, vec = f2_preprocessed(spark, sf_dir)
-    ln = T.normalize_log(f2(spark, sf_dir))
-    phase = GS.cell_cycle_phase(ln, S_LIST, G2M_LIST)
+    m = f2(spark, sf_dir)
+    kept = qc.cell_qc_metrics(m).where(qc.qc_keep_condition(F2_PRE)).select("cell_id")
+    phase = GS.cell_cycle_phase(T.normalize_log(m.restrict_cells(kept)), S_LIST, G2M_LIST)
     res = GS.regress_out(vec, phase)
     # Scale + clip again, on the residual vectors (dense): mean / sd per position.
     from pyspark.ml.functions import array_to_vector, vector_to_array
