@@ -21,7 +21,7 @@ from cellscape.session import Scratch
 LEVEL_BITS, TEXT_BITS, ROW_BITS = 20, 20, 22
 LOW_BITS = TEXT_BITS + ROW_BITS
 #: Bits of the key that are left below the bins of each round.
-ROUNDS = (52, 42, 32, 22, 11, 0)
+ROUNDS = (47, 34, 22, 11, 0)
 #: A cut is good enough when it misses its target by this share of a shard's bytes; at the
 #: edge of a group of equal texts more is allowed.
 NEAR, NEAR_GROUP = 0.002, 0.01
@@ -88,7 +88,7 @@ def _medians(rows: DataFrame, nodes: dict[int, dict], dims: int) -> list[tuple]:
                 .groupBy("node", "below", "target", F.shiftright("key", left).alias("bin"))
                 .agg(F.sum("size").alias("bytes")))
         order = Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        upto = F.col("below") + F.sum("bytes").over(order)  # at most 2^11 bins a node
+        upto = F.col("below") + F.sum("bytes").over(order)  # at most 2^15 bins a node
         crossing = (bins.withColumn("upto", upto).where("upto >= target")
                     .groupBy("node").agg(F.min(F.struct("upto", "bin", "bytes")).alias("x")).select("node", "x.*"))
         for r in crossing.collect():  # one row per node
