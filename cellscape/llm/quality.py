@@ -23,7 +23,7 @@ BITS = 18
 #: Follow-the-regularised-leader: learning rate, its offset, L1 and L2 strength; passes over the sample.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 1e-4, 1e-4, 3
 #: Words whose hashes a worker remembers.
-MEMO = 300_000
+MEMO = 100_000
 #: Weight of the n-gram shares against the constant.
 SCALE = 8.0
 
@@ -100,7 +100,7 @@ def _follow_leader(texts: list[str | None], labels: np.ndarray) -> np.ndarray:
     for x in texts:
         place, value, _ = features.of([x])
         at, where = np.unique(place, return_inverse=True)
-        rows.append((at, np.bincount(where, value)))
+        rows.append((at.astype(np.int32), np.bincount(where, value)))
     for _ in range(PASSES):
         for (at, x), label in zip(rows, labels, strict=True):
             w = _weights(z[at], n[at])
