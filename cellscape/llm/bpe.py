@@ -30,7 +30,7 @@ LEAF = 2
 #: Halves of up to this many bytes are remembered.
 SHORT = 5
 #: Entries of each memory of a worker; a full one starts anew.
-MEMO = 400_000
+MEMO = 100_000
 #: Bytes of text encoded at a time.
 SLICE = 4 << 20
 
@@ -213,9 +213,46 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text",
     growth of windows.  ``tokens`` is the vocabulary in order of rank, which is small by
     nature and sent to the executors once.
     """
-    vocabulary = df.sparkSession.sparkContext.broadcast({"tokens": tokens, "memory": {}})
     schema = _with_column(df, out, T.ArrayType(T.IntegerType(), False))
     names = [f.name for f in schema.fields[:-1]]
+    return df.mapInArrow(_encoder(_vocabulary(df, tokens), pattern, text, names, out), schema)
+
+
+def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Add the bytes of each id list as a binary column ``out``; a null or empty list has none.
+
+    Joining bytes is the decoder's monoid: tokens are looked up as leaves of one buffer per
+    run of rows, and a row's bytes are the span between its first and its last leaf.  An id
+    outside the vocabulary is an error.
+    """
+    schema = _with_column(df, out, T.BinaryType())
+    names = [f.name for f in schema.fields[:-1]]
+    return df.mapInArrow(_decoder(_vocabulary(df, tokens), ids, names, out), schema)
+
+
+def round_trip(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text", ids: str = "ids",
+               out: str = "decoded") -> DataFrame:
+    """``encode`` followed by ``decode`` in the same worker; the text gives way to what was decoded.
+
+    One worker per task runs both, so a task needs the memory of one.  Nulls, empty tables and
+    other columns are treated as the two do.
+    """
+    kept = [f for f in df.schema.fields if f.name not in (text, ids, out)]
+    names = [f.name for f in kept]
+    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType(), False)),
+                           T.StructField(out, T.BinaryType())])
+    vocabulary = _vocabulary(df, tokens)
+    encoded = _encoder(vocabulary, pattern, text, names, ids)
+    decoded = _decoder(vocabulary, ids, [*names, ids], out)
+    return df.mapInArrow(lambda batches: decoded(encoded(batches)), schema)
+
+
+def _vocabulary(df: DataFrame, tokens: list[bytes]):
+    return df.sparkSession.sparkContext.broadcast({"tokens": tokens, "memory": {}})
+
+
+def _encoder(vocabulary, pattern: str, text: str, names: list[str], out: str):
+    """Batches with the columns ``names`` and the ids of ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The broadcast value stays in a worker between tasks, and with it the codec's memory.
@@ -232,22 +269,14 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text",
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(n)) for n in names), ids],
                                                  names=[*names, out])
 
-    return df.mapInArrow(run, schema)
-
+    return run
 
-def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add the bytes of each id list as a binary column ``out``; a null or empty list has none.
 
-    Joining bytes is the decoder's monoid: tokens are looked up as leaves of one buffer per
-    run of rows, and a row's bytes are the span between its first and its last leaf.  An id
-    outside the vocabulary is an error.
-    """
-    vocabulary = df.sparkSession.sparkContext.broadcast(tokens)
-    schema = _with_column(df, out, T.BinaryType())
-    names = [f.name for f in schema.fields[:-1]]
+def _decoder(vocabulary, ids: str, names: list[str], out: str):
+    """Batches with the columns ``names`` and the bytes of ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(vocabulary.value, pa.large_binary())
+        table = pa.array(vocabulary.value["tokens"], pa.large_binary())
         for batch in batches:
             every = batch.column(batch.schema.get_field_index(ids))
             for start, stop in _slices(pc.list_value_length(every), SLICE // 4):
@@ -262,4 +291,4 @@ def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "dec
                     [*(part.column(part.schema.get_field_index(n)) for n in names), data.cast(pa.binary())],
                     names=[*names, out])
 
-    return df.mapInArrow(run, schema)
+    return run

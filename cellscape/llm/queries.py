@@ -55,8 +55,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tokens = bpe.read_ranks(tokenizer_file())
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, tokens, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.decode(ids, tokens).select(
+    return bpe.round_trip(docs, tokens, public_tokenizers.PATTERN).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

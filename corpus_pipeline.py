@@ -42,7 +42,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokens = bpe.read_ranks(tokenizer_file())
-    decoded = bpe.decode(bpe.encode(docs, tokens, public_tokenizers.PATTERN).drop("text"), tokens)
+    decoded = bpe.round_trip(docs, tokens, public_tokenizers.PATTERN)
     return decoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                           F.decode("decoded", "utf-8").alias("text"))
 

@@ -116,6 +116,8 @@ def test_bpe_round_trip_and_reference_library(spark):
     for r in out:
         assert list(r.ids) == library.encode_ordinary(texts[r.doc_id] or "")
         assert bytes(r.decoded) == (texts[r.doc_id] or "").encode()
+    both = {r.doc_id: r for r in bpe.round_trip(docs_of(spark, texts), tokens, P.PATTERN).collect()}
+    assert {r.doc_id: (r.ids, r.decoded) for r in out} == {i: (r.ids, r.decoded) for i, r in both.items()}
     assert bpe.encode(docs_of(spark, ["a"]).limit(0), tokens, P.PATTERN).count() == 0
 
 
