@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 LEAF = 2
 #: Halves of up to this many bytes are remembered.
 SHORT = 5
-#: Entries of each memory of a worker; a full one starts anew.
-MEMO = 100_000
+#: Entries of each memory of a worker, if no other number is given; a full one starts anew.
+MEMO = 400_000
 #: Bytes of text encoded at a time.
 SLICE = 4 << 20
 
@@ -47,7 +47,7 @@ def read_ranks(path: str) -> list[bytes]:
 class Codec:
     """``memory`` holds what has been learned about pieces; it may outlive the codec."""
 
-    def __init__(self, tokens: list[bytes], pattern: str, memory: dict | None = None):
+    def __init__(self, tokens: list[bytes], pattern: str, memory: dict | None = None, memo: int = MEMO):
         import regex
 
         self.find = regex.compile(pattern).findall
@@ -56,7 +56,7 @@ class Codec:
         if "ranks" not in memory:
             memory |= {"ranks": {token: rank for rank, token in enumerate(tokens)},
                        "halves": {}, "pairs": {}, "pieces": {}, "chunks": {}}
-        self.tokens = tokens
+        self.tokens, self.memo = tokens, memo
         self.ranks: dict[bytes, int] = memory["ranks"]
         self.halves: dict[bytes, tuple[int, ...]] = memory["halves"]
         self.pairs: dict[tuple[int, int], tuple[int, ...]] = memory["pairs"]
@@ -113,7 +113,7 @@ class Codec:
         known = self.pairs.get((left, right))
         if known is None:
             known = self.merge(self.tokens[left] + self.tokens[right])
-            if len(self.pairs) >= MEMO:
+            if len(self.pairs) >= self.memo:
                 self.pairs.clear()
             self.pairs[left, right] = known
         return known
@@ -145,7 +145,7 @@ class Codec:
             half = (n + 1) // 2
             ids = self.join(self.encode_bytes(piece[:half]), self.encode_bytes(piece[half:]))
         if n <= SHORT:
-            if len(self.halves) >= MEMO:
+            if len(self.halves) >= self.memo:
                 self.halves.clear()
             self.halves[piece] = ids
         return ids
@@ -159,7 +159,7 @@ class Codec:
         whole = self.ranks.get(data)
         ids = self.encode_bytes(data) if whole is None else (whole,)
         if len(piece) <= 40:
-            if len(self.pieces) >= MEMO:
+            if len(self.pieces) >= self.memo:
                 self.pieces.clear()
             self.pieces[piece] = ids
         return ids
@@ -184,7 +184,7 @@ class Codec:
         """A chunk and the space before it."""
         ids = tuple([i for piece in self.find(" " + chunk) for i in self.encode_piece(piece)])
         if len(chunk) <= 40:
-            if len(self.chunks) >= MEMO:
+            if len(self.chunks) >= self.memo:
                 self.chunks.clear()
             self.chunks[chunk] = ids
         return ids
@@ -203,7 +203,8 @@ def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text", out: str = "ids",
+           memo: int = MEMO) -> DataFrame:
     """Add the token ids of each whole text as an array column ``out``.
 
     Every match of ``pattern`` is encoded on its own, without special tokens.  Null and empty
@@ -211,11 +212,12 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text",
     and repeated rows, stay as they are; an empty table gives an empty result.  A very long
     text, also one without any blank, takes time in proportion to its length but for the
     growth of windows.  ``tokens`` is the vocabulary in order of rank, which is small by
-    nature and sent to the executors once.
+    nature and sent to the executors once.  ``memo`` bounds what a worker remembers about pieces;
+    it changes the cost and not the result.
     """
     schema = _with_column(df, out, T.ArrayType(T.IntegerType(), False))
     names = [f.name for f in schema.fields[:-1]]
-    return df.mapInArrow(_encoder(_vocabulary(df, tokens), pattern, text, names, out), schema)
+    return df.mapInArrow(_encoder(_vocabulary(df, tokens), pattern, text, names, out, memo), schema)
 
 
 def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -231,7 +233,7 @@ def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "dec
 
 
 def round_trip(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text", ids: str = "ids",
-               out: str = "decoded") -> DataFrame:
+               out: str = "decoded", memo: int = MEMO) -> DataFrame:
     """``encode`` followed by ``decode`` in the same worker; the text gives way to what was decoded.
 
     One worker per task runs both, so a task needs the memory of one.  Nulls, empty tables and
@@ -242,7 +244,7 @@ def round_trip(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "te
     schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType(), False)),
                            T.StructField(out, T.BinaryType())])
     vocabulary = _vocabulary(df, tokens)
-    encoded = _encoder(vocabulary, pattern, text, names, ids)
+    encoded = _encoder(vocabulary, pattern, text, names, ids, memo)
     decoded = _decoder(vocabulary, ids, [*names, ids], out)
     return df.mapInArrow(lambda batches: decoded(encoded(batches)), schema)
 
@@ -251,12 +253,12 @@ def _vocabulary(df: DataFrame, tokens: list[bytes]):
     return df.sparkSession.sparkContext.broadcast({"tokens": tokens, "memory": {}})
 
 
-def _encoder(vocabulary, pattern: str, text: str, names: list[str], out: str):
+def _encoder(vocabulary, pattern: str, text: str, names: list[str], out: str, memo: int):
     """Batches with the columns ``names`` and the ids of ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The broadcast value stays in a worker between tasks, and with it the codec's memory.
-        codec = Codec(vocabulary.value["tokens"], pattern, vocabulary.value["memory"])
+        codec = Codec(vocabulary.value["tokens"], pattern, vocabulary.value["memory"], memo)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             for start, stop in _slices(pc.binary_length(texts), SLICE):

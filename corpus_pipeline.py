@@ -15,6 +15,10 @@ from cellscape.llm.queries import MIN_SCORE, quality_model, table, tokenizer_fil
 from cellscape.session import Scratch
 
 
+#: Pieces that a worker of the last stage remembers: few, since the stages before left the executors' heaps full.
+CODEC_MEMO = 100_000
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score under MIN_SCORE) go."""
     model = quality_model(docs, table(spark, sf_dir, "labels"))
@@ -42,7 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokens = bpe.read_ranks(tokenizer_file())
-    decoded = bpe.round_trip(docs, tokens, public_tokenizers.PATTERN)
+    decoded = bpe.round_trip(docs, tokens, public_tokenizers.PATTERN, memo=CODEC_MEMO)
     return decoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                           F.decode("decoded", "utf-8").alias("text"))
 
