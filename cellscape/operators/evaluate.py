@@ -112,6 +112,34 @@ def davies_bouldin_and_calinski(vec: DataFrame, assignments: DataFrame) -> DataF
     )
 
 
+def silhouette_scalable(vec: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Mean silhouette per configuration on squared Euclidean distances, all cells, no pairs.
+
+    The mean squared distance of x to a cluster is |x - centroid|^2 plus the cluster's mean
+    squared spread, so one linear pass per configuration gives a and b; the own cluster
+    leaves x itself out (factor n / (n - 1)).  Singletons score 0, and a configuration with
+    fewer than 2 or as many clusters as cells gets NULL.
+    """
+    labelled = L.with_labels(vec, assignments)
+    cents = cut_lineage(L.cluster_centroids(labelled))
+    spread = (labelled.join(cents.select("cluster_key", "cluster", "centroid"), ["cluster_key", "cluster"])
+              .groupBy("cluster_key", "cluster").agg(F.avg(sq_dist("v", "centroid")).alias("spread")))
+    per_key = cut_lineage(cents.join(spread, ["cluster_key", "cluster"]).groupBy("cluster_key").agg(
+        F.collect_list(F.struct("cluster", "centroid", "size", "spread")).alias("cs"), F.sum("size").alias("n")))
+    away = F.expr(f"transform(cs, c -> struct(c.cluster AS cluster, c.size AS size, "
+                  f"{SQ_DIST.format(a='v', b='c.centroid')} + c.spread AS d))")
+    ds = labelled.join(per_key, "cluster_key").select(
+        "cluster_key", F.col("cluster").alias("own_cluster"), "n", away.alias("ds"))
+    own = F.expr("filter(ds, c -> c.cluster = own_cluster)[0]")
+    a = own["d"] * own["size"] / F.nullif(own["size"] - 1, F.lit(0))
+    b = F.expr("array_min(transform(filter(ds, c -> c.cluster <> own_cluster), c -> c.d))")
+    scored = ds.select("cluster_key", "n", F.size("ds").alias("k"), a.alias("a"), b.alias("b"))
+    s = F.when(F.col("a").isNull() | (F.greatest("a", "b") == 0), F.lit(0.0)).otherwise(
+        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    valid = (F.col("k") >= 2) & (F.col("k") < F.col("n"))
+    return scored.groupBy("cluster_key").agg(F.avg(F.when(valid, s)).alias("silhouette_score"))
+
+
 def kmeans_inertia(vec: DataFrame, assignments: DataFrame) -> DataFrame:
     """Within-cluster sum of squared distances to the centroids, per configuration."""
     labelled = L.with_labels(vec, assignments)

@@ -408,6 +408,24 @@ def q_silhouette_exact(spark, sf_dir):
     return s.select("cluster_key", r6("silhouette_score").alias("silhouette_score"))
 
 
+@register("silhouette_scalable", f"""
+WITH {S.F3},
+vv AS (SELECT vec_id AS cell_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pd AS (SELECT x.cell_id AS i, y.cell_id AS j, list_distance(x.v, y.v) ** 2 AS d FROM vv x JOIN vv y ON x.cell_id <> y.cell_id),
+md AS (SELECT la.cluster_key, pd.i, la.cluster AS own, lb.cluster AS other, avg(pd.d) AS d
+       FROM pd JOIN f3_asg la ON la.cell_id = pd.i JOIN f3_asg lb ON lb.cell_id = pd.j AND lb.cluster_key = la.cluster_key
+       GROUP BY ALL),
+ab AS (SELECT cluster_key, i, max(d) FILTER (WHERE own = other) AS a, min(d) FILTER (WHERE own <> other) AS b
+       FROM md GROUP BY ALL),
+kn AS (SELECT cluster_key, count(DISTINCT cluster) AS k, count(*) AS n FROM f3_asg GROUP BY 1)
+SELECT cluster_key, {S.R("avg(CASE WHEN k < 2 OR k >= n THEN NULL WHEN a IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END)")} AS silhouette_score
+FROM ab JOIN kn USING (cluster_key) GROUP BY cluster_key
+""")
+def q_silhouette_scalable(spark, sf_dir):
+    s = EV.silhouette_scalable(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
+    return s.select("cluster_key", r6("silhouette_score").alias("silhouette_score"))
+
+
 @register("evaluate_all", f"WITH {S.F3}, {S.F3_EVAL} {_eval_sql('f3_ev', False)}")
 def q_evaluate_all(spark, sf_dir):
     ev = EV.evaluate_all(f3_vectors(spark, sf_dir), f3_assignments(spark, sf_dir))
