@@ -152,11 +152,15 @@ def linked_groups(docs: DataFrame, k: int = 5, similarity: int = 80, lead: float
     sizes = similarity * (F.col("na") + F.col("nb"))
     # A pair overlaps in each part of the n-gram space by the smaller of its counts at most.
     in_parts = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    flipped = [("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"), ("pa", "pb"), ("pb", "pa")]
     products = (here.join(there, ["g", "x", "y"])
                 .where((F.col("la") != F.col("lb")) & (~F.col("minor") | (F.col("a") < F.col("b")))
                        & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity)
                        & (F.least("ea", "eb") * (100 + similarity) >= sizes)
                        & (in_parts * (100 + similarity) >= sizes))
+                # Which row is the minor one differs from block to block; a pair is summed up in one order.
+                .select(F.inline(F.array(F.when(F.col("a") < F.col("b"), F.struct("a", "b", "na", "nb", "pa", "pb"))
+                                         .otherwise(F.struct(*(F.col(y).alias(x) for x, y in flipped))))))
                 .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"),
                                                    F.max("pb").alias("pb")))
     # Behind the last shared prefix n-gram, at most the rest of the shorter remainder can overlap.

@@ -154,6 +154,23 @@ def test_linked_groups(spark, k, similarity):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(low)
 
 
+@pytest.mark.parametrize("k, similarity, apart, own", [(3, 90, 5, 2), (5, 80, 10, 4)])
+def test_linked_groups_of_two_families(spark, k, similarity, apart, own):
+    """Only a and b link two families, and each family is the larger one in half of the blocks that a and b share."""
+    texts = []
+    for group in range(4):
+        word = lambda kind, n: [f"{kind}{group}q{i}" for i in range(n)]  # noqa: E731, B023
+        core, x, y = word("c", 100 - apart + k - 1), word("x", apart), word("y", apart)
+        texts += [x + core, core + y]
+        for i in range(3):
+            texts.append(word(f"u{i}", 1) + x[own:] + core[:30] + word("za", 1) + core[31:])
+            texts.append(core[:60] + word("zb", 1) + core[61:] + y[:-own] + word(f"v{i}", 1))
+    rows = {r.doc_id: r for r in ngram_join.linked_groups(
+        docs_of(spark, [" ".join(t) for t in texts]), k, similarity).collect()}
+    assert rows[0].n_shingles == rows[1].n_shingles == 100
+    assert {i: r.component_id for i, r in rows.items()} == {i: i // 8 * 8 for i in range(len(texts))}
+
+
 def test_linked_groups_without_ids_and_rows(spark):
     docs = docs_of(spark, ["a b c d e f", "a b c d e f", "a b c d e f"], [None, 7, 7])
     got = sorted(((r.doc_id, r.component_id) for r in ngram_join.linked_groups(docs).collect()), key=str)
