@@ -78,6 +78,13 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.concat_ws(",", "licenses").alias("licenses"), "containment", "n_windows"))
 
 
+def op6_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statements of op6_license_scan and whole license texts and headers; near variants are told apart."""
+    templates = _literal(spark, [*LICENSES, *license_scan.shipped_templates()], ["template_id", "text"])
+    return (license_scan.license_scan(table(spark, sf_dir, "documents"), templates, explained=True)
+            .select("doc_id", F.concat_ws(",", "licenses").alias("licenses"), "containment", "n_windows"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 400)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
@@ -121,6 +128,7 @@ QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op5_kd_shards": op5_kd_shards,
     "op6_license_scan": op6_license_scan,
+    "op6_license_templates": op6_license_templates,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,

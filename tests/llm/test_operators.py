@@ -216,6 +216,42 @@ def test_license_scan(spark):
     assert license_scan.license_scan(docs.limit(0), templates).count() == 0
 
 
+def brute_licenses(text, sets, stride):
+    """Templates with a window that holds 0.8 of their shingles, none of a better one's shingles only."""
+    w, out = plain_words(text), set()
+    at = [tuple(w[j:j + 2]) for j in range(len(w) - 1)]
+    for size in set(stride.values()):
+        for start in range(0, len(at), size):
+            have = set(at[start:start + 2 * size])
+            held = {i: sets[i] & have for i in sets if stride[i] == size and len(sets[i] & have) >= 0.8 * len(sets[i])}
+            share = {i: len(g) / len(sets[i]) for i, g in held.items()}
+            out |= {i for i in held if not any(share[j] > share[i] and held[i] <= held[j] for j in held)}
+    return out
+
+
+def test_whole_licenses_and_near_variants(spark):
+    from cellscape.llm import queries
+
+    rnd = random.Random(8)
+    shipped = dict([*queries.LICENSES, *license_scan.shipped_templates()])
+    sets = {i: {tuple(w[j:j + 2]) for j in range(len(w) - 1)} for i, w in ((i, plain_words(t)) for i, t in shipped.items())}
+    stride = {i: 2 ** (len(plain_words(t)) - 1).bit_length() for i, t in shipped.items()}
+    near = [(a, b) for a in sets for b in sets if a != b and 0.8 <= len(sets[a] & sets[b]) / len(sets[a]) < 1]
+    assert ("GPL-3.0", "AGPL-3.0#statement") in near and ("BSD-2-Clause#text", "BSD-3-Clause#text") in near
+    short = [i for i in sets if stride[i] < 1024]
+    assert all(stride[a] == stride[b] for a, b in near if b in short)  # so that they meet in one window
+    texts = [prose(rnd, 40) + "\n" + t + "\n" + prose(rnd, 40) for t in shipped.values()]
+    texts.append("Released under the MIT License. Licensed under CC BY-NC-SA 4.0.")
+    templates = spark.createDataFrame(list(shipped.items()), "template_id string, text string")
+    found = license_scan.license_scan(docs_of(spark, texts), templates, explained=True)
+    got = {r.doc_id: set(r.licenses) for r in found.collect()}
+    assert got == {i: brute_licenses(t, sets, stride) for i, t in enumerate(texts)}
+    assert got.pop(len(shipped)) == {"MIT", "CC-BY-NC-SA-4.0#statement"}
+    named = {i: got[n] for n, i in enumerate(shipped)}
+    assert all(i in names for i, names in named.items())
+    assert all(named[i] == {j for j in sets if sets[j] <= sets[i]} for i in short)
+
+
 # --- 7 ---------------------------------------------------------------------------------------------
 
 def brute_repeats(texts, length):
