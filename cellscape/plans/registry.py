@@ -695,6 +695,12 @@ def f3_pca(spark, sf_dir):
     return RD.pca(f3_vectors(spark, sf_dir).select("cell_id", "v"), N_PCS)
 
 
+def f3_pcs(spark, sf_dir):
+    """The first principal components, on which neighbours are searched."""
+    scores, _, _ = f3_pca(spark, sf_dir)
+    return cut_lineage(RD.slice_pcs(scores, N_PCS_USE))
+
+
 @register("pca")
 def q_pca(spark, sf_dir):
     scores, _, _ = f3_pca(spark, sf_dir)
@@ -779,8 +785,7 @@ RESOLUTIONS = [0.3, 0.5, 0.8, 1.0, 1.5]
 
 
 def f3_knn(spark, sf_dir):
-    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
-    return NB.knn_exact(v, N_NEIGHBORS)
+    return NB.knn_exact(f3_pcs(spark, sf_dir), N_NEIGHBORS)
 
 
 def f3_fuzzy(spark, sf_dir):
@@ -813,7 +818,9 @@ SELECT p.cluster_key, {S.R('coalesce(i.inside, 0.0) / m2.m2 - p.sq / (m2.m2 * m2
 FROM pen p CROSS JOIN m2 LEFT JOIN ins i ON i.cluster_key = p.cluster_key
 """)
 def q_graph_modularity(spark, sf_dir):
-    edges = GR.knn_graph(f3_knn(spark, sf_dir))
+    # On the coordinates that the SQL uses.
+    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    edges = GR.knn_graph(NB.knn_exact(v, N_NEIGHBORS))
     q = GR.modularity(edges, f3_assignments(spark, sf_dir), 1.0)
     return q.select("cluster_key", r6("modularity").alias("modularity"))
 
@@ -1100,22 +1107,22 @@ def q_regress_out(spark, sf_dir):
 
 @register("tsne_affinities")
 def q_tsne_affinities(spark, sf_dir):
-    """Perplexity 30 on the first 30 coordinates, 91 nearest cells (self + 3 x 30)."""
-    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    """Perplexity 30 on the first 30 components, 91 nearest cells (self + 3 x 30)."""
+    v = f3_pcs(spark, sf_dir)
     knn = NB.knn_exact(v, 91)
     return GR.tsne_affinities(knn, 30.0).select("src", "dst", r6("p").alias("p"))
 
 
 @register("knn_approx")
 def q_knn_approx(spark, sf_dir):
-    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    v = f3_pcs(spark, sf_dir)
     return NB.knn_approx(v, N_NEIGHBORS).select("src", "dst", "rank", r6("dist").alias("dist"))
 
 
 @register("knn_recall")
 def q_knn_recall(spark, sf_dir):
     """Recall of the inverted-file search against the exact search (property: close to 1)."""
-    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
+    v = f3_pcs(spark, sf_dir)
     return NB.knn_recall(NB.knn_approx(v, N_NEIGHBORS), NB.knn_exact(v, N_NEIGHBORS))
 
 

@@ -96,3 +96,32 @@ def test_ward_line_and_nested_cuts(spark):
         for c, f in lab[fine].items():
             groups.setdefault(f, set()).add(lab[coarse][c])
         assert all(len(v) == 1 for v in groups.values())
+
+
+def test_graph_queries_search_neighbours_on_principal_components(spark, tmp_path):
+    # cells differ only behind the first 30 coordinates
+    from cellscape.plans import registry
+
+    rng = np.random.default_rng(4)
+    X = rng.normal(scale=0.01, size=(200, 64))
+    X[:, 30:] *= np.linspace(100, 20, 34)
+    X[100:, 40:] += 10.0
+    rows = [(i, X[i].tolist(), 0) for i in range(200)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    Z = X - X.mean(0)
+    Z = Z @ np.linalg.svd(Z, full_matrices=False)[2][:30].T
+    D = np.sqrt(((Z[:, None] - Z[None]) ** 2).sum(-1))
+    got = {}
+    for r in registry.f3_knn(spark, str(tmp_path)).collect():
+        got.setdefault(r.src, {})[r.rank] = r.dist
+    for i in range(200):
+        assert np.allclose([got[i][k] for k in range(1, 16)], np.sort(D[i])[:15], atol=1e-4)
+    for name in ("fuzzy_graph", "knn_approx", "tsne_affinities"):
+        pairs = registry.QUERIES[name](spark, str(tmp_path)).collect()
+        assert pairs and all((r.src < 100) == (r.dst < 100) for r in pairs)
+    for name in ("leiden_sweep", "louvain_sweep"):
+        sides = {}
+        for r in registry.QUERIES[name](spark, str(tmp_path)).collect():
+            sides.setdefault((r.cluster_key, r.cluster), set()).add(r.cell_id < 100)
+        assert sides and all(len(s) == 1 for s in sides.values())
+    assert registry.QUERIES["knn_recall"](spark, str(tmp_path)).first().recall > 0.9
