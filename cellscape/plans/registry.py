@@ -1154,14 +1154,14 @@ def q_clustering_evaluation(spark, sf_dir):
 @register("marker_report")
 def q_marker_report(spark, sf_dir):
     """T10 -> D1 -> G3 -> E5-E7 -> M9 on customers x part names: markers (top 10, Wilcoxon)
-    of the best k-means configuration, computed on the log-normalised all-gene matrix."""
+    of the best configuration of the default methods, computed on the log-normalised all-gene matrix."""
     m = f2(spark, sf_dir)
     kept = qc.cell_qc_metrics(m).where(qc.qc_keep_condition(F2_PRE)).select("cell_id")
     raw = T.normalize_log(m.restrict_cells(kept))
     sub, vec = f2_preprocessed(spark, sf_dir)
     scores, _, _ = RD.pca(vec, N_PCS)
     scores = cut_lineage(scores)
-    asg, _ = WF.run_clustering(scores, WF.ClusteringConfig(methods=["kmeans"]))
+    asg, _ = WF.run_clustering(scores, WF.ClusteringConfig())
     _, best = WF.run_evaluation(scores, asg)
     top = WF.marker_report(raw, asg, best, 10)
     return _marker_cols(top)

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from cellscape.operators import genesets as GS
 from cellscape.operators.markers_ttest import student_t_two_sided
@@ -125,3 +126,18 @@ def test_graph_queries_search_neighbours_on_principal_components(spark, tmp_path
             sides.setdefault((r.cluster_key, r.cluster), set()).add(r.cell_id < 100)
         assert sides and all(len(s) == 1 for s in sides.values())
     assert registry.QUERIES["knn_recall"](spark, str(tmp_path)).first().recall > 0.9
+
+
+def test_marker_report_compares_the_default_methods(spark, monkeypatch):
+    from cellscape.plans import registry
+
+    class Seen(Exception):
+        pass
+
+    def seen(scores, cfg):
+        raise Seen(cfg.methods)
+
+    monkeypatch.setattr(registry.WF, "run_clustering", seen)
+    with pytest.raises(Seen) as caught:
+        registry.QUERIES["marker_report"](spark, "/root/testdata/sf0.001")
+    assert caught.value.args[0] == ["leiden", "kmeans"]
