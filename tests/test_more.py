@@ -141,3 +141,11 @@ def test_marker_report_compares_the_default_methods(spark, monkeypatch):
     with pytest.raises(Seen) as caught:
         registry.QUERIES["marker_report"](spark, "/root/testdata/sf0.001")
     assert caught.value.args[0] == ["leiden", "kmeans"]
+
+
+def test_ward_sweep_names_a_k_that_it_cannot_cut(spark):
+    from cellscape.operators import ward as WD
+
+    vec = spark.createDataFrame([(i, [float(i)]) for i in range(3)], "cell_id long, v array<double>")
+    with pytest.raises(ValueError, match="4 clusters"):
+        WD.ward_sweep(vec, [2, 4])
