@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscape.llm import (
-    bpe, decontam, exact_dedup, langid, license_scan, ngram_join, quality, shard, suffix_dedup, url_filter,
+    bpe, decontam, exact_dedup, langid, license_scan, ngram_join, quality, quality_rules, shard, suffix_dedup, url_filter,
 )
 
 
@@ -121,6 +121,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
@@ -133,6 +138,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -212,4 +218,43 @@ it AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op12_quality_rules": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, 'none') AS lang, coalesce(text, '') AS text,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+win AS (SELECT r, i, w[i:i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+twice AS (SELECT r, i FROM win JOIN (SELECT r, g FROM win GROUP BY r, g HAVING count(*) > 1) USING (r, g)),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+b AS (SELECT d.*, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             [length(regexp_replace(text, '[^a-z]', '', 'g')), length(regexp_replace(text, '[^A-Z]', '', 'g')),
+              length(regexp_replace(text, '[\x00-\x7F]', '', 'g')), length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')),
+              length(regexp_replace(text, '[^.,;:!?''"()-]', '', 'g')), length(regexp_replace(text, '[^0-9]', '', 'g'))] AS c,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+             coalesce(rep.n, 0) AS n_repeat_words
+      FROM d LEFT JOIN rep USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             list_append(c, word_chars - list_sum(c)::BIGINT) AS cl FROM b),
+ok AS (SELECT * FROM f WHERE NOT base_failed),
+wl AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM ok) GROUP BY ALL),
+tot AS (SELECT lang, sum(n) AS total FROM wl GROUP BY lang),
+com AS (SELECT lang, word, n / total AS q FROM wl JOIN tot USING (lang) WHERE total >= 10000
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 100),
+cls AS (SELECT lang, i, sum(x) AS n, sum(sum(x)) OVER (PARTITION BY lang) AS total
+        FROM (SELECT lang, unnest(cl) AS x, generate_subscripts(cl, 1) AS i FROM ok) GROUP BY lang, i),
+bins AS (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM ok) GROUP BY ALL),
+pw AS (SELECT ok.r, coalesce(bins.n, 0) / n_words AS p, com.q FROM ok JOIN com USING (lang)
+       LEFT JOIN bins ON bins.r = ok.r AND bins.word = com.word WHERE n_words >= 50),
+pa AS (SELECT r, 'word' AS kind, p, q FROM pw
+       UNION ALL SELECT r, 'word', 1 - sum(p), 1 - sum(q) FROM pw GROUP BY r
+       UNION ALL SELECT r, 'class', x / word_chars, cls.n / total
+       FROM (SELECT r, lang, word_chars, unnest(cl) AS x, generate_subscripts(cl, 1) AS i FROM ok WHERE word_chars >= 200)
+       JOIN cls USING (lang, i) WHERE total >= 10000),
+js AS (SELECT r, kind, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                          + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS dist
+       FROM pa GROUP BY r, kind),
+far AS (SELECT DISTINCT r FROM js WHERE dist > CASE kind WHEN 'word' THEN 0.5 ELSE 0.25 END)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, c[4]::BIGINT AS n_symbols,
+       (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND far.r IS NULL AS kept
+FROM f LEFT JOIN far USING (r)""",
 }
