@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscape.llm import (
-    bpe, decontam, exact_dedup, langid, license_scan, ngram_join, quality, quality_rules, shard, suffix_dedup, url_filter,
+    bpe, conversation_repair, decontam, exact_dedup, langid, license_scan, ngram_join, quality, quality_rules, shard, suffix_dedup,
+    url_filter,
 )
 
 
@@ -126,6 +127,23 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """The rows of the table with the contract's damage; a dropped row stays with ``present`` false."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    text, hit = F.coalesce("text", space), F.col("hit")
+    return (conversations.withColumn("hit", F.crc32(key.cast("binary")) % 20)
+            .select("conv_id", "turn", F.when(hit == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+                    F.when(hit == 1, "").when(hit == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+                    (hit != 0).alias("present"),
+                    F.explode(F.array_repeat(F.lit(0), F.when(hit == 3, 2).otherwise(1))).alias("copy")).drop("copy"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged_conversations(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, present=F.col("present"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
@@ -139,6 +157,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
     "op12_quality_rules": op12_quality_rules,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
