@@ -82,11 +82,12 @@ class Scratch:
         self._count = 0
         self._paths: dict[str, str] = {}
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def put(self, name: str, df: DataFrame, codec: str | None = None) -> DataFrame:
+        """``codec``: Parquet compression for a table with long texts; the session's by default."""
         self._count += 1
         path = f"{self.base}/{self._count:03d}-{name}"
         with shuffle_files_dropped_at_end(self.spark):
-            df.write.parquet(path)
+            df.write.parquet(path, compression=codec)
         self._paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
