@@ -119,7 +119,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", doc_id: s
     rows = rows.withColumn("lang", F.when(F.col("no_lang"), F.lit("none")).otherwise(F.concat(F.lit("="), "lang"))).drop("no_lang")
     base = scratch.put("base", base_counts(rows, rules).withColumn("_row", F.monotonically_increasing_id())
                        .select("_row", "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                               "base_failed", "classes", F.when(~F.col("base_failed"), F.col("words")).alias("words")))
+                               "base_failed", "classes", F.when(~F.col("base_failed"), F.col("words")).alias("words")), "zstd")
     passed = base.where("not base_failed")
     words = passed.select("_row", "lang", F.explode("words").alias("word"))
     per_lang = scratch.put("words", words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
