@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscape.llm import (
-    bpe, conversation_repair, decontam, exact_dedup, langid, license_scan, ngram_join, quality, quality_rules, shard, suffix_dedup,
-    url_filter,
+    bpe, conversation_repair, decontam, exact_dedup, langid, license_scan, ngram_join, quality, quality_rules, shard, spelling,
+    suffix_dedup, url_filter,
 )
 
 
@@ -122,6 +122,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def damaged_words(docs: DataFrame, min_length: int = 5, min_count: int = 3) -> DataFrame:
+    """(word, n): the runs of letters with the contract's damage, that are long and frequent enough.  A null id counts as empty."""
+    found = spelling.runs(docs)
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
+    return (found.withColumn("h", h).select(F.when(F.col("h") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))
+            .where(F.length("word") >= min_length).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count))
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(damaged_words(table(spark, sf_dir, "documents")))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -156,6 +170,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_quality_rules": op12_quality_rules,
     "op13_conversation_repair": op13_conversation_repair,
 }
