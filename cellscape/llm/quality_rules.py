@@ -89,7 +89,7 @@ def _term(p: Column, q: Column) -> Column:
 
 
 def _distance(twice: Column) -> Column:
-    return F.sqrt(F.greatest(twice / 2, F.lit(0.0)))
+    return F.when(twice.isNotNull(), F.sqrt(F.greatest(twice / 2, F.lit(0.0))))
 
 
 def _common_words(words: DataFrame, common: DataFrame, scratch: Scratch) -> DataFrame:
