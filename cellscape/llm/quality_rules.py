@@ -22,8 +22,8 @@ SYMBOLS = r"[#*$%&|<>]+"
 #: The first pattern takes the blanks away as well, which are not counted.
 CLASSES = [("lower", r"[a-z \t-\r]+"), ("upper", r"[A-Z]+"), ("beyond", r"[^\x00-\x7F]+"), ("symbol", SYMBOLS),
            ("mark", r"[.,;:!?'\"()-]+"), ("digit", r"[0-9]+")]
-#: So many common words of all languages together are broadcast (some 10 MB).
-BROADCAST_ROWS = 100_000
+#: Common words are looked up by their hash in so many lists.
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -92,13 +92,19 @@ def _distance(twice: Column) -> Column:
     return F.when(twice.isNotNull(), F.sqrt(F.greatest(twice / 2, F.lit(0.0))))
 
 
-def _common_words(words: DataFrame, common: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of ``words`` that are common words of their language, with bin and share: by broadcast as long as
-    the lists of all languages are short, else by a shuffle that spreads the hot words."""
-    if common.count() <= BROADCAST_ROWS:
-        return words.join(F.broadcast(common), ["lang", "word"])
-    key = F.struct("lang", "word").alias("_key")
-    return join_hot(words.select("_row", key), common.select(key, "bin", "q"), "_key", scratch, "common", words.count())
+def _bins(words: str, buckets: str) -> Column:
+    """The bins of the common words in ``words``; ``buckets`` holds (word, bin) by the hash of the word."""
+    def bin_of(word: Column) -> Column:
+        same = F.filter(F.get(buckets, F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")), lambda e: e["word"] == word)
+        return F.get(same, F.lit(0))["bin"]
+
+    return F.filter(F.transform(words, bin_of), lambda b: b.isNotNull())
+
+
+def _counted(ordered: str, starts: str) -> Column:
+    """(bin, n) from the bins in order and the places where a new one starts."""
+    return F.transform(starts, lambda at, i: F.struct(
+        F.get(ordered, at).alias("bin"), (F.coalesce(F.get(starts, i + 1), F.size(ordered)) - at).alias("n")))
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:
@@ -127,28 +133,28 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", doc_id: s
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     common = (per_lang.withColumn("bin", F.row_number().over(first)).where(F.col("bin") <= rules.common)
               .join(totals, "lang").where(F.col("total") >= rules.min_reference)
-              .select("lang", "word", "bin", (F.col("n") / F.col("total")).alias("q")))
-    common = scratch.put("common", common)
+              .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bin", "word", (F.col("n") / F.col("total")).alias("q")))).alias("c")))
+    buckets = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.filter(
+        F.col("c"), lambda e: F.pmod(F.xxhash64(e["word"]), F.lit(BUCKETS)) == b))
+    common = common.select("lang", F.transform("c", lambda e: e["q"]).alias("word_shares"), buckets.alias("buckets"))
 
     n_classes = len(CLASSES) + 1
     sums = passed.groupBy("lang").agg(*(F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(n_classes)))
     all_chars = sum((F.col(f"c{i}") for i in range(1, n_classes)), F.col("c0"))
     shares = sums.where(all_chars >= rules.min_reference).select(
         "lang", F.array(*(F.col(f"c{i}") / all_chars for i in range(n_classes))).alias("class_shares"))
-    rest = common.groupBy("lang").agg(F.sum("q").alias("common_share"))
-    references = scratch.put("references", totals.select("lang").join(shares, "lang", "left").join(rest, "lang", "left"))
+    references = scratch.put("references", totals.select("lang").join(shares, "lang", "left").join(common, "lang", "left"))
 
-    # Of the common words a text lacks, each bin adds its share q: 1 - (sum of q over the bins it has).
-    bins = _common_words(words, common, scratch).groupBy("_row", "bin").agg(F.count(F.lit(1)).alias("n"), F.first("q").alias("q"))
-    judged = join_hot(passed.select("_row", "lang", "word_chars", "classes", "n_words"), references, "lang",
+    judged = join_hot(passed.select("_row", "lang", "word_chars", "classes", "n_words", "words"), references, "lang",
                       scratch, "judged", base.count())
-    by_word = bins.groupBy("_row").agg(F.sum("n").alias("n_common"), F.collect_list(F.struct("n", "q")).alias("bins"))
-    judged = judged.join(by_word, "_row", "left")
-    have = F.coalesce("bins", F.array().cast("array<struct<n:bigint,q:double>>"))
-    zero = F.lit(0.0)
-    twice_words = (F.aggregate(have, zero, lambda s, b: s + _term(b["n"] / F.col("n_words"), b["q"]))
-                   + F.col("common_share") - F.aggregate(have, zero, lambda s, b: s + b["q"])
-                   + _term((F.col("n_words") - F.coalesce("n_common", F.lit(0))) / F.col("n_words"), 1 - F.col("common_share")))
+    judged = judged.withColumn("bins", F.sort_array(_bins("words", "buckets"))).withColumn("starts", F.filter(
+        F.transform("bins", lambda b, i: F.when((i == 0) | (b != F.get("bins", i - 1)), i)), lambda i: i.isNotNull()))
+    judged = judged.withColumn("counted", _counted("bins", "starts"))
+    # Of the common words that a text lacks, each adds its share: all of them less the shares of those it has.
+    zero, common_share = F.lit(0.0), F.aggregate("word_shares", F.lit(0.0), lambda s, q: s + q)
+    present = F.aggregate("counted", zero, lambda s, b: s + _term(b["n"] / F.col("n_words"), F.get("word_shares", b["bin"] - 1))
+                          - F.get("word_shares", b["bin"] - 1))
+    twice_words = present + common_share + _term(1 - F.size("bins") / F.col("n_words"), 1 - common_share)
     terms = F.zip_with("classes", "class_shares", lambda n, q: _term(n / F.col("word_chars"), q))
     twice_classes = F.aggregate(terms, zero, lambda s, x: s + x)
     distances = judged.select(

@@ -86,10 +86,3 @@ def test_awkward_documents(spark):
     for rules in (Q.Rules(min_reference=500, common=20), Q.Rules(min_reference=10 ** 9), Q.Rules(min_reference=1, min_words=1, common=3)):
         same(Q.judge(table, rules).collect(), list(judged(docs, rules)))
     assert Q.judge(table.limit(0)).count() == 0
-
-
-def test_many_languages_are_shuffled(spark, monkeypatch):
-    monkeypatch.setattr(Q, "BROADCAST_ROWS", 10)
-    docs, rules = awkward(7), Q.Rules(min_reference=500, common=20)
-    table = spark.createDataFrame([(i, t, lang, "w", 1, 2, 3) for i, t, lang in docs], DOCS)
-    same(Q.judge(table, rules).collect(), list(judged(docs, rules)))
