@@ -90,7 +90,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 400)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("cut"))
 
 
 def _fold(of: int) -> Column:
