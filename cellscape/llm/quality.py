@@ -7,6 +7,7 @@ their share of the document's n-grams.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -141,9 +142,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, learners:
     return QualityModel(weights)
 
 
-def score(df: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
+def score(df: DataFrame, model: QualityModel, text: str = "text", out: str = "score", forget: bool = False) -> DataFrame:
     """Add the probability of label 1 as ``out``; whole texts are read.
 
+    With ``forget`` a task gives back the memory of its words when it ends, for jobs whose later stages need it.
+
     Null and empty texts get the score of the constant alone.  Repeated rows and other columns
     stay, a column named ``out`` is replaced, an empty table gives an empty result.
     """
@@ -154,14 +157,21 @@ def score(df: DataFrame, model: QualityModel, text: str = "text", out: str = "sc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The broadcast value stays in a worker between tasks, and with it the words' hashes.
         weights, features = shared.value["weights"], Features(shared.value["memory"])
-        for batch in batches:
-            at, scores = batch.schema.get_field_index(text), []
-            for start in range(0, batch.num_rows, 64):
-                place, value, borders = features.of(batch.column(at).slice(start, 64).to_pylist())
-                dots = np.add.reduceat(weights[place] * value, borders[:-1])
-                scores.append(1 / (1 + np.exp(-np.clip(dots, -30, 30))))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(c)) for c in names),
-                 pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=[*names, out])
+        try:
+            for batch in batches:
+                at, scores = batch.schema.get_field_index(text), []
+                for start in range(0, batch.num_rows, 64):
+                    place, value, borders = features.of(batch.column(at).slice(start, 64).to_pylist())
+                    dots = np.add.reduceat(weights[place] * value, borders[:-1])
+                    scores.append(1 / (1 + np.exp(-np.clip(dots, -30, 30))))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(batch.schema.get_field_index(c)) for c in names),
+                     pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=[*names, out])
+        finally:
+            if forget:
+                shared.value["memory"].clear()
+                features = batch = None
+                gc.collect()
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
