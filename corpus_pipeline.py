@@ -22,7 +22,7 @@ CODEC_MEMO = 100_000
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score under MIN_SCORE) go."""
     model = quality_model(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, out="_score")
+    scored = quality.score(docs, model, out="_score", forget=True)
     return scored.where(F.col("_score") >= MIN_SCORE).select(*docs.columns)
 
 
