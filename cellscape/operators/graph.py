@@ -5,10 +5,10 @@ fuzzy_graph (D5)   UMAP-style connectivities from the kNN table: rho = nearest n
                    symmetrised as a + b - ab.
 knn_graph          binary symmetric kNN graph (an edge when either side lists the other).
 modularity (G5)    Q = sum_c [in_c / 2m - gamma (tot_c / 2m)^2] for every labelling at once.
-louvain (G2)       local moving as DataFrame rounds, then contraction, for every resolution
-                   in one plan keyed by (resolution, node).
-leiden (G1)        Louvain moves plus a refinement that splits every community into its
-                   connected components before contraction, so communities stay connected.
+louvain (G2)       local moving as DataFrame rounds to a fixed point of the modularity, then contraction,
+                   for every resolution in one plan keyed by (resolution, node).
+leiden (G1)        the same moves plus the refinement phase: singletons merge only inside their community and only
+                   where both are well connected; the refined parts are contracted and start in the unrefined communities.
 
 Edges are ``(src, dst, w)`` with both directions present and no self loops.  The
 iterative jobs write their small per-node state to the checkpoint folder every round.
@@ -22,7 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscape.session import cut_lineage
+from cellscape.session import Scratch, cut_lineage
+
+#: A move counts when it gains more than this.
+EPSILON = 1e-12
 
 
 # --------------------------------------------------------------------------- D5
@@ -125,111 +128,172 @@ def modularity(edges: DataFrame, assignments: DataFrame, resolution: float = 1.0
 
 # --------------------------------------------------------------------------- G2 / G1
 
-def _half(node, rnd):
-    return F.pmod(F.xxhash64(node, F.lit(rnd)), F.lit(2)) == 0
-
-
-def _local_moving(edges: DataFrame, nodes: DataFrame, m2, max_rounds: int, level: int) -> DataFrame:
-    """Moves nodes between communities while modularity rises.
-
-    edges: (res, src, dst, w) without self loops; nodes: (res, node, k, comm).
-    Every round, each node of the hash-chosen half computes, for its own and every
-    neighbouring community C, gain(C) = w_in(C) - gamma * k * tot(C without the node) / 2m
-    and moves to the best one if it beats staying.  The own community enters the
-    candidate list as a zero-weight row, so one aggregate decides every move.  The
-    new labels, with a moved flag, are written to the checkpoint folder each round.
+def _neighbour_weights(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(res, node, k, comm, c, w_in): weight of every node towards each neighbouring community c, and towards its own."""
+    around = edges.join(nodes.select("res", F.col("node").alias("dst"), F.col("comm").alias("c")), ["res", "dst"]).select(
+        "res", F.col("src").alias("node"), "c", "w")
+    own = nodes.select("res", "node", F.col("comm").alias("c"), F.lit(0.0).alias("w"))
+    weights = around.unionByName(own).groupBy("res", "node", "c").agg(F.sum("w").alias("w_in"))
+    return weights.join(nodes, ["res", "node"])
+
+
+def _quality(weights: DataFrame, nodes: DataFrame, loops: dict[float, float], m2: float) -> dict[float, float]:
+    """Modularity of every resolution's labelling; one row per resolution reaches the driver."""
+    inside = weights.where("c = comm").groupBy("res").agg(F.sum("w_in").alias("inside"))
+    squares = (nodes.groupBy("res", "comm").agg(F.sum("k").alias("tot"))
+               .groupBy("res").agg(F.sum(F.col("tot") * F.col("tot")).alias("squares")))
+    return {r.res: (r.inside + loops.get(r.res, 0.0)) / m2 - r.res * r.squares / (m2 * m2)
+            for r in squares.join(inside, "res").collect()}
+
+
+def _moves(weights: DataFrame, nodes: DataFrame, m2: float) -> DataFrame:
+    """(res, node, k, comm, best, more): the best community of every node and how much more it gains there than where it is."""
+    totals = nodes.groupBy("res", F.col("comm").alias("c")).agg(F.sum("k").alias("tot"))
+    without = F.col("tot") - F.when(F.col("c") == F.col("comm"), F.col("k")).otherwise(0.0)
+    gain = F.col("w_in") - F.col("res") * F.col("k") * without / F.lit(m2)
+    return (weights.join(totals, ["res", "c"]).withColumn("gain", gain).groupBy("res", "node", "k", "comm")
+            .agg(F.max_by("c", F.struct("gain", -F.col("c"))).alias("best"), F.max("gain").alias("top"),
+                 F.max(F.when(F.col("c") == F.col("comm"), F.col("gain"))).alias("stay"))
+            .select("res", "node", "k", "comm", "best", (F.col("top") - F.col("stay")).alias("more")))
+
+
+def _local_moving(edges: DataFrame, nodes: DataFrame, loops: dict[float, float], m2: float, level: int) -> tuple[DataFrame, dict]:
+    """Moves nodes between communities until none gains by it; returns the nodes and the modularity per resolution.
+
+    edges: (res, src, dst, w) without self loops; nodes: (res, node, k, comm).  In a round, the nodes of a hash-chosen share
+    that would gain move to their best community at once.  Moves at once can get in each other's way, so a round counts for a
+    resolution only if its modularity rises; otherwise its labels stay and the share is halved, down to the one
+    node that gains most, whose move alone always helps.
     """
-    for rnd in range(max_rounds):
-        tot = nodes.groupBy("res", "comm").agg(F.sum("k").alias("tot"))
-        nb = edges.join(nodes.select("res", F.col("node").alias("dst"), F.col("comm").alias("c")), ["res", "dst"]) \
-            .select("res", "src", "c", "w")
-        own = nodes.select("res", F.col("node").alias("src"), F.col("comm").alias("c"), F.lit(0.0).alias("w"))
-        w_in = nb.unionByName(own).groupBy("res", "src", "c").agg(F.sum("w").alias("w_in"))
-        me = nodes.select("res", F.col("node").alias("src"), "k", "comm")
-        cand = w_in.join(me, ["res", "src"]).join(tot.withColumnRenamed("comm", "c"), ["res", "c"])
-        tot_wo = F.col("tot") - F.when(F.col("c") == F.col("comm"), F.col("k")).otherwise(F.lit(0.0))
-        cand = cand.withColumn("gain", F.col("w_in") - F.col("res") * F.col("k") * tot_wo / F.lit(m2))
-        decide = cand.groupBy("res", "src").agg(
-            F.max_by("c", F.struct("gain", -F.col("c"))).alias("best_c"), F.max("gain").alias("best_g"),
-            F.max(F.when(F.col("c") == F.col("comm"), F.col("gain"))).alias("g_stay"),
-            F.first("comm").alias("comm"))
-        move = (F.col("best_g") > F.col("g_stay") + 1e-12) & _half(F.col("src"), rnd * 7919 + level)
-        upd = decide.select(
-            "res", F.col("src").alias("node"),
-            F.when(move, F.col("best_c")).otherwise(F.col("comm")).alias("comm"),
-            move.alias("moved"), (F.col("best_g") > F.col("g_stay") + 1e-12).alias("wants"))
-        nodes_new = cut_lineage(nodes.drop("comm").join(upd, ["res", "node"]))
-        counts = nodes_new.agg(F.count_if("moved").alias("m"), F.count_if("wants").alias("w")).first()
-        nodes = nodes_new.drop("moved", "wants")
-        if counts["w"] == 0:
-            break
-    return nodes
-
-
-def _components_within(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Connected components inside every community: smallest labels spread until none changes."""
-    comp = nodes.select("res", "node", "comm", F.col("node").alias("cc"))
-    intra = (edges.join(nodes.select("res", F.col("node").alias("src"), F.col("comm").alias("cs")), ["res", "src"])
-             .join(nodes.select("res", F.col("node").alias("dst"), F.col("comm").alias("cd")), ["res", "dst"])
-             .where(F.col("cs") == F.col("cd")).select("res", "src", "dst"))
-    intra = cut_lineage(intra)
+    scratch = Scratch(nodes.sparkSession)
+    nodes = scratch.put("nodes-0", nodes)
+    held = "weights-0"
+    weights = scratch.put(held, _neighbour_weights(edges, nodes))
+    quality = _quality(weights, nodes, loops, m2)
+    halvings = dict.fromkeys(quality, 1)
+    rounds = 0
     while True:
-        prop = (intra.join(comp.select("res", F.col("node").alias("src"), F.col("cc").alias("c_src")), ["res", "src"])
-                .groupBy("res", F.col("dst").alias("node")).agg(F.min("c_src").alias("c_in")))
-        new = comp.join(prop, ["res", "node"], "left").withColumn(
-            "cc2", F.least("cc", F.coalesce("c_in", "cc")))
-        changed = new.where(F.col("cc2") != F.col("cc")).count()
-        comp = cut_lineage(new.select("res", "node", "comm", F.col("cc2").alias("cc")))
-        if changed == 0:
-            break
-    return comp
-
-
-def _contract(edges: DataFrame, nodes: DataFrame, part: str):
-    """Aggregate graph: communities become nodes; internal weight becomes a self loop."""
-    mp = nodes.select("res", "node", F.col(part).alias("p"))
-    e = (edges.join(mp.select("res", F.col("node").alias("src"), F.col("p").alias("ps")), ["res", "src"])
-         .join(mp.select("res", F.col("node").alias("dst"), F.col("p").alias("pd")), ["res", "dst"])
-         .groupBy("res", F.col("ps").alias("src"), F.col("pd").alias("dst")).agg(F.sum("w").alias("w")))
-    return cut_lineage(e)
-
-
-def community_sweep(edges: DataFrame, resolutions: list[float], refine: bool = False, max_levels: int = 10,
-                    max_rounds: int = 30, method: str | None = None) -> DataFrame:
-    """G1 (refine=True) / G2: labels for every resolution; returns long assignments
-    (cell_id, method, cluster_key, cluster) with clusters numbered by size (G6)."""
+        rounds += 1
+        moves = scratch.put(f"moves-{rounds}", _moves(weights, nodes, m2))
+        eager = moves.where(F.col("more") > EPSILON)
+        share = F.create_map(*(F.lit(x) for r, h in halvings.items() for x in (r, 2 ** h)))
+        chosen = F.pmod(F.xxhash64("node", F.lit(rounds), F.lit(level)), F.element_at(share, F.col("res"))) == 0
+        wanting = eager.groupBy("res").agg(F.count_if(chosen).alias("n"), F.max_by("node", F.struct("more", -F.col("node"))).alias("first")).collect()
+        active = [r for r in wanting if r.res in halvings]
+        if not active:
+            scratch.drop(f"moves-{rounds}", held)
+            return nodes, quality
+        alone = [r for r in active if not r.n]
+        only = F.lit(False)
+        for r in alone:
+            only = only | ((F.col("res") == r.res) & (F.col("node") == r.first))
+        moving = (F.col("more") > EPSILON) & F.col("res").isin([r.res for r in active]) & (chosen | only)
+        tried = scratch.put(f"tried-{rounds}", moves.select("res", "node", "k", F.when(moving, F.col("best")).otherwise(F.col("comm")).alias("comm")))
+        tried_weights = scratch.put(f"tried-weights-{rounds}", _neighbour_weights(edges, tried))
+        reached = _quality(tried_weights, tried, loops, m2)
+        better = [r.res for r in active if reached[r.res] > quality[r.res]]
+        for r in active:
+            if r.res in better:
+                quality[r.res], halvings[r.res] = reached[r.res], 1
+            elif not r.n:
+                del halvings[r.res]  # not even one move helps, beyond rounding: at the fixed point
+            else:
+                halvings[r.res] += 1
+        if better:
+            taken = F.col("res").isin(better)
+            nodes = scratch.put(f"nodes-{rounds}", tried.where(taken).unionByName(nodes.where(~taken)))
+            weights = scratch.put(f"weights-{rounds}", tried_weights.where(taken).unionByName(weights.where(~taken)))
+            scratch.drop(held)
+            held = f"weights-{rounds}"
+        scratch.drop(f"moves-{rounds}", f"tried-{rounds}", f"tried-weights-{rounds}")
+
+
+def _refined(edges: DataFrame, nodes: DataFrame, m2: float, level: int) -> DataFrame:
+    """``nodes`` with ``part``: Leiden's refinement of every community.
+
+    All nodes start alone.  A node that is alone and well connected to the rest of its community joins the part of its
+    community where it gains most, if that part is well connected too: its weight to the rest of the community is at least
+    resolution x (its degree) x (degree of the rest) / 2m.  In a round, a hash tells the nodes that may move from those that may
+    be joined, so no two exchange places; rounds go on until no node could gain.
+    """
+    scratch = Scratch(nodes.sparkSession)
+    label = nodes.select("res", "node", "comm")
+    inner = scratch.put("inner", edges.join(label.toDF("res", "src", "comm"), ["res", "src"])
+                        .join(label.toDF("res", "dst", "comm"), ["res", "dst", "comm"]).select("res", "comm", "src", "dst", "w"))
+    totals = nodes.groupBy("res", "comm").agg(F.sum("k").alias("all_k"))
+    reach = inner.groupBy("res", F.col("src").alias("node")).agg(F.sum("w").alias("reach"))
+    base = (nodes.join(totals, ["res", "comm"]).join(reach, ["res", "node"], "left")
+            .withColumn("reach", F.coalesce("reach", F.lit(0.0))).withColumn("part", F.col("node")))
+    state = scratch.put("state-0", base.select("res", "node", "k", "comm", "all_k", "reach", "part"))
+    rounds = 0
+    while True:
+        ends = (inner.join(state.select("res", F.col("node").alias("src"), F.col("part").alias("p")), ["res", "src"])
+                .join(state.select("res", F.col("node").alias("dst"), F.col("part").alias("q")), ["res", "dst"]))
+        ends = scratch.put(f"ends-{rounds}", ends.where("p <> q").groupBy("res", "src", "p", "q").agg(F.sum("w").alias("w")))
+        away = ends.groupBy("res", F.col("p").alias("part")).agg(F.sum("w").alias("away"))
+        parts = (state.groupBy("res", "part").agg(F.sum("k").alias("part_k"), F.count(F.lit(1)).alias("size"), F.first("all_k").alias("part_all"))
+                 .join(away, ["res", "part"], "left"))
+        loose = F.col("res") * F.col("part_k") * (F.col("part_all") - F.col("part_k")) / F.lit(m2)
+        parts = scratch.put(f"parts-{rounds}", parts.select("res", "part", "part_k", "size", (F.coalesce("away", F.lit(0.0)) >= loose).alias("tied")))
+        alone = (state.join(parts.where("size = 1").select("res", "part"), ["res", "part"], "left_semi")
+                 .where(F.col("reach") >= F.col("res") * F.col("k") * (F.col("all_k") - F.col("k")) / F.lit(m2)).select("res", F.col("node").alias("src"), "k"))
+        gain = F.col("w") - F.col("res") * F.col("k") * F.col("part_k") / F.lit(m2)
+        chances = scratch.put(f"chances-{rounds}", ends.join(alone, ["res", "src"])
+                              .join(parts.where("tied").select("res", F.col("part").alias("q"), "part_k", "size"), ["res", "q"])
+                              .withColumn("gain", gain).where(F.col("gain") > EPSILON).select("res", "src", "q", "size", "gain"))
+        if chances.isEmpty():
+            return state.select("res", "node", "k", "comm", "part")
+        mover = lambda c: F.pmod(F.xxhash64(c, F.lit(rounds), F.lit(level), F.lit("part")), F.lit(2)) == 0
+        joined = (chances.where(mover("src") & ((F.col("size") > 1) | ~mover("q"))).groupBy("res", F.col("src").alias("node"))
+                  .agg(F.max_by("q", F.struct("gain", -F.col("q"))).alias("to")))
+        new = scratch.put(f"state-{rounds + 1}", state.join(joined, ["res", "node"], "left").withColumn("part", F.coalesce("to", "part")).drop("to"))
+        scratch.drop(f"state-{rounds}", f"ends-{rounds}", f"parts-{rounds}", f"chances-{rounds}")
+        state, rounds = new, rounds + 1
+
+
+def _contracted(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The graph of the parts; the weight inside a part becomes its self loop."""
+    part = nodes.select("res", "node", "part")
+    return cut_lineage(edges.join(part.toDF("res", "src", "p"), ["res", "src"]).join(part.toDF("res", "dst", "q"), ["res", "dst"])
+                       .groupBy("res", F.col("p").alias("src"), F.col("q").alias("dst")).agg(F.sum("w").alias("w")))
+
+
+def community_sweep(edges: DataFrame, resolutions: list[float], refine: bool = False, cells: DataFrame | None = None,
+                    method: str | None = None) -> DataFrame:
+    """G1 Leiden (``refine``) or G2 Louvain for every resolution: long assignments (cell_id, method, cluster_key, cluster).
+
+    Nodes move until the modularity is at a fixed point; communities (Louvain) or the parts of their refinement (Leiden)
+    become the nodes of the next level, which for Leiden start in the unrefined communities; levels go on until none
+    shrinks the graph.  Cells of ``cells`` without edges are communities of their own.  Clusters are numbered by size (G6).
+    """
     from cellscape.operators.labels import relabel_by_size
 
     method = method or ("leiden" if refine else "louvain")
-    # One copy of the graph per resolution, all advanced by the same jobs.
-    g = cut_lineage(edges.withColumn("res", F.explode(F.array(*[F.lit(float(r)) for r in resolutions]))))
-    m2 = edges.select(F.sum("w")).first()[0]
-    # membership: original cell -> current super-node, per resolution
-    member = cut_lineage(
-        g.select("res", F.col("src").alias("cell_id")).distinct().withColumn("node", F.col("cell_id")))
-    level_edges = g
-    for level in range(max_levels):
-        loops = level_edges.where(F.col("src") == F.col("dst"))
-        moving = level_edges.where(F.col("src") != F.col("dst"))
-        deg = level_edges.groupBy("res", F.col("src").alias("node")).agg(F.sum("w").alias("k"))
-        nodes = cut_lineage(deg.withColumn("comm", F.col("node")))
-        nodes = _local_moving(moving, nodes, m2, max_rounds, level)
-        n_before = nodes.groupBy("res").agg(F.countDistinct("node").alias("a"))
-        n_after = nodes.groupBy("res").agg(F.countDistinct("comm").alias("b"))
-        shrink = n_before.join(n_after, "res").where(F.col("b") < F.col("a")).count()
-        if refine:
-            comp = _components_within(moving, nodes)
-            nodes = nodes.join(comp.select("res", "node", "cc"), ["res", "node"])
-            part = "cc"
-            shrink = shrink + comp.groupBy("res").agg(F.countDistinct("cc").alias("b")).join(
-                n_before, "res").where(F.col("b") < F.col("a")).count()
-        else:
-            part = "comm"
-        member = cut_lineage(member.join(nodes.select("res", "node", F.col(part).alias("nn")), ["res", "node"])
-                             .select("res", "cell_id", F.col("nn").alias("node")))
-        if shrink == 0:
+    every = F.explode(F.array(*(F.lit(float(r)) for r in resolutions)))
+    ids = edges.select(F.col("src").alias("cell_id")).distinct()
+    if cells is not None:
+        ids = ids.unionByName(cells.select("cell_id")).distinct()
+    member = cut_lineage(ids.withColumn("res", every).select("res", "cell_id", F.col("cell_id").alias("node")))
+    graph = cut_lineage(edges.withColumn("res", every).select("res", "src", "dst", "w"))
+    m2 = edges.agg(F.sum("w")).first()[0]
+    start, level = None, 0
+    while m2:
+        moving = graph.where("src <> dst")
+        degree = graph.groupBy("res", F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+        nodes = degree.withColumn("comm", F.col("node")) if start is None else degree.join(start, ["res", "node"])
+        loops = {r.res: r.w for r in graph.where("src = dst").groupBy("res").agg(F.sum("w").alias("w")).collect()}
+        nodes, _ = _local_moving(moving, nodes, loops, m2, level)
+        nodes = cut_lineage(_refined(moving, nodes, m2, level) if refine else nodes.withColumn("part", F.col("comm")))
+        counts = nodes.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("res", "part").alias("parts")).first()
+        kept = F.col("comm") if counts.parts == counts.n else F.col("part")
+        member = cut_lineage(member.join(nodes.select("res", "node", kept.alias("to")), ["res", "node"], "left")
+                             .select("res", "cell_id", F.coalesce("to", "node").alias("node")))
+        if counts.parts == counts.n:
             break
-        level_edges = _contract(moving.unionByName(loops), nodes, part)
+        # A community keeps the name of its smallest part, so that it is a node of the next level.
+        names = nodes.groupBy("res", "comm").agg(F.min("part").alias("name"))
+        start = cut_lineage(nodes.join(names, ["res", "comm"]).select("res", F.col("part").alias("node"), F.col("name").alias("comm")).distinct())
+        graph, level = _contracted(graph, nodes), level + 1
     labels = member.select(
         "cell_id", F.lit(method).alias("method"),
         F.concat(F.lit(f"{method}_res"), F.col("res").cast("string")).alias("cluster_key"),

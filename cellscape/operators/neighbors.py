@@ -1,47 +1,84 @@
 """Pairwise distances in bounded blocks: exact kNN and exact silhouette sums.
 
-J4 (block_pairs): cells are hashed into B blocks; every cell is copied to the B
-block pairs it belongs to on each side, and each (left block, right block) group
-is one co-grouped pandas task that works on at most two blocks of vectors.  No
-task ever holds more than two blocks, whatever the number of cells, and only
-per-cell aggregates (top-k lists, per-cluster distance sums) leave a task; the
-pairs themselves are never emitted.  Work is quadratic by nature; ``knn_approx``
+J4 (pairwise_blocks): cells are hashed into B blocks; every unordered pair of blocks
+is a tile, one grouped pandas task that holds at most two blocks of vectors and
+computes their distances once for both directions.  Only per-cell aggregates
+(top-k lists, per-cluster distance sums) leave a task; the pairs themselves are
+never emitted.  Work is quadratic by nature; ``knn_approx``
 is the sub-quadratic alternative.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellscape.session import Scratch
+
 DEFAULT_BLOCK = 2048
+Kernel = Callable[[pd.DataFrame, pd.DataFrame, np.ndarray], pd.DataFrame]
 
 
 def n_blocks(n_cells: int, block_size: int = DEFAULT_BLOCK) -> int:
     return max(1, math.ceil(n_cells / block_size))
 
 
-def _sides(vec: DataFrame, nb: int, cols: list[str]):
-    blk = F.pmod(F.xxhash64("cell_id"), F.lit(nb))
-    base = vec.select("cell_id", "v", *cols).withColumn("_blk", blk)
-    others = F.sequence(F.lit(0), F.lit(nb - 1))
-    left = base.withColumn("_o", F.explode(others)).withColumn("_pair", F.col("_blk") * nb + F.col("_o"))
-    right = base.withColumn("_o", F.explode(others)).withColumn("_pair", F.col("_o") * nb + F.col("_blk"))
-    right = right.drop("_blk", "_o")
-    # Fresh column ids on one side: both sides come from the same plan.
-    right = right.select(*[F.col(c).alias(c) for c in right.columns])
-    return left.drop("_blk", "_o"), right
+def _distances(L: np.ndarray, R: np.ndarray, chunk: int = 64) -> np.ndarray:
+    """Distances by exact differences (no Gram cancellation)."""
+    D = np.empty((len(L), len(R)))
+    for s in range(0, len(L), chunk):
+        d = L[s:s + chunk, None, :] - R[None, :, :]
+        D[s:s + chunk] = np.sqrt(np.einsum("ijk,ijk->ij", d, d))
+    return D
 
 
-def _dist_rows(L: np.ndarray, R: np.ndarray, chunk: int = 64):
-    """Yield (row slice, distance block) with exact differences (no Gram cancellation)."""
-    for s in range(0, L.shape[0], chunk):
-        d = L[s:s + chunk, None, :] - R[None, :, :]
-        yield s, np.sqrt(np.einsum("ijk,ijk->ij", d, d))
+def pairwise_blocks(vec: DataFrame, kernel: Kernel, schema: str, cols: Sequence[str] = (), n_cells: int | None = None,
+                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """``kernel(rows, others, distances)`` for all cells against all cells, block by block.
+
+    Cells are hashed into B blocks; every unordered pair of blocks is one tile and one group, so a distance is computed once and
+    each cell is copied B times.  A tile calls the kernel for both directions: ``rows`` and ``others`` are frames of
+    (cell_id, v, *cols) ordered by cell_id, ``distances`` has a row per row and a column per other.
+    What the kernel returns, as ``schema`` says, is the result; pairs themselves need not leave the task.
+    """
+    if n_cells is None:
+        n_cells = vec.count()
+    nb = n_blocks(n_cells, block_size)
+    block = F.pmod(F.xxhash64("cell_id"), F.lit(nb)).cast("int")
+    tiles = (vec.select("cell_id", "v", *cols, block.alias("_block"), F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_other"))
+             .withColumn("_low", F.least("_block", "_other")).withColumn("_high", F.greatest("_block", "_other")).drop("_other"))
+
+    def tile(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high = key
+        pdf = pdf.sort_values("cell_id", kind="stable")
+        a = pdf[pdf["_block"] == low].reset_index(drop=True)
+        b = a if low == high else pdf[pdf["_block"] == high].reset_index(drop=True)
+        if a.empty or b.empty:
+            return empty
+        D = _distances(np.stack(a["v"].to_numpy()).astype(float), np.stack(b["v"].to_numpy()).astype(float))
+        found = [kernel(a, b, D)] if low == high else [kernel(a, b, D), kernel(b, a, D.T)]
+        return pd.concat(found, ignore_index=True)
+
+    empty = pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+    return tiles.groupBy("_low", "_high").applyInPandas(tile, schema)
+
+
+def distance_summary(vec: DataFrame, n_cells: int | None = None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Per cell over all other cells: (cell_id, n_others, mean_distance, max_distance)."""
+
+    def kernel(rows: pd.DataFrame, others: pd.DataFrame, D: np.ndarray) -> pd.DataFrame:
+        same = rows["cell_id"].to_numpy()[:, None] == others["cell_id"].to_numpy()[None, :]
+        D = np.where(same, 0.0, D)
+        return pd.DataFrame({"cell_id": rows["cell_id"], "n": (~same).sum(axis=1), "total": D.sum(axis=1), "far": D.max(axis=1)})
+
+    parts = pairwise_blocks(vec, kernel, "cell_id long, n long, total double, far double", (), n_cells, block_size)
+    return parts.groupBy("cell_id").agg(F.sum("n").alias("n_others"), (F.sum("total") / F.sum("n")).alias("mean_distance"),
+                                        F.max("far").alias("max_distance"))
 
 
 def knn_exact(vec: DataFrame, k: int = 15, n_cells: int | None = None, block_size: int = DEFAULT_BLOCK,
@@ -49,47 +86,29 @@ def knn_exact(vec: DataFrame, k: int = 15, n_cells: int | None = None, block_siz
     """D3: k nearest cells by Euclidean distance; ``k`` counts the cell itself.
 
     Returns ``knn(src, dst, rank, dist)``; ties broken by the smaller ``dst`` id.
-    Each block pair yields at most k candidates per left cell; a bounded
-    ``row_number`` per cell (k x B rows) merges them.
+    Each tile yields at most k candidates per cell; a bounded ``row_number`` per cell
+    (k x B rows) merges them.
     """
-    if n_cells is None:
-        n_cells = vec.count()
-    nb = n_blocks(n_cells, block_size)
-    left, right = _sides(vec, nb, [])
-    kk = k if include_self else k + 1
-
-    def task(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        if lp.empty or rp.empty:
-            return pd.DataFrame({"src": [], "dst": [], "dist": []})
-        L = np.stack(lp["v"].to_numpy()).astype(np.float64)
-        R = np.stack(rp["v"].to_numpy()).astype(np.float64)
-        rid = rp["cell_id"].to_numpy()
-        order = np.argsort(rid, kind="stable")
-        R, rid = R[order], rid[order]
-        lid = lp["cell_id"].to_numpy()
-        out_s, out_d, out_x = [], [], []
-        m = min(kk, R.shape[0])
-        for s, D in _dist_rows(L, R):
-            idx = np.argsort(D, axis=1, kind="stable")[:, :m]
-            out_s.append(np.repeat(lid[s:s + D.shape[0]], m))
-            out_d.append(rid[idx].ravel())
-            out_x.append(np.take_along_axis(D, idx, axis=1).ravel())
-        return pd.DataFrame({"src": np.concatenate(out_s), "dst": np.concatenate(out_d),
-                             "dist": np.concatenate(out_x)})
-
-    cand = left.groupBy("_pair").cogroup(right.groupBy("_pair")).applyInPandas(
-        task, schema="src long, dst long, dist double"
-    )
-    if not include_self:
-        cand = cand.where(F.col("src") != F.col("dst"))
-    # Distances are ranked at ``tie_digits`` decimals so that near-ties do not depend on
-    # summation order; ties then go to the smaller id.
+    most = k if include_self else k + 1
     scale = float(10 ** tie_digits)
-    cand = cand.withColumn("dist", F.round(F.col("dist") * F.lit(scale)) / F.lit(scale))
+
+    def kernel(rows: pd.DataFrame, others: pd.DataFrame, D: np.ndarray) -> pd.DataFrame:
+        # Distances are ranked at ``tie_digits`` decimals, so near-ties do not depend on summation
+        # order; a stable sort of the columns, which are in id order, gives ties to the smaller id.
+        D = np.rint(D * scale) / scale
+        m = min(most, D.shape[1])
+        near = np.argsort(D, axis=1, kind="stable")[:, :m]
+        return pd.DataFrame({"src": np.repeat(rows["cell_id"].to_numpy(), m), "dst": others["cell_id"].to_numpy()[near].ravel(),
+                             "dist": np.take_along_axis(D, near, axis=1).ravel()})
+
+    cand = pairwise_blocks(vec, kernel, "src long, dst long, dist double", (), n_cells, block_size)
+    return _nearest_of(cand if include_self else cand.where("src <> dst"), k)
+
+
+def _nearest_of(candidates: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("src").orderBy("dist", "dst")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
-        "src", "dst", F.col("rank").cast("int").alias("rank"), "dist"
-    )
+    return candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
+        "src", "dst", F.col("rank").cast("int").alias("rank"), "dist")
 
 
 def cluster_distance_sums(vec: DataFrame, labels: DataFrame, n_cells: int | None = None,
@@ -101,119 +120,117 @@ def cluster_distance_sums(vec: DataFrame, labels: DataFrame, n_cells: int | None
     one distance computation: each cell carries its label for every configuration.
     Returns (cell_id, cluster_key, cluster, dsum, cnt).
     """
-    if n_cells is None:
-        n_cells = vec.count()
-    nb = n_blocks(n_cells, block_size)
     lab = labels.groupBy("cell_id").agg(
         F.map_from_entries(F.collect_list(F.struct("cluster_key", "cluster"))).alias("labs")
     )
-    v2 = vec.select("cell_id", "v").join(lab, "cell_id")
-    left, right = _sides(v2, nb, ["labs"])
-
-    def task(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        cols = {"cell_id": [], "cluster_key": [], "cluster": [], "dsum": [], "cnt": []}
-        if lp.empty or rp.empty:
-            return pd.DataFrame(cols)
-        L = np.stack(lp["v"].to_numpy()).astype(np.float64)
-        R = np.stack(rp["v"].to_numpy()).astype(np.float64)
-        lid = lp["cell_id"].to_numpy()
-        rid = rp["cell_id"].to_numpy()
-        D = np.empty((L.shape[0], R.shape[0]))
-        for s, blk in _dist_rows(L, R):
-            D[s:s + blk.shape[0]] = blk
-        D[lid[:, None] == rid[None, :]] = np.nan  # the cell itself does not count
-        rlabs = pd.DataFrame(list(rp["labs"].map(dict)))
-        frames = []
-        for key in rlabs.columns:
-            lab_r = rlabs[key].to_numpy()
-            valid = ~pd.isna(lab_r)
-            for c in np.unique(lab_r[valid]):
-                mask = valid & (lab_r == c)
-                sub = D[:, mask]
-                cnt = np.sum(~np.isnan(sub), axis=1)
-                frames.append(pd.DataFrame({
-                    "cell_id": lid, "cluster_key": key, "cluster": int(c),
-                    "dsum": np.nansum(sub, axis=1), "cnt": cnt,
-                }))
-        if not frames:
-            return pd.DataFrame(cols)
-        return pd.concat(frames, ignore_index=True)
-
-    part = left.groupBy("_pair").cogroup(right.groupBy("_pair")).applyInPandas(
-        task, schema="cell_id long, cluster_key string, cluster int, dsum double, cnt long"
-    )
+
+    def kernel(rows: pd.DataFrame, others: pd.DataFrame, D: np.ndarray) -> pd.DataFrame:
+        ids = rows["cell_id"].to_numpy()
+        there = ids[:, None] != others["cell_id"].to_numpy()[None, :]
+        D = np.where(there, D, 0.0)  # the cell itself does not count
+        labs = pd.DataFrame(list(others["labs"].map(dict)))
+        frames = [pd.DataFrame({"cell_id": [], "cluster_key": [], "cluster": [], "dsum": [], "cnt": []})]
+        for key in labs.columns:
+            at = labs[key].to_numpy()
+            for c in pd.unique(at[~pd.isna(at)]):
+                mine = at == c
+                frames.append(pd.DataFrame({"cell_id": ids, "cluster_key": key, "cluster": int(c),
+                                            "dsum": D[:, mine].sum(axis=1), "cnt": there[:, mine].sum(axis=1)}))
+        return pd.concat(frames[1:] or frames, ignore_index=True)
+
+    part = pairwise_blocks(vec.select("cell_id", "v").join(lab, "cell_id"), kernel,
+                           "cell_id long, cluster_key string, cluster int, dsum double, cnt long", ["labs"], n_cells, block_size)
     return part.groupBy("cell_id", "cluster_key", "cluster").agg(
         F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt")
     )
 
 
-def knn_approx(vec: DataFrame, k: int = 15, n_lists: int | None = None, n_probe: int = 8,
-               chunk_rows: int = DEFAULT_BLOCK, seed: int = 42) -> DataFrame:
-    """Approximate kNN by an inverted file.
+def _block_nearest(lp: pd.DataFrame, rp: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest rows of ``rp`` for every row of ``lp``, ties to the smaller id."""
+    if lp.empty or rp.empty:
+        return pd.DataFrame({"src": [], "dst": [], "dist": []})
+    rp = rp.sort_values("cell_id", kind="stable")
+    D = _distances(np.stack(lp["v"].to_numpy()).astype(float), np.stack(rp["v"].to_numpy()).astype(float))
+    D = np.rint(D * 1e9) / 1e9
+    m = min(k, D.shape[1])
+    near = np.argsort(D, axis=1, kind="stable")[:, :m]
+    return pd.DataFrame({"src": np.repeat(lp["cell_id"].to_numpy(), m), "dst": rp["cell_id"].to_numpy()[near].ravel(),
+                         "dist": np.take_along_axis(D, near, axis=1).ravel()})
+
+
+_CANDIDATES = "src long, dst long, dist double"
 
-    Coarse cells come from MLlib k-means (``n_lists`` ~ sqrt(N)); every cell searches the
-    residents of its ``n_probe`` nearest coarse cells.  Residents of a coarse cell are cut
-    into hash chunks of about ``chunk_rows`` so that a crowded coarse cell is spread over
-    many tasks; queries are copied to every chunk of each probed cell.  Work per cell is
-    about n_probe x (N / n_lists) distances instead of N.  Returns knn(src, dst, rank, dist).
+
+def knn_of_sample(vec: DataFrame, k: int, size: int) -> DataFrame:
+    """Exact neighbours of at most ``size`` cells, chosen by a hash of their id, against all cells.
+
+    The sample travels to the tasks, each of which returns the k nearest cells of its batches.
+    """
+    chosen = vec.orderBy(F.xxhash64("cell_id"), "cell_id").limit(size).select("cell_id", "v").toPandas()  # at most ``size`` rows
+
+    def search(batches):
+        for pdf in batches:
+            yield _block_nearest(chosen, pdf, k)
+
+    return _nearest_of(vec.select("cell_id", "v").mapInPandas(search, _CANDIDATES), k)
+
+
+def knn_approx(vec: DataFrame, k: int = 15, recall: float = 0.95, sample: int = 500, n_lists: int | None = None,
+               n_probe: int = 8, chunk_rows: int = DEFAULT_BLOCK, seed: int = 42) -> DataFrame:
+    """Approximate kNN by an inverted file, with as many probes as a wanted ``recall`` needs.
+
+    Lists come from MLlib k-means (``n_lists`` ~ sqrt(N)); every cell searches the residents of its nearest lists.  The
+    probes start at ``n_probe`` and are doubled, searching the new lists only, until the recall on ``sample`` exactly
+    searched cells reaches the target; with all lists probed the search is exact.  Residents and visitors of a list are cut
+    into hash chunks of about ``chunk_rows``, so a crowded list is spread over many tasks.
+    Returns knn(src, dst, rank, dist).
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    scratch = Scratch(vec.sparkSession)
+    vec = scratch.put("vectors", vec.select("cell_id", F.col("v").cast("array<double>").alias("v")))
     n = vec.count()
-    n_lists = n_lists or max(1, int(math.sqrt(n)))
-    feats = vec.select("cell_id", "v", array_to_vector("v").alias("features"))
-    model = KMeans(k=n_lists, seed=seed, maxIter=20).fit(feats)
-    cents = [list(map(float, c)) for c in model.clusterCenters()]
-    C = np.array(cents)
-    probe = min(n_probe, len(cents))
-
-    def assign(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            d = ((X[:, None, :] - C[None, :, :]) ** 2).sum(-1)
-            order = np.argsort(d, axis=1, kind="stable")[:, :probe]
-            yield pd.DataFrame({"cell_id": pdf["cell_id"].to_numpy(), "v": list(X),
-                                "home": order[:, 0].astype(np.int32), "probes": [list(map(int, r)) for r in order]})
-
-    a = vec.select("cell_id", "v").mapInPandas(assign, "cell_id long, v array<double>, home int, probes array<int>")
-    from cellscape.session import cut_lineage
-    a = cut_lineage(a)
-    sizes = a.groupBy("home").agg(F.count(F.lit(1)).alias("n_home"))
-    chunks = sizes.select("home", F.greatest(F.lit(1), F.ceil(F.col("n_home") / F.lit(chunk_rows))).alias("n_chunks"))
-    right = a.join(chunks, "home").select(
-        F.col("home").alias("_list"), F.pmod(F.xxhash64("cell_id"), F.col("n_chunks")).alias("_chunk"), "cell_id", "v")
-    left = (a.select("cell_id", "v", F.explode("probes").alias("_list"))
-            .join(chunks.withColumnRenamed("home", "_list"), "_list")
-            .select("_list", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("_chunk"), "cell_id", "v"))
-    right = right.select(*[F.col(c).alias(c) for c in right.columns])
-
-    def task(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        if lp.empty or rp.empty:
-            return pd.DataFrame({"src": [], "dst": [], "dist": []})
-        L = np.stack(lp["v"].to_numpy()).astype(np.float64)
-        R = np.stack(rp["v"].to_numpy()).astype(np.float64)
-        rid = rp["cell_id"].to_numpy()
-        o = np.argsort(rid, kind="stable")
-        R, rid = R[o], rid[o]
-        lid = lp["cell_id"].to_numpy()
-        m = min(k, R.shape[0])
-        s_, d_, x_ = [], [], []
-        for s, D in _dist_rows(L, R):
-            idx = np.argsort(D, axis=1, kind="stable")[:, :m]
-            s_.append(np.repeat(lid[s:s + D.shape[0]], m))
-            d_.append(rid[idx].ravel())
-            x_.append(np.take_along_axis(D, idx, axis=1).ravel())
-        return pd.DataFrame({"src": np.concatenate(s_), "dst": np.concatenate(d_), "dist": np.concatenate(x_)})
-
-    cand = left.groupBy("_list", "_chunk").cogroup(right.groupBy("_list", "_chunk")).applyInPandas(
-        task, schema="src long, dst long, dist double")
-    cand = cand.withColumn("dist", F.round(F.col("dist") * F.lit(1e9)) / F.lit(1e9)).dropDuplicates(["src", "dst"])
-    w = Window.partitionBy("src").orderBy("dist", "dst")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
-        "src", "dst", F.col("rank").cast("int").alias("rank"), "dist")
+    n_lists = min(n_lists or max(1, int(math.sqrt(n))), max(n, 1))
+    if n_lists > 1:
+        model = KMeans(k=n_lists, seed=seed, maxIter=20).fit(vec.select(array_to_vector("v").alias("features")))
+        centres = np.array(model.clusterCenters())
+    else:
+        centres = np.zeros((1, len(vec.first().v) if n else 1))
+
+    def visits(low: int, high: int) -> DataFrame:
+        """(cell_id, v, list, nearness) for the lists that are the low-th to high-th nearest of a cell."""
+        def near(batches):
+            for pdf in batches:
+                if len(pdf):
+                    d = _distances(np.stack(pdf["v"].to_numpy()), centres)
+                    yield pdf.assign(lists=list(np.argsort(d, axis=1, kind="stable")[:, low:high].astype(np.int32)))
+        near_lists = vec.mapInPandas(near, "cell_id long, v array<double>, lists array<int>")
+        return near_lists.select("cell_id", "v", F.explode("lists").alias("list"))
+
+    home = scratch.put("home", visits(0, 1))
+
+    def chunked(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        sizes = rows.groupBy("list").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows))).alias(f"{name}s"))
+        return rows.join(sizes, "list").withColumn(name, F.pmod(F.xxhash64("cell_id", F.lit(name)), F.col(f"{name}s"))).drop(f"{name}s"), sizes
+
+    residents, resident_chunks = chunked(home, "r")
+    known = scratch.put("sample", knn_of_sample(vec, k, sample))
+    found, low, high = None, 0, min(n_probe, len(centres))
+    while True:
+        visitors, visitor_chunks = chunked(scratch.put(f"visits-{high}", visits(low, high)), "l")
+        left = visitors.join(resident_chunks, "list").withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rs") - 1)))
+        right = residents.join(visitor_chunks, "list").withColumn("l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ls") - 1)))
+        cand = left.groupBy("list", "l", "r").cogroup(right.groupBy("list", "l", "r")).applyInPandas(
+            lambda lp, rp: _block_nearest(lp, rp, k), _CANDIDATES)
+        if found is not None:
+            cand = cand.unionByName(found.drop("rank"))
+        found = scratch.put(f"found-{high}", _nearest_of(cand, k))
+        scratch.drop(f"visits-{high}")
+        reached = knn_recall(found, known).first().recall
+        if high >= len(centres) or reached is None or reached >= recall:
+            return found
+        low, high = high, min(2 * high, len(centres))
 
 
 def knn_recall(approx: DataFrame, exact: DataFrame) -> DataFrame:

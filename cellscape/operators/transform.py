@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellscape.functions.windows import count_below_by_value
 from cellscape.matrix import CountMatrix
 from cellscape.session import cut_lineage
 
@@ -125,6 +126,89 @@ def hvg_dispersion(m: CountMatrix, n_top_genes: int = 2000, n_bins: int = 20, ti
     return cut_lineage(g.withColumn("highly_variable", F.coalesce(F.col("dispersions_norm") >= cut, F.lit(False))))
 
 
+def _nearest_span(points: DataFrame, anchors: DataFrame, share: float) -> DataFrame:
+    """(anchor, at, span): distance from each anchor to its q-th nearest point, q = floor(share x points), 1 at least.
+
+    The q nearest points are neighbours in the order of x, so the distance is the least, over all runs of q points, of that
+    to the farther end.  Points are numbered by a bucketed rank; the runs are an equi-join of the numbers.
+    """
+    values = points.groupBy("x").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(1))
+    ranked = count_below_by_value(values, "all", "x", "n", "below")
+    ordered = cut_lineage(ranked.select("x", F.explode(F.sequence(F.col("below"), F.col("below") + F.col("n") - 1)).alias("rank")))
+    q = ordered.select(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(share) + F.lit(1e-5)))).scalar()
+    runs = ordered.withColumn("last", F.col("rank") + q - 1).join(
+        ordered.select(F.col("rank").alias("last"), F.col("x").alias("end")), "last").select("x", "end")
+    farther = F.greatest(F.col("at") - F.col("x"), F.col("end") - F.col("at"), F.lit(0.0))
+    return runs.join(F.broadcast(anchors)).groupBy("anchor", "at").agg(F.min(farther).alias("span"))
+
+
+def local_quadratic(points: DataFrame, share: float = 0.3, n_anchors: int = 100) -> DataFrame:
+    """``points(x, y, ...)`` with ``fitted``: a local quadratic regression of y on x.
+
+    At ``n_anchors`` evenly spaced anchors, a quadratic is fitted to the nearest ``share`` of all points with tricube weights; its
+    normal equations are partially aggregated sums and are solved in closed form.  Where they are singular (fewer
+    than three distinct x carry weight) a line or the mean takes over.  Between anchors the fit is linear.
+    """
+    bounds = points.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    steps = F.lit(float(n_anchors - 1))
+    anchors = bounds.where("lo is not null").select(F.explode(F.sequence(F.lit(0), F.lit(n_anchors - 1))).alias("anchor"), "lo", "hi").select(
+        "anchor", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("anchor") / steps).alias("at"))
+    spans = cut_lineage(_nearest_span(points, anchors, share))
+    t = F.when(F.col("span") > 0, (F.col("x") - F.col("at")) / F.col("span")).otherwise(F.col("x") - F.col("at"))
+    weight = F.when((F.col("span") == 0) & (t == 0), 1.0).when((F.col("span") > 0) & (F.abs(t) < 1), F.pow(1 - F.pow(F.abs(t), 3), 3))
+    terms = points.join(F.broadcast(spans)).select("anchor", "y", t.alias("t"), weight.alias("w")).where("w > 0")
+    power = lambda i: F.pow("t", F.lit(float(i)))
+    sums = terms.groupBy("anchor").agg(*(F.sum(F.col("w") * power(i)).alias(f"s{i}") for i in range(5)),
+                                       *(F.sum(F.col("w") * F.col("y") * power(i)).alias(f"r{i}") for i in range(3)))
+    s = [F.col(f"s{i}") for i in range(5)]
+    r = [F.col(f"r{i}") for i in range(3)]
+    quadratic = s[0] * (s[2] * s[4] - s[3] * s[3]) - s[1] * (s[1] * s[4] - s[2] * s[3]) + s[2] * (s[1] * s[3] - s[2] * s[2])
+    solved = r[0] * (s[2] * s[4] - s[3] * s[3]) - s[1] * (r[1] * s[4] - s[3] * r[2]) + s[2] * (r[1] * s[3] - s[2] * r[2])
+    line = s[0] * s[2] - s[1] * s[1]
+    value = (F.when(quadratic > 1e-9 * s[0] * s[2] * s[4], solved / quadratic)
+             .when(line > 1e-9 * s[0] * s[2], (r[0] * s[2] - s[1] * r[1]) / line).otherwise(r[0] / s[0]))
+    fits = cut_lineage(sums.select("anchor", value.alias("value")))
+    lo, width = bounds.select("lo").scalar(), bounds.select((F.col("hi") - F.col("lo")) / steps).scalar()
+    place = F.when(width > 0, (F.col("x") - lo) / width).otherwise(F.lit(0.0))
+    left = F.least(F.floor(place), F.lit(n_anchors - 2)).cast("int")
+    placed = points.withColumn("_p", place).withColumn("anchor", left)
+    ends = fits.select((F.col("anchor") - 1).alias("anchor"), F.col("value").alias("_next"))
+    return (placed.join(F.broadcast(fits), "anchor").join(F.broadcast(ends), "anchor")
+            .withColumn("fitted", F.col("value") + (F.col("_p") - F.col("anchor")) * (F.col("_next") - F.col("value")))
+            .drop("anchor", "_p", "value", "_next"))
+
+
+def hvg_vst(m: CountMatrix, n_top_genes: int = 2000, span: float = 0.3, tie_digits: int = 9) -> DataFrame:
+    """T4: highly variable genes, variance-stabilised ("seurat_v3") flavour, on counts.
+
+    log10 variance is regressed on log10 mean over the genes that vary (``local_quadratic``); counts are clipped at
+    mean + sqrt(N) x the expected deviation and standardised with it; genes are ranked by the variance of that, which
+    is rounded to ``tie_digits`` decimals (ties: the smaller gene id).  Genes that don't vary get 0.
+
+    Returns gene_id, means, variances, variances_norm, highly_variable_rank (from 0, null beyond
+    ``n_top_genes``) and highly_variable.
+    """
+    n = m.n_cells()
+    stats = cut_lineage(_with_all_genes(m.genes, zero_aware_gene_stats(m.expr, n), n))
+    varying = stats.where("var > 0 and mean > 0").select(
+        "gene_id", "mean", F.log10("mean").alias("x"), F.log10("var").alias("y"))
+    cells = n.cast("double")
+    expected = local_quadratic(varying, span).select("gene_id", "mean", F.sqrt(F.pow(F.lit(10.0), F.col("fitted"))).alias("dev"))
+    expected = cut_lineage(expected.withColumn("clip", F.col("dev") * F.sqrt(cells) + F.col("mean")))
+    clipped = (m.expr.join(expected.select("gene_id", "clip"), "gene_id").withColumn("value", F.least("value", "clip"))
+               .groupBy("gene_id").agg(F.sum("value").alias("total"), F.sum(F.col("value") * F.col("value")).alias("squares")))
+    spread = cells * F.col("mean") * F.col("mean") + F.col("squares") - 2 * F.col("mean") * F.col("total")
+    scale = float(10 ** tie_digits)
+    norm = expected.join(clipped, "gene_id").select("gene_id", (F.round(
+        spread / ((cells - 1) * F.col("dev") * F.col("dev")) * F.lit(scale)) / F.lit(scale)).alias("variances_norm"))
+    genes = cut_lineage(stats.join(norm, "gene_id", "left").select(
+        "gene_id", F.col("mean").alias("means"), F.col("var").alias("variances"), F.coalesce("variances_norm", F.lit(0.0)).alias("variances_norm")))
+    best = genes.orderBy(F.desc("variances_norm"), "gene_id").limit(n_top_genes)
+    order = Window.orderBy(F.desc("variances_norm"), "gene_id")  # at most n_top_genes rows
+    ranks = best.select("gene_id", (F.row_number().over(order) - 1).alias("highly_variable_rank"))
+    return genes.join(ranks, "gene_id", "left").withColumn("highly_variable", F.col("highly_variable_rank").isNotNull())
+
+
 def subset_hvg(m: CountMatrix, hvg: DataFrame) -> CountMatrix:
     """Keep only highly variable genes (the flagged set is bounded by n_top_genes)."""
     keep = hvg.where("highly_variable").select("gene_id")

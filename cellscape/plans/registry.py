@@ -8,6 +8,7 @@ both engines produce identical values.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -214,6 +215,38 @@ def q_hvg_scatter(spark, sf_dir):
     )
 
 
+@register("hvg_vst", f"""
+WITH {S.F1}, f1_n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM f1_cells),
+{S.zero_aware_stats('f1', 'f1_expr', 'value', 'st')},
+v AS (SELECT gene_id, mean, log10(mean) AS x, log10(var) AS y FROM st WHERE var > 0 AND mean > 0),
+b AS (SELECT min(x) AS lo, max(x) AS hi, greatest(1, floor(count(*) * 0.3 + 1e-5)) AS q FROM v),
+a AS (SELECT i, lo + (hi - lo) * i / 99.0 AS pos, q FROM b, range(100) r(i)),
+h AS (SELECT i, pos, d AS h FROM (SELECT i, pos, q, abs(x - pos) AS d, row_number() OVER (PARTITION BY i ORDER BY abs(x - pos)) AS rn
+                                FROM a, v) WHERE rn = q),
+w AS (SELECT i, y, (x - pos) / h AS t, pow(1 - pow(abs((x - pos) / h), 3), 3) AS w FROM h, v WHERE abs(x - pos) < h),
+s AS (SELECT i, sum(w) AS s0, sum(w * t) AS s1, sum(w * t * t) AS s2, sum(w * pow(t, 3)) AS s3, sum(w * pow(t, 4)) AS s4,
+             sum(w * y) AS r0, sum(w * y * t) AS r1, sum(w * y * t * t) AS r2 FROM w GROUP BY i),
+dt AS (SELECT *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2) AS det FROM s),
+f AS (SELECT i, CASE WHEN det > 1e-9 * s0 * s2 * s4
+                     THEN (r0 * (s2 * s4 - s3 * s3) - s1 * (r1 * s4 - s3 * r2) + s2 * (r1 * s3 - s2 * r2)) / det
+                     WHEN s0 * s2 - s1 * s1 > 1e-9 * s0 * s2 THEN (r0 * s2 - s1 * r1) / (s0 * s2 - s1 * s1) ELSE r0 / s0 END AS v FROM dt),
+p AS (SELECT gene_id, mean, (x - lo) / ((hi - lo) / 99.0) AS p FROM v, b),
+e AS (SELECT gene_id, mean, sqrt(pow(10, l.v + (p - l.i) * (u.v - l.v))) AS dev
+      FROM p JOIN f l ON l.i = least(floor(p), 98) JOIN f u ON u.i = l.i + 1),
+c AS (SELECT gene_id, sum(least(value, dev * sqrt(n) + mean)) AS total, sum(pow(least(value, dev * sqrt(n) + mean), 2)) AS sq
+      FROM f1_expr JOIN e USING (gene_id), f1_n GROUP BY gene_id),
+z AS (SELECT st.gene_id, st.mean, st.var, coalesce(round((n * e.mean * e.mean + sq - 2 * e.mean * total) / ((n - 1) * dev * dev) * 1e9) / 1e9, 0) AS vn
+      FROM st CROSS JOIN f1_n LEFT JOIN e USING (gene_id) LEFT JOIN c USING (gene_id)),
+k AS (SELECT *, row_number() OVER (ORDER BY vn DESC, gene_id) - 1 AS rk FROM z)
+SELECT gene_id, {S.R('mean')} AS means, {S.R('var')} AS variances, {S.R('vn')} AS variances_norm,
+       CAST(CASE WHEN rk < {F1_TOP} THEN rk END AS DOUBLE) AS highly_variable_rank, rk < {F1_TOP} AS highly_variable FROM k
+""")
+def q_hvg_vst(spark, sf_dir):
+    h = T.hvg_vst(f1(spark, sf_dir), n_top_genes=F1_TOP)
+    return h.select("gene_id", *(r6(c).alias(c) for c in ("means", "variances", "variances_norm")),
+                    F.col("highly_variable_rank").cast("double").alias("highly_variable_rank"), "highly_variable")
+
+
 @register("subset_hvg", f"""
 WITH {S.F1}, {S.lognorm('f1')}, {S.hvg('f1', F1_TOP)}
 SELECT l.cell_id, l.gene_id, {S.R('l.x')} AS value
@@ -739,16 +772,26 @@ def q_slice_pcs(spark, sf_dir):
         "cell_id", F.col("dim").cast("int").alias("dim"), r6("value").alias("value"))
 
 
+@register("pairwise_distance", f"""
+WITH f3 AS (SELECT vec_id AS cell_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pd AS (SELECT a.cell_id, list_distance(a.v, b.v) AS d FROM f3 a JOIN f3 b ON a.cell_id <> b.cell_id)
+SELECT cell_id, count(*) AS n_others, {S.R('avg(d)')} AS mean_distance, {S.R('max(d)')} AS max_distance FROM pd GROUP BY cell_id
+""")
+def q_pairwise_distance(spark, sf_dir):
+    """Every cell against every other, summed up per cell."""
+    d = NB.distance_summary(f3_vectors(spark, sf_dir))
+    return d.select("cell_id", "n_others", r6("mean_distance").alias("mean_distance"), r6("max_distance").alias("max_distance"))
+
+
 @register("knn_exact", f"""
-WITH f3 AS (SELECT vec_id AS cell_id, list_slice(CAST(embedding AS DOUBLE[]), 1, {N_PCS_USE}) AS v FROM embeddings),
+WITH f3 AS (SELECT vec_id AS cell_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 pd AS (SELECT a.cell_id AS src, b.cell_id AS dst, round(list_distance(a.v, b.v) * 1e9) / 1e9 AS dist
        FROM f3 a JOIN f3 b ON true),
 rk AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pd)
 SELECT src, dst, CAST(rank AS INTEGER) AS rank, {S.R('dist')} AS dist FROM rk WHERE rank <= {N_NEIGHBORS}
 """)
 def q_knn_exact(spark, sf_dir):
-    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
-    k = NB.knn_exact(v, N_NEIGHBORS)
+    k = NB.knn_exact(f3_vectors(spark, sf_dir), N_NEIGHBORS)
     return k.select("src", "dst", "rank", r6("dist").alias("dist"))
 
 
@@ -780,6 +823,7 @@ def q_kmeans_elbow_sweep(spark, sf_dir):
 # ----------------------------------------------------------------------------- graphs and communities
 
 from cellscape.operators import graph as GR  # noqa: E402
+from cellscape.operators import layout as LY  # noqa: E402
 
 RESOLUTIONS = [0.3, 0.5, 0.8, 1.0, 1.5]
 
@@ -799,7 +843,7 @@ def q_fuzzy_graph(spark, sf_dir):
 
 @register("graph_modularity", f"""
 WITH {S.F3},
-v AS (SELECT vec_id AS cell_id, list_slice(CAST(embedding AS DOUBLE[]), 1, {N_PCS_USE}) AS v FROM embeddings),
+v AS (SELECT vec_id AS cell_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 pd AS (SELECT a.cell_id AS src, b.cell_id AS dst, round(list_distance(a.v, b.v) * 1e9) / 1e9 AS dist
        FROM v a JOIN v b ON true),
 knn AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pd)
@@ -818,15 +862,15 @@ SELECT p.cluster_key, {S.R('coalesce(i.inside, 0.0) / m2.m2 - p.sq / (m2.m2 * m2
 FROM pen p CROSS JOIN m2 LEFT JOIN ins i ON i.cluster_key = p.cluster_key
 """)
 def q_graph_modularity(spark, sf_dir):
-    # On the coordinates that the SQL uses.
-    v = RD.slice_pcs(f3_vectors(spark, sf_dir), N_PCS_USE)
-    edges = GR.knn_graph(NB.knn_exact(v, N_NEIGHBORS))
+    edges = cut_lineage(GR.knn_graph(NB.knn_exact(f3_vectors(spark, sf_dir), N_NEIGHBORS)))
     q = GR.modularity(edges, f3_assignments(spark, sf_dir), 1.0)
     return q.select("cluster_key", r6("modularity").alias("modularity"))
 
 
 def f3_louvain(spark, sf_dir, refine=False):
-    return GR.community_sweep(cut_lineage(f3_fuzzy(spark, sf_dir)), RESOLUTIONS, refine=refine)
+    pcs = cut_lineage(f3_pcs(spark, sf_dir))
+    graph = GR.fuzzy_graph(cut_lineage(NB.knn_exact(pcs, N_NEIGHBORS)), N_NEIGHBORS)
+    return GR.community_sweep(cut_lineage(graph), RESOLUTIONS, refine, pcs)
 
 
 @register("louvain_sweep")
@@ -984,20 +1028,32 @@ def q_violin_box(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- embeddings, compositions, logreg
 
-@register("embedding_scatter", """
-SELECT 'label' AS color_key, vec_id AS cell_id, """ + S.R("CAST(embedding[1] AS DOUBLE)") + """ AS x,
-       """ + S.R("CAST(embedding[2] AS DOUBLE)") + """ AS y, CAST(label AS VARCHAR) AS value FROM embeddings
+@register("embedding_colors", """
+SELECT 'label' AS color_key, vec_id AS cell_id, CAST(label AS VARCHAR) AS value FROM embeddings
 UNION ALL
-SELECT 'label_mod3', vec_id, """ + S.R("CAST(embedding[1] AS DOUBLE)") + """, """ + S.R("CAST(embedding[2] AS DOUBLE)") + """,
-       CAST(label % 3 AS VARCHAR) FROM embeddings
+SELECT 'label_mod3', vec_id, CAST(label % 3 AS VARCHAR) FROM embeddings
 """)
-def q_embedding_scatter(spark, sf_dir):
-    """C5 + J5 (cell columns): a 2-d basis (first two embedding coordinates) coloured by cell columns."""
+def q_embedding_colors(spark, sf_dir):
+    """J5 (cell columns): the colour side of C5, which SQL can express; the layouts are in embedding_scatter."""
     v = f3_vectors(spark, sf_dir)
-    emb = v.select("cell_id", r6(F.col("v")[0]).alias("x"), r6(F.col("v")[1]).alias("y"))
+    return _scatter(v, v.select("cell_id", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))).select("color_key", "cell_id", "value")
+
+
+def _scatter(v, basis):
     cells = v.select("cell_id", "label", (F.col("label") % 3).alias("label_mod3"))
-    return CH.embedding_scatter(emb, {"label": CH.color_by_cell_column(emb, cells, "label"),
-                                      "label_mod3": CH.color_by_cell_column(emb, cells, "label_mod3")})
+    return CH.embedding_scatter(basis, {"label": CH.color_by_cell_column(basis, cells, "label"),
+                                        "label_mod3": CH.color_by_cell_column(basis, cells, "label_mod3")})
+
+
+@register("embedding_scatter")
+def q_embedding_scatter(spark, sf_dir):
+    """The PCA, UMAP and t-SNE layouts, each coloured by two cell columns."""
+    v = f3_vectors(spark, sf_dir)
+    d = WF.run_dimension_reduction(v.select("cell_id", "v"))
+    bases = {"pca": d.scores.select("cell_id", F.col("v")[0].alias("x"), F.col("v")[1].alias("y")),
+             "umap": d.umap.positions, "tsne": d.tsne.positions}
+    parts = [_scatter(v, b).withColumn("basis", F.lit(name)) for name, b in bases.items()]
+    return functools.reduce(DataFrame.unionByName, parts).withColumns({c: r6(c) for c in "xy"})
 
 
 @register("color_embedding", f"""
@@ -1121,7 +1177,7 @@ def q_knn_approx(spark, sf_dir):
 
 @register("knn_recall")
 def q_knn_recall(spark, sf_dir):
-    """Recall of the inverted-file search against the exact search (property: close to 1)."""
+    """Recall of the inverted-file search, whose target is 0.95 on its sample, against the exact search."""
     v = f3_pcs(spark, sf_dir)
     return NB.knn_recall(NB.knn_approx(v, N_NEIGHBORS), NB.knn_exact(v, N_NEIGHBORS))
 
@@ -1188,10 +1244,25 @@ def q_resolve_color_keys(spark, sf_dir):
 
 @register("dimension_reduction")
 def q_dimension_reduction(spark, sf_dir):
-    """D9 without layouts: per cell, its fuzzy-graph degree and t-SNE affinity mass on the
-    PCA-based neighbour graphs (one row per cell)."""
-    _, _, graph, affin = WF.run_dimension_reduction(f3_vectors(spark, sf_dir).select("cell_id", "v"))
-    deg = graph.groupBy(F.col("src").alias("cell_id")).agg(F.sum("w").alias("graph_degree"))
-    mass = affin.groupBy(F.col("src").alias("cell_id")).agg(F.sum("p").alias("affinity_mass"))
-    return deg.join(mass, "cell_id", "full_outer").select(
-        "cell_id", r6("graph_degree").alias("graph_degree"), r6(F.col("affinity_mass") * 1e6).alias("affinity_mass_ppm"))
+    """Per cell its fuzzy-graph degree, its t-SNE affinity mass and both layouts, on one neighbour table."""
+    d = WF.run_dimension_reduction(f3_vectors(spark, sf_dir).select("cell_id", "v"))
+    deg = d.graph.groupBy(F.col("src").alias("cell_id")).agg(F.sum("w").alias("graph_degree"))
+    mass = d.affinities.groupBy(F.col("src").alias("cell_id")).agg((F.sum("p") * 1e6).alias("affinity_mass_ppm"))
+    out = d.umap.positions.toDF("cell_id", "umap_x", "umap_y").join(d.tsne.positions.toDF("cell_id", "tsne_x", "tsne_y"), "cell_id")
+    out = out.join(deg, "cell_id", "left").join(mass, "cell_id", "left")
+    return out.select("cell_id", *(r6(c).alias(c) for c in out.columns[1:]))
+
+
+@register("tsne_layout")
+def q_tsne_layout(spark, sf_dir):
+    """T-SNE of the vectors, perplexity 30 on the first 30 components."""
+    v = cut_lineage(f3_pcs(spark, sf_dir))
+    return LY.tsne_layout(GR.tsne_affinities(cut_lineage(NB.knn_exact(v, 91)), 30.0), v).positions.withColumns({c: r6(c) for c in "xy"})
+
+
+@register("umap_layout")
+def q_umap_layout(spark, sf_dir):
+    """UMAP of the vectors, min_dist 0.1 on the connectivities of 15 neighbours."""
+    v = cut_lineage(f3_pcs(spark, sf_dir))
+    graph = GR.fuzzy_graph(cut_lineage(NB.knn_exact(v, N_NEIGHBORS)), N_NEIGHBORS)
+    return LY.umap_layout(cut_lineage(graph), v).positions.withColumns({c: r6(c) for c in "xy"})

@@ -81,17 +81,18 @@ def test_ward_line_and_nested_cuts(spark):
     from cellscape.operators import ward as WD
 
     X = np.array([[0.0], [1.0], [5.0], [6.0], [20.0]])
-    merges = WD.ward_merges(X, np.ones(5))
+    vec = spark.createDataFrame([(i, X[i].tolist()) for i in range(5)], "cell_id long, v array<double>")
+    out, tree = WD.ward_sweep(vec, [2, 3, 4])
+    merges = [(r.left, r.right, r.cost) for r in tree.orderBy("height", "round", "left").collect()]
+    assert len(merges) == 4
     assert merges[0][:2] == (0, 1) and abs(merges[0][2] - 0.5) < 1e-12
     assert merges[1][:2] == (2, 3) and abs(merges[1][2] - 0.5) < 1e-12
     # {0,1} + {2,3}: 2*2/4 * 5^2 = 25 < {2,3} + {4}: 2/3 * 14.5^2
     assert merges[2][:2] == (0, 2) and abs(merges[2][2] - 25.0) < 1e-12
-    vec = spark.createDataFrame([(i, X[i].tolist()) for i in range(5)], "cell_id long, v array<double>")
-    out, m = WD.ward_sweep(vec, [2, 3, 4])
     lab = {}
     for r in out.collect():
         lab.setdefault(r.cluster_key, {})[r.cell_id] = r.cluster
-    assert m == 5 and len(set(lab["hierarchical_k2"].values())) == 2
+    assert len(set(lab["hierarchical_k2"].values())) == 2
     for fine, coarse in (("hierarchical_k4", "hierarchical_k3"), ("hierarchical_k3", "hierarchical_k2")):
         groups = {}
         for c, f in lab[fine].items():
