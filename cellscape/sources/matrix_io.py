@@ -17,11 +17,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellscape.functions.windows import row_number_by_unique_key
 from cellscape.matrix import CountMatrix
-from cellscape.session import ensure_checkpoint_dir
+from cellscape.session import cut_lineage, ensure_checkpoint_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -29,40 +32,88 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cellscape-io/{name}-{uuid.uuid4().hex}"
 
 
+def _first_existing(spark: SparkSession, *paths: str) -> str:
+    """The first of the paths that exists, so that a plain and a compressed copy are not both read."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(conf).exists(at):
+            return path
+    raise FileNotFoundError(f"none of these exists: {', '.join(paths)}")
+
+
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, file, start, at): text lines of a file or of all files under a folder, ordered by these three.
+
+    ``file`` orders numbered part files by their number and others by their path, ``start`` is the block's offset in the
+    file and ``at`` rises inside a block.
+    """
+    name = F.col("_metadata.file_path")
+    number = F.regexp_extract(name, r"/part-(\d+)[^/]*$", 1)
+    file = F.concat(F.regexp_extract(name, r"^(.*/)[^/]*$", 1), F.lpad(number, 12, "0"), F.regexp_extract(name, r"([^/]*)$", 1))
+    return (spark.read.option("recursiveFileLookup", "true").text(path)
+            .select(F.col("value").alias("line"), file.alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                    F.monotonically_increasing_id().alias("at")))
+
+
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, ln) with ln the 0-based line number; zipWithIndex is the one place an RDD is used."""
-    rdd = spark.read.text(path).rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    return rdd.toDF("line string, ln long")
+    """(line, ln) with ln the 0-based number of the line over all files.
+
+    A line's number is the number of lines in the blocks before its own plus its place in the block.  The prefix sum runs over
+    the blocks of a file and then over files, so its rows grow with the bytes divided by the block size only.
+    """
+    lines = cut_lineage(_placed_lines(spark, path))
+    blocks = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    files = blocks.groupBy("file").agg(F.sum("n").alias("n")).select(
+        "file", F.coalesce(F.sum("n").over(before.orderBy("file")), F.lit(0)).alias("files"))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = blocks.withColumn("inside", inside).join(files, "file").select(
+        "file", "start", (F.col("files") + F.col("inside") - F.col("first")).alias("offset"))
+    return lines.join(offsets, ["file", "start"]).select("line", (F.col("offset") + F.col("at")).alias("ln"))
+
+
+def _number(raw: Column) -> Column:
+    """A trimmed field as a double; an empty field is null, anything else that is no number is an error."""
+    text = F.trim(raw)
+    return F.when(text != "", F.coalesce(text.try_cast("double"), F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double")))
+
+
+def _positions(df: DataFrame, key: str, out: str) -> DataFrame:
+    """(key, out): the 0-based place of every row in the order of its unique integer key."""
+    ranked = row_number_by_unique_key(df.select(key).withColumn("_all", F.lit(1)), ["_all"], key, out)
+    return ranked.select(key, (F.col(out) - 1).alias(out))
 
 
 # --------------------------------------------------------------------------- CSV
 
 def write_counts_csv(m: CountMatrix, path: str, sep: str = ",", cell_name: str = "cell_name",
                      gene_name: str = "gene_name") -> str:
-    """Dense CSV of the matrix (one line per cell, one column per gene, zeros written out).
+    """Dense CSV of the matrix (one line per cell, one column per gene, zeros written out) as a folder.
 
-    Meant for interchange of small matrices: the gene list (header) is bounded by the
-    number of genes and each line is built from the cell's own entries.
+    ``path/header`` holds the header line, ``path/rows`` the cells in order of their id in as many part files as there are
+    range partitions.  A line is filled from the cell's own entries.
     """
-    genes = m.genes.select("gene_id", F.col(gene_name).cast("string").alias("_gn"))
-    glist = genes.select(F.array_sort(F.collect_list(F.struct("gene_id", "_gn"))).alias("g")).scalar()
-    header = genes.select(
-        F.concat_ws(sep, F.lit(""), F.concat_ws(sep, F.transform(F.array_sort(F.collect_list(F.struct("gene_id", "_gn"))),
-                                                               lambda s: s["_gn"]))).alias("value"),
-        F.lit(0).alias("_o"), F.lit("").alias("_k"),
-    )
-    per_cell = m.expr.groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("gene_id", "value"))).alias("_m"))
-    rows = (
-        m.cells.select("cell_id", F.col(cell_name).cast("string").alias("_cn"))
-        .join(per_cell, "cell_id", "left").withColumn("_g", glist)
-        .select(
-            F.concat_ws(sep, F.col("_cn"), F.concat_ws(sep, F.transform(
-                "_g", lambda s: F.coalesce(F.element_at("_m", s["gene_id"]), F.lit(0.0)).cast("string")
-            ))).alias("value"),
-            F.lit(1).alias("_o"), F.col("_cn").alias("_k"),
-        )
-    )
-    header.unionByName(rows).coalesce(1).sortWithinPartitions("_o", "_k").select("value").write.mode("overwrite").text(path)
+    genes = _positions(m.genes, "gene_id", "place").join(m.genes.select("gene_id", F.col(gene_name).cast("string").alias("name")), "gene_id")
+    names = F.transform(F.array_sort(F.collect_list(F.struct("place", "name"))), lambda g: g["name"])
+    genes.agg(F.concat_ws(sep, F.lit(""), names).alias("value")).write.mode("overwrite").text(f"{path}/header")
+    width = m.genes.count()
+    entries = (m.expr.join(genes.select("gene_id", "place"), "gene_id").groupBy("cell_id")
+               .agg(F.collect_list("place").alias("places"), F.collect_list("value").alias("values")))
+
+    def lines(batches):
+        for pdf in batches:
+            out = []
+            for name, places, values in zip(pdf["name"], pdf["places"], pdf["values"]):
+                row = np.zeros(width)
+                if places is not None:
+                    row[np.asarray(places, dtype=np.int64)] = values
+                out.append(sep.join([name, *map(repr, row.tolist())]))
+            yield pd.DataFrame({"value": out})
+
+    rows = (m.cells.select("cell_id", F.col(cell_name).cast("string").alias("name")).join(entries, "cell_id", "left")
+            .repartitionByRange("cell_id").sortWithinPartitions("cell_id"))
+    rows.select("name", "places", "values").mapInPandas(lines, "value string").write.mode("overwrite").text(f"{path}/rows")
     return path
 
 
@@ -86,7 +137,7 @@ def read_counts_csv(spark: SparkSession, path: str, sep: str = ",") -> CountMatr
     expr = (
         body.select("cell_id", F.posexplode("f").alias("pos", "raw")).where(F.col("pos") > 0)
         .select("cell_id", (F.col("pos") - 1).cast("bigint").alias("gene_id"),
-                F.trim("raw").try_cast("double").alias("value"))
+                _number(F.col("raw")).alias("value"))
         .where(F.col("value").isNotNull() & (F.col("value") != 0))
     )
     return CountMatrix(cells=cells, genes=genes, expr=expr)
@@ -114,25 +165,24 @@ def orient_matrix(m: CountMatrix, layout: str = "auto") -> CountMatrix:
 
 def write_counts_mtx(m: CountMatrix, folder: str, cell_name: str = "cell_name", gene_name: str = "gene_name",
                      gene_symbol: str | None = None) -> str:
-    """10x-style folder: matrix.mtx (genes x cells, 1-based), barcodes.tsv, features.tsv."""
+    """10x-style folder: matrix.mtx (genes x cells, 1-based), barcodes.tsv, features.tsv, each a folder of ordered part files."""
     spark = m.expr.sparkSession
-    g = m.genes.orderBy("gene_id").rdd.zipWithIndex().map(lambda r: (r[0]["gene_id"], r[1] + 1)).toDF("gene_id long, row long")
-    c = m.cells.orderBy("cell_id").rdd.zipWithIndex().map(lambda r: (r[0]["cell_id"], r[1] + 1)).toDF("cell_id long, col long")
-    sym = F.col(gene_symbol) if gene_symbol else F.col(gene_name)
-    feats = m.genes.join(g, "gene_id").select(
-        "row", F.concat_ws("\t", F.col(gene_name).cast("string"), sym.cast("string"), F.lit("Gene Expression")).alias("value"))
-    feats.coalesce(1).sortWithinPartitions("row").select("value").write.mode("overwrite").text(f"{folder}/features.tsv")
-    bars = m.cells.join(c, "cell_id").select("col", F.col(cell_name).cast("string").alias("value"))
-    bars.coalesce(1).sortWithinPartitions("col").select("value").write.mode("overwrite").text(f"{folder}/barcodes.tsv")
+    g = _positions(m.genes, "gene_id", "row").withColumn("row", F.col("row") + 1)
+    c = _positions(m.cells, "cell_id", "col").withColumn("col", F.col("col") + 1)
+    symbol = F.col(gene_symbol or gene_name).cast("string")
+
+    def written(rows: DataFrame, order: str, name: str) -> None:
+        rows.repartitionByRange(order).sortWithinPartitions(order).select("value").write.mode("overwrite").text(f"{folder}/{name}")
+
+    written(m.genes.join(g, "gene_id").select(
+        "row", F.concat_ws("\t", F.col(gene_name).cast("string"), symbol, F.lit("Gene Expression")).alias("value")), "row", "features.tsv")
+    written(m.cells.join(c, "cell_id").select("col", F.col(cell_name).cast("string").alias("value")), "col", "barcodes.tsv")
     e = m.expr.join(g, "gene_id").join(c, "cell_id")
-    nnz = e.count()
-    n_g, n_c = m.genes.count(), m.cells.count()
-    head = spark.createDataFrame(
-        [("%%MatrixMarket matrix coordinate real general", 0), (f"{n_g} {n_c} {nnz}", 1)], "value string, _o int")
-    body = e.select(F.concat_ws(" ", "row", "col", F.col("value").cast("string")).alias("value"),
-                    F.lit(2).alias("_o"))
-    head.unionByName(body).coalesce(1).sortWithinPartitions("_o").select("value").write.mode("overwrite").text(
-        f"{folder}/matrix.mtx")
+    head = ["%%MatrixMarket matrix coordinate real general", f"{m.genes.count()} {m.cells.count()} {e.count()}"]
+    spark.range(1).select(F.lit("\n".join(head)).alias("value")).write.mode("overwrite").text(f"{folder}/matrix.mtx/header")
+    # Coordinates may come in any order.
+    e.select(F.concat_ws(" ", "row", "col", F.col("value").cast("string")).alias("value")).write.mode("overwrite").text(
+        f"{folder}/matrix.mtx/rows")
     return folder
 
 
@@ -149,7 +199,7 @@ def read_counts_mtx(spark: SparkSession, folder: str, var_names: str = "gene_sym
     folder = folder.rstrip("/")
     if folder.endswith(".mtx") or folder.endswith(".mtx.gz"):
         folder = folder.rsplit("/", 1)[0]
-    feats = _numbered_lines(spark, f"{folder}/features.tsv*").select(
+    feats = _numbered_lines(spark, _first_existing(spark, f"{folder}/features.tsv", f"{folder}/features.tsv.gz")).select(
         (F.col("ln") + 1).alias("row"), F.split("line", "\t").alias("f"))
     feats = feats.select(
         "row", F.col("f")[0].alias("feature_id"),
@@ -162,43 +212,37 @@ def read_counts_mtx(spark: SparkSession, folder: str, var_names: str = "gene_sym
     genes = feats.select(F.col("row").alias("gene_id"), F.col(name).alias("gene_name"), "feature_id")
     if make_unique:
         genes = unique_gene_names(genes).select("gene_id", F.col("gene_unique").alias("gene_name"), "feature_id")
-    cells = _numbered_lines(spark, f"{folder}/barcodes.tsv*").select(
+    cells = _numbered_lines(spark, _first_existing(spark, f"{folder}/barcodes.tsv", f"{folder}/barcodes.tsv.gz")).select(
         (F.col("ln") + 1).alias("cell_id"), F.trim("line").alias("cell_name"))
-    # Comment lines start with '%'; the first other line holds the dimensions.
-    lines = _numbered_lines(spark, f"{folder}/matrix.mtx*").where(~F.col("line").startswith("%"))
-    first = lines.select(F.min("ln")).scalar()
+    # Comment lines start with '%'; the first other line holds the dimensions.  Only that line is looked for by its place.
+    lines = _placed_lines(spark, _first_existing(spark, f"{folder}/matrix.mtx", f"{folder}/matrix.mtx.gz"))
+    lines = lines.where(~F.col("line").startswith("%") & (F.trim("line") != ""))
+    place = F.struct("file", "start", "at")
+    fields = F.split(F.trim("line"), r"\s+")
     expr = (
-        lines.where(F.col("ln") > first)
-        .select(F.split(F.trim("line"), r"\s+").alias("f"))
-        .select(F.col("f")[1].cast("bigint").alias("cell_id"), F.col("f")[0].cast("bigint").alias("gene_id"),
-                F.col("f")[2].cast("double").alias("value"))
+        lines.where(place != lines.select(F.min(place)).scalar())
+        .select(fields[1].cast("bigint").alias("cell_id"), fields[0].cast("bigint").alias("gene_id"), _number(fields[2]).alias("value"))
         .where(F.col("value") != 0)
         .join(genes.select("gene_id"), "gene_id", "left_semi")
     )
     return CountMatrix(cells=cells, genes=genes, expr=expr)
 
 
+# --------------------------------------------------------------------------- choice of the reader
+
+def _read_oriented_csv(spark: SparkSession, path: str) -> CountMatrix:
+    return orient_matrix(read_counts_csv(spark, path))
+
+
 def load_counts(spark: SparkSession, path: str | None, fmt: str = "auto", sf_dir: str | None = None) -> CountMatrix:
-    """S4 + S6: pick the reader from the extension (explicit ``fmt`` wins); no path ->
-    the default dataset from the table folder."""
+    """S4 + S6: the reader that ``fmt`` names, or the one that goes with the suffix; without a path the default dataset."""
     if path is None:
         return default_dataset(spark, sf_dir)
-    if fmt == "auto":
-        if path.endswith(".bundle") or path.endswith(".parquet"):
-            fmt = "bundle"
-        elif path.endswith(".csv"):
-            fmt = "csv"
-        elif path.endswith(".mtx") or path.endswith(".mtx.gz"):
-            fmt = "mtx"
-        else:
-            raise ValueError(f"Cannot detect the format of '{path}'; supported: .bundle, .csv, .mtx, .mtx.gz")
-    if fmt == "bundle":
-        return read_bundle(spark, path)
-    if fmt == "csv":
-        return orient_matrix(read_counts_csv(spark, path))
-    if fmt == "mtx":
-        return read_counts_mtx(spark, path)
-    raise ValueError(f"Unsupported format: '{fmt}'")
+    names = [fmt] if fmt != "auto" else [name for suffix, name in SUFFIXES.items() if path.endswith(suffix)]
+    if not names or names[0] not in READERS:
+        raise ValueError(f"no matrix reader for {path!r} with format {fmt!r}: give a format out of {sorted(READERS)} "
+                         f"or a path that ends in one of {sorted(SUFFIXES)}")
+    return READERS[names[0]](spark, path)
 
 
 # --------------------------------------------------------------------------- bundle (S5), default
@@ -222,6 +266,10 @@ def read_bundle(spark: SparkSession, path: str) -> CountMatrix:
     )
 
 
+READERS = {"bundle": read_bundle, "csv": _read_oriented_csv, "mtx": read_counts_mtx}
+SUFFIXES = {".bundle": "bundle", ".parquet": "bundle", ".csv": "csv", ".mtx": "mtx", ".mtx.gz": "mtx"}
+
+
 def default_dataset(spark: SparkSession, sf_dir: str) -> CountMatrix:
     """The default matrix when no input is given: customers x part names."""
     from cellscape.sources.tables import customer_partname
