@@ -128,10 +128,10 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", doc_id: s
                                "base_failed", "classes", F.when(~F.col("base_failed"), F.col("words")).alias("words")), "zstd")
     passed = base.where("not base_failed")
     words = passed.select("_row", "lang", F.explode("words").alias("word"))
-    per_lang = scratch.put("words", words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
-    totals = per_lang.groupBy("lang").agg(F.sum("n").alias("total"))
+    per_lang = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    totals = passed.groupBy("lang").agg(F.sum("n_words").alias("total"))
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    common = (per_lang.withColumn("bin", F.row_number().over(first)).where(F.col("bin") <= rules.common)
+    common = (scratch.put("common", per_lang.withColumn("bin", F.row_number().over(first)).where(F.col("bin") <= rules.common))
               .join(totals, "lang").where(F.col("total") >= rules.min_reference)
               .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bin", "word", (F.col("n") / F.col("total")).alias("q")))).alias("c")))
     buckets = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.filter(
