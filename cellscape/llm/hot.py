@@ -21,6 +21,8 @@ def join_hot(many: DataFrame, one: DataFrame, key: str, scratch: Scratch, name:
     """
     counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where((F.col("_c") > rows / PARTS) & F.col(key).isNotNull())
     hot = scratch.put(f"{name}-hot", one.join(F.broadcast(counts.select(key)), key, "left_semi"))
+    if hot.isEmpty():
+        return many.join(one, key)
     keys = F.broadcast(hot.select(F.col(key).alias("_hot")))
     cold = many.join(keys, F.col(key) == F.col("_hot"), "left_anti").join(one, key)
     return many.join(F.broadcast(hot), key).unionByName(cold)

@@ -3,8 +3,8 @@
 The words form a trie whose unbranched paths are one edge each, so its depth is the number of branchings
 along a word and not the word's length.  A frontier state is (word, pos, node, edits): the first ``pos`` characters of
 ``word`` lead to ``node`` with so many edits.  Every level joins the frontier with the edges of its nodes.  A state without
-edits follows its own edge, and leaves it at the node where a neighbour's path parts from its own: by one replaced
-character, or by one character of the word skipped.  States with one edit only follow equal labels.  Those
+edits meets all edges of its node: it follows its own, and leaves it where a neighbour's path parts from its own, by one
+replaced character or by one character of the word skipped.  A state with one edit meets the one edge with its next character.  Those
 that end with their word at a word's node are neighbours.
 
 Each pair is found once: from the longer word, or from the one whose replaced character is smaller.  Nodes are
@@ -13,6 +13,8 @@ known by the hash of their prefix; a collision could only add false paths, and e
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,6 @@ from cellscape.session import Scratch
 NON_RUN = "[^A-Za-zÀ-ÿ]+"
 #: No character of a word: stands for the end of a word among the first characters of a node's edges.
 END = "."
-_EDGES = "array<struct<label:string,child:bigint,ends:string,after:string>>"
 
 
 def runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -68,51 +69,59 @@ def _edge_table(words: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.put("trie", full.groupBy("node").agg(F.collect_list("e").alias("edges")))
 
 
-def _next(word: Column, pos: Column, edits: Column, edge: Column) -> Column:
-    """The states behind one edge: (pos, node, edits, near), at most two; ``near`` is a neighbour that is reached."""
-    label, n = edge["label"], F.length(edge["label"])
-    left = F.length(word) - pos
-    first, own_first = F.substring(label, 1, 1), _cut(word, pos, F.lit(1))
-    same = _cut(word, pos, n) == label
-
-    def state(when: Column, to: Column, edits: int) -> Column:
-        going = F.when(to < F.length(word), _cut(word, to, F.lit(1))).otherwise(END)
-        none = F.lit(None).cast("string")
-        if edits:
-            near = F.when(to == F.length(word), edge["ends"]).otherwise(none)
-            alive = when & (to <= F.length(word)) & F.contains(edge["after"], going)
-        else:
-            # One character of the word is left where another word ends: skipping it is the one edit.
-            near = F.when(to == F.length(word) - 1, edge["ends"]).otherwise(none)
-            alive = when & (to < F.length(word))
-        return F.when(alive, F.struct(to.cast("int").alias("pos"), edge["child"].alias("node"), F.lit(edits).alias("edits"),
-                                      near.alias("near")))
-
-    replaced = (left > 0) & (first > own_first) & (_cut(word, pos + 1, n - 1) == F.substring(label, F.lit(2), n))
-    skipped = (left > 1) & (first != own_first) & (_cut(word, pos + 1, n) == label)
-    fresh = edits == 0
-    return F.array(state(fresh & same, pos + n, 0), state(~fresh & same, pos + n, 1),
-                   state(fresh & replaced, pos + n, 1), state(fresh & skipped, pos + n + 1, 1))
+def _going(word: Column, pos: Column) -> Column:
+    """The next character of the word, END at its end."""
+    return F.when(pos < F.length(word), F.substring(word, pos + 1, F.lit(1))).otherwise(END)
+
+
+def _states(word: Column, moves: list[tuple[Column, Column, Column]]) -> Column:
+    """Array of the states behind the edge (label, child, ends, after) of a row, one for each (condition, pos, edits)."""
+    nothing = F.lit(None).cast("string")
+    rows = []
+    for when, to, edits in moves:
+        left = F.length(word) - to
+        # Without an edit so far, one character of the word that is left where another word ends is skipped as the one edit.
+        near = F.when((left == 0) & (edits == 1) | (left == 1) & (edits == 0), F.col("ends")).otherwise(nothing)
+        alive = when & F.when(edits == 1, (left >= 0) & F.contains("after", _going(word, to))).otherwise(left > 0)
+        rows.append(F.struct(to.cast("int").alias("pos"), F.col("child").alias("node"), edits.alias("edits"), near.alias("near"),
+                             F.coalesce(alive, F.lit(False)).alias("alive")))
+    return F.array(*rows)
 
 
 def near_words(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, other): both directions of all pairs of ``words`` at one inserted, deleted or replaced character."""
     trie = _edge_table(words, scratch)
-    frontier = scratch.put("frontier-0", words.select("word", F.lit(0).alias("pos"), F.xxhash64(F.lit("")).alias("node"),
-                                                      F.lit(0).alias("edits"), F.lit(None).cast("string").alias("near")))
+    edge = trie.select("node", F.explode("edges").alias("e")).select("node", "e.*")
+    by_first = scratch.put("by-first", edge.select(F.xxhash64("node", F.substring("label", 1, 1)).alias("key"), "label", "child", "ends", "after"))
+    word, pos, n = F.col("word"), F.col("pos"), F.length("label")
+    same = F.substring(word, pos + 1, n) == F.col("label")
+    first, own = F.substring("label", 1, 1), F.substring(word, pos + 1, F.lit(1))
+    replaced = (first > own) & (F.substring(word, pos + 2, n - 1) == F.substring(F.col("label"), F.lit(2), n))
+    skipped = (first != own) & (F.substring(word, pos + 2, n) == F.col("label"))
+    follow = F.when(first == own, same).otherwise(replaced), pos + n, F.when(first == own, 0).otherwise(1)
+    step = scratch.put("frontier-0", words.select("word", F.lit(0).alias("pos"), F.xxhash64(F.lit("")).alias("node"), F.lit(0).alias("edits"),
+                                                  F.lit(None).cast("string").alias("near"), F.lit(None).cast("long").alias("key")))
     found, level = None, 0
     while True:
-        live = frontier.where("pos < length(word)")
-        rows = live.count()
-        if not rows:
+        live = step.where("pos < length(word)")
+        counts = live.groupBy("edits").count().collect()  # at most two rows
+        if not counts:
             break
+        rows = {r.edits: r["count"] for r in counts}
         level += 1
-        at = join_hot(live.drop("near"), trie, "node", scratch, f"level-{level}", rows)
-        states = F.flatten(F.transform("edges", lambda e: _next(F.col("word"), F.col("pos"), F.col("edits"), e)))
-        stepped = at.select("word", F.explode(F.filter(states, lambda s: s.isNotNull())).alias("s")).select("word", "s.*")
-        before, frontier = f"frontier-{level - 1}", scratch.put(f"frontier-{level}", stepped)
-        pairs = scratch.put(f"pairs-{level}", frontier.where("near is not null").select("word", F.col("near").alias("other")))
-        scratch.drop(before)
+        parts = []
+        if 0 in rows:  # every edge of the node
+            at = join_hot(live.where("edits = 0").select("word", "pos", "node"), trie, "node", scratch, f"fresh-{level}", rows[0])
+            at = at.select("word", "pos", F.explode("edges").alias("e")).select("word", "pos", "e.*")
+            parts.append(at.select("word", F.inline(_states(word, [follow, (skipped, pos + n + 1, F.lit(1))]))))
+        if 1 in rows:  # the one edge that goes on with the word's next character
+            at = join_hot(live.where("edits = 1").select("word", "pos", "key"), by_first, "key", scratch, f"edited-{level}", rows[1])
+            parts.append(at.select("word", F.inline(_states(word, [(same, pos + n, F.lit(1))]))))
+        moved = functools.reduce(DataFrame.unionByName, parts).where("alive").withColumn(
+            "key", F.when(F.col("edits") == 1, F.xxhash64("node", _going(word, pos)))).drop("alive")
+        step = scratch.put(f"frontier-{level}", moved)
+        pairs = scratch.put(f"pairs-{level}", step.where("near is not null").select("word", F.col("near").alias("other")))
+        scratch.drop(f"frontier-{level - 1}")
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         return words.select("word", F.col("word").alias("other")).limit(0)
