@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellscape.session import cut_lineage
+
 
 def sum_below_int_key(
     df: DataFrame, part: list[str], key: str, weight: str, out: str, width: int = 1 << 16
@@ -44,30 +46,30 @@ def row_number_by_unique_key(
     return ranked.withColumn(out, (F.col("_below") + F.lit(1)).cast("bigint")).drop("_one", "_below")
 
 
-def count_below_by_value(
-    dv: DataFrame, part: str, value: str, weight: str, out: str = "below", buckets: int = 64,
-    max_rows: int = 1 << 20,
-) -> DataFrame:
+def _value_buckets(dv: DataFrame, part: str, value: str, width: int) -> DataFrame:
+    """``dv`` with ``_b``: buckets of about ``width`` rows in order of ``value``, cut at approximate quantiles of each part.
+
+    The number of cuts follows from the largest part; the quantiles are partially aggregated, so no task sees a whole part.
+    ``dv`` is written first, as it is read several times.
+    """
+    dv = cut_lineage(dv)
+    most = dv.groupBy(part).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    buckets = -(-most // width)
+    if buckets <= 1:
+        return dv.withColumn("_b", F.lit(0))
+    fracs = [i / buckets for i in range(1, buckets)]
+    edges = dv.groupBy(part).agg(F.percentile_approx(value, F.array(*map(F.lit, fracs)), max(10000, 10 * buckets)).alias("_edges"))
+    return dv.join(edges, part).withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
+
+
+def count_below_by_value(dv: DataFrame, part: str, value: str, weight: str, out: str = "below", width: int = 1 << 16) -> DataFrame:
     """For each distinct (part, value) row, sum of ``weight`` over rows of the same
     ``part`` with a strictly smaller ``value`` (a double).
 
-    ``dv`` must hold one row per (part, value).  A part with at most ``max_rows``
-    rows is ordered in one task.  A larger ("hot") part is cut at equi-depth edges
-    from ``percentile_approx`` (partially aggregated, so computing them costs no
-    single task) into ``buckets`` pieces that are ordered separately; bucket totals
-    are stitched with a prefix sum over at most ``buckets`` rows per part.
+    ``dv`` must hold one row per (part, value).  Every part is cut into buckets of about ``width`` rows that are ordered
+    separately; bucket totals are stitched with a prefix sum over the part's buckets.
     """
-    fracs = [i / buckets for i in range(1, buckets)]
-    stats = dv.groupBy(part).agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.percentile_approx(value, F.array(*[F.lit(f) for f in fracs]), 10000).alias("_edges"),
-    ).select(part, F.when(F.col("_cnt") > max_rows, F.array_distinct("_edges")).alias("_edges"))
-    with_b = dv.join(stats, part).withColumn(
-        "_b",
-        F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(
-            F.size(F.filter("_edges", lambda e: e < F.col(value)))
-        ),
-    ).drop("_edges")
+    with_b = _value_buckets(dv, part, value, width)
     totals = with_b.groupBy(part, "_b").agg(F.sum(weight).alias("_tot"))
     w_b = Window.partitionBy(part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_b), F.lit(0))).drop("_tot")
@@ -78,3 +80,17 @@ def count_below_by_value(
         .withColumn(out, F.col("_off") + F.col("_local"))
         .drop("_b", "_local", "_off")
     )
+
+
+def min_from_value_up(dv: DataFrame, part: str, value: str, what: str, out: str, width: int = 1 << 16) -> DataFrame:
+    """For each distinct (part, value) row, the least ``what`` over rows of the same ``part`` with at least this ``value``:
+    a suffix minimum, bucketed like :func:`count_below_by_value`."""
+    with_b = _value_buckets(dv, part, value, width)
+    lows = with_b.groupBy(part, "_b").agg(F.min(what).alias("_low"))
+    w_b = Window.partitionBy(part).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    behind = lows.withColumn("_behind", F.min("_low").over(w_b)).drop("_low")
+    w_in = Window.partitionBy(part, "_b").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        with_b.withColumn("_local", F.min(what).over(w_in)).join(behind, [part, "_b"])
+        .withColumn(out, F.least("_local", "_behind")).drop("_b", "_local", "_behind")
+    )

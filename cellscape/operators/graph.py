@@ -17,9 +17,9 @@ iterative jobs write their small per-node state to the checkpoint folder every r
 from __future__ import annotations
 
 import math
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.session import Scratch, cut_lineage
@@ -30,72 +30,50 @@ EPSILON = 1e-12
 
 # --------------------------------------------------------------------------- D5
 
-def _smooth_knn(dist: np.ndarray, k: int, n_iter: int = 64, tol: float = 1e-5, min_scale: float = 1e-3,
-                mean_all: float = 1.0):
-    """Vectorised sigma/rho search; ``dist`` holds the k distances per row, self first."""
-    target = math.log2(k)
-    others = dist[:, 1:]
-    nz = np.where(dist > 0, dist, np.inf)
-    rho = nz.min(1)
-    rho[~np.isfinite(rho)] = 0.0
-    lo = np.zeros(len(dist))
-    hi = np.full(len(dist), np.inf)
-    mid = np.ones(len(dist))
-    active = np.ones(len(dist), dtype=bool)
-    for _ in range(n_iter):
-        d = others - rho[:, None]
-        with np.errstate(over="ignore"):
-            psum = np.where(d > 0, np.exp(-d / mid[:, None]), 1.0).sum(1)
-        done = np.abs(psum - target) < tol
-        active &= ~done
-        if not active.any():
-            break
-        up = active & (psum > target)
-        down = active & ~(psum > target)
-        hi = np.where(up, mid, hi)
-        mid = np.where(up, (lo + hi) / 2, mid)
-        lo = np.where(down, mid, lo)
-        mid = np.where(down, np.where(np.isinf(hi), mid * 2, (lo + hi) / 2), mid)
-    mean_i = dist.mean(1)
-    floor = np.where(rho > 0, min_scale * mean_i, min_scale * mean_all)
-    sigma = np.maximum(mid, floor)
-    return rho, sigma
-
-
-def fuzzy_graph(knn: DataFrame, k: int) -> DataFrame:
+#: Halvings of a bisection: enough for all digits of a double.
+STEPS = 64
+
+
+def _bisected(too_high: Callable[[Column], Column]) -> Column:
+    """The positive number at which ``too_high`` turns from false to true: doubled from 1 until it is, then halved between
+    the bounds, ``STEPS`` steps in all."""
+    start = F.struct(F.lit(0.0).alias("lo"), F.lit(None).cast("double").alias("hi"), F.lit(1.0).alias("mid"))
+
+    def step(state: Column, _: Column) -> Column:
+        lo, hi, mid = state["lo"], state["hi"], state["mid"]
+        high = too_high(mid)
+        return F.struct(F.when(high, lo).otherwise(mid).alias("lo"), F.when(high, mid).otherwise(hi).alias("hi"),
+                        F.when(high, (lo + mid) / 2).when(hi.isNull(), mid * 2).otherwise((mid + hi) / 2).alias("mid"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, step, lambda state: state["mid"])
+
+
+def _total(values: Column, term: Callable[[Column], Column]) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + term(x))
+
+
+def fuzzy_graph(knn: DataFrame, k: int, min_scale: float = 1e-3) -> DataFrame:
     """Connectivities (src, dst, w) from ``knn(src, dst, rank, dist)`` (self at rank 1).
 
-    Neighbour lists are bounded by k per cell; the bisection runs vectorised over a
-    batch of cells inside one pandas function; symmetrisation is a full outer join.
+    rho is the nearest distance above zero; sigma makes the weights exp(-(d - rho) / sigma) of the others sum to log2 of the
+    list's length (bisection as a column expression over the list, which holds at most k neighbours), and is at least
+    ``min_scale`` x the mean distance.  Symmetrisation is a full outer join.
     """
-    mean_all = knn.select(F.avg("dist")).first()[0] or 1.0
-    lists = knn.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("rank", "dst", "dist"))).alias("nb"))
-
-    def smooth(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            nb = pdf["nb"].to_numpy()
-            full = [len(x) == k for x in nb]
-            out = []
-            idx = [i for i, f in enumerate(full) if f]
-            if idx:
-                D = np.array([[r["dist"] for r in nb[i]] for i in idx])
-                rho, sigma = _smooth_knn(D, k, mean_all=mean_all)
-                for row, i in enumerate(idx):
-                    out.append((pdf["src"].iloc[i], float(rho[row]), float(sigma[row])))
-            for i, f in enumerate(full):
-                if not f:  # fewer than k neighbours (tiny inputs): same rule on what exists
-                    D = np.array([[r["dist"] for r in nb[i]]])
-                    rho, sigma = _smooth_knn(D, D.shape[1], mean_all=mean_all)
-                    out.append((pdf["src"].iloc[i], float(rho[0]), float(sigma[0])))
-            yield pd.DataFrame(out, columns=["src", "rho", "sigma"])
-
-    rs = lists.mapInPandas(smooth, "src long, rho double, sigma double")
-    a = knn.join(rs, "src").where(F.col("src") != F.col("dst")).select(
-        "src", "dst",
-        F.when((F.col("dist") - F.col("rho") <= 0) | (F.col("sigma") == 0), F.lit(1.0))
-        .otherwise(F.exp(-(F.col("dist") - F.col("rho")) / F.col("sigma"))).alias("a"))
+    mean_all = knn.select(F.avg("dist")).scalar()
+    lists = cut_lineage(knn.where(F.col("rank") <= k).groupBy("src").agg(F.array_sort(F.collect_list(F.struct("rank", "dst", "dist"))).alias("nb")))
+    lists = lists.withColumn("d", F.transform("nb", lambda x: x["dist"]))
+    lists = lists.withColumn("rho", F.coalesce(F.array_min(F.filter("d", lambda x: x > 0)), F.lit(0.0)))
+    lists = lists.withColumn("target", F.log2(F.size("d").cast("double"))).withColumn("others", F.slice("d", F.lit(2), F.size("d")))
+
+    def too_high(sigma: Column) -> Column:
+        return _total(F.col("others"), lambda x: F.when(x > F.col("rho"), F.exp((F.col("rho") - x) / sigma)).otherwise(1.0)) > F.col("target")
+
+    mean = F.when(F.col("rho") > 0, _total(F.col("d"), lambda x: x) / F.size("d")).otherwise(F.coalesce(mean_all, F.lit(1.0)))
+    scaled = lists.withColumn("sigma", F.greatest(_bisected(too_high), F.lit(min_scale) * mean))
+    a = scaled.select("src", "rho", "sigma", F.inline("nb")).where(F.col("src") != F.col("dst")).select(
+        "src", "dst", F.when((F.col("dist") <= F.col("rho")) | (F.col("sigma") == 0), F.lit(1.0))
+        .otherwise(F.exp((F.col("rho") - F.col("dist")) / F.col("sigma"))).alias("a"))
+    a = cut_lineage(a)
     b = a.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("a").alias("b"))
     j = a.join(b, ["src", "dst"], "full_outer").fillna({"a": 0.0, "b": 0.0})
     return j.select("src", "dst", (F.col("a") + F.col("b") - F.col("a") * F.col("b")).alias("w")).where("w > 0")
@@ -316,62 +294,30 @@ def cluster_stability(assignments: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- D7
 
-def _perplexity_rows(d2: np.ndarray, perplexity: float, n_steps: int = 100, tol: float = 1e-5) -> np.ndarray:
-    """Conditional probabilities p_{j|i} from squared distances (row-wise bisection on beta
-    so that the entropy equals log(perplexity)); vectorised over rows."""
-    target = math.log(perplexity)
-    beta = np.ones(len(d2))
-    lo = np.full(len(d2), -np.inf)
-    hi = np.full(len(d2), np.inf)
-    active = np.ones(len(d2), dtype=bool)
-    P = np.zeros_like(d2)
-    for _ in range(n_steps):
-        P = np.exp(-d2 * beta[:, None])
-        s = P.sum(1)
-        s = np.where(s == 0, 1e-8, s)
-        P = P / s[:, None]
-        H = np.log(s) + beta * (d2 * P).sum(1)
-        diff = H - target
-        active &= np.abs(diff) > tol
-        if not active.any():
-            break
-        up = active & (diff > 0)
-        dn = active & (diff <= 0)
-        lo = np.where(up, beta, lo)
-        beta = np.where(up, np.where(np.isinf(hi), beta * 2, (beta + hi) / 2), beta)
-        hi = np.where(dn, beta, hi)
-        beta = np.where(dn, np.where(np.isinf(lo), beta / 2, (beta + lo) / 2), beta)
-    return P
-
-
 def tsne_affinities(knn: DataFrame, perplexity: float = 30.0) -> DataFrame:
     """Symmetric t-SNE input probabilities from a kNN table built with about
     3 x perplexity neighbours (self excluded): p = (p_{j|i} + p_{i|j}) / sum over all.
-    Per-cell lists are bounded by the neighbour count; the normaliser is one global sum."""
-    lists = knn.where(F.col("src") != F.col("dst")).groupBy("src").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "dst", "dist"))).alias("nb"))
-
-    def cond(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            out_s, out_d, out_p = [], [], []
-            by_len = {}
-            for i, nb in enumerate(pdf["nb"].to_numpy()):
-                by_len.setdefault(len(nb), []).append(i)
-            for ln, idx in by_len.items():
-                D2 = np.array([[r["dist"] ** 2 for r in pdf["nb"].iloc[i]] for i in idx])
-                P = _perplexity_rows(D2, perplexity)
-                for row, i in enumerate(idx):
-                    nb = pdf["nb"].iloc[i]
-                    out_s.extend([pdf["src"].iloc[i]] * ln)
-                    out_d.extend([r["dst"] for r in nb])
-                    out_p.extend(P[row].tolist())
-            yield pd.DataFrame({"src": out_s, "dst": out_d, "p": out_p})
-
-    c = lists.mapInPandas(cond, "src long, dst long, p double")
+
+    p_{j|i} falls as exp(-beta d^2) with the beta at which the entropy is log(perplexity) (bisection as a column expression over
+    the list, which is bounded by the neighbour count); the normaliser is one global sum.
+    """
+    lists = cut_lineage(knn.where(F.col("src") != F.col("dst")).groupBy("src").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "dst", "dist"))).alias("nb")))
+    lists = lists.withColumn("d2", F.transform("nb", lambda x: x["dist"] * x["dist"]))
+    # Distances are taken from the nearest one, which changes no probability and keeps exp from vanishing.
+    lists = lists.withColumn("near", F.array_min("d2")).withColumn("d2", F.transform("d2", lambda x: x - F.col("near")))
+
+    def too_high(beta: Column) -> Column:
+        sums = F.aggregate("d2", F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("t")), lambda acc, x: F.struct(
+            (acc["s"] + F.exp(-beta * x)).alias("s"), (acc["t"] + x * F.exp(-beta * x)).alias("t")),
+            lambda acc: F.log(acc["s"]) + beta * acc["t"] / acc["s"])
+        return sums < F.lit(math.log(perplexity))
+
+    c = (lists.withColumn("beta", _bisected(too_high)).withColumn("s", _total(F.col("d2"), lambda x: F.exp(-F.col("beta") * x)))
+         .select("src", "near", "beta", "s", F.inline("nb")).select(
+             "src", "dst", (F.exp(F.col("beta") * (F.col("near") - F.col("dist") * F.col("dist"))) / F.col("s")).alias("p")))
+    c = cut_lineage(c)
     r = c.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("p").alias("q"))
-    j = c.join(r, ["src", "dst"], "full_outer").fillna({"p": 0.0, "q": 0.0}).select(
-        "src", "dst", (F.col("p") + F.col("q")).alias("p"))
-    total = j.select(F.sum("p")).scalar()
-    return j.select("src", "dst", (F.col("p") / F.greatest(total, F.lit(np.finfo(np.double).eps))).alias("p"))
+    j = cut_lineage(c.join(r, ["src", "dst"], "full_outer").fillna({"p": 0.0, "q": 0.0}).select(
+        "src", "dst", (F.col("p") + F.col("q")).alias("p")))
+    return j.select("src", "dst", (F.col("p") / j.select(F.sum("p")).scalar()).alias("p"))

@@ -836,9 +836,37 @@ def f3_fuzzy(spark, sf_dir):
     return GR.fuzzy_graph(f3_knn(spark, sf_dir), N_NEIGHBORS)
 
 
-@register("fuzzy_graph")
+def _knn_sql(k: int) -> str:
+    """knn(src, dst, rank, dist) of the vectors on all coordinates."""
+    return f"""f3 AS (SELECT vec_id AS cell_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pd AS (SELECT a.cell_id AS src, b.cell_id AS dst, round(list_distance(a.v, b.v) * 1e9) / 1e9 AS dist FROM f3 a JOIN f3 b ON true),
+knn AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pd) WHERE rank <= {k})"""
+
+
+def _bisection_sql(high: str) -> str:
+    """r(src, i, lo, hi, mid): the steps of the bisection over the lists of b; ``high`` tells whether mid is too high."""
+    return f"""r AS (SELECT src, 0 AS i, 0.0::DOUBLE AS lo, NULL::DOUBLE AS hi, 1.0::DOUBLE AS mid FROM b
+UNION ALL SELECT src, i + 1, CASE WHEN high THEN lo ELSE mid END, CASE WHEN high THEN mid ELSE hi END,
+                 CASE WHEN high THEN (lo + mid) / 2 WHEN hi IS NULL THEN mid * 2 ELSE (mid + hi) / 2 END
+          FROM (SELECT r.*, {high} AS high FROM r JOIN b USING (src) WHERE i < {GR.STEPS}))"""
+
+
+@register("fuzzy_graph", f"""
+WITH RECURSIVE {_knn_sql(N_NEIGHBORS)},
+b AS (SELECT src, list(dist ORDER BY rank) AS d, list(dist ORDER BY rank) FILTER (WHERE rank > 1) AS o,
+             coalesce(min(dist) FILTER (WHERE dist > 0), 0) AS rho, log2(count(*)) AS target FROM knn GROUP BY src),
+{_bisection_sql("list_sum(list_transform(o, lambda x: CASE WHEN x > rho THEN exp((rho - x) / mid) ELSE 1 END)) > target")},
+s AS (SELECT b.src, rho, greatest(mid, 1e-3 * CASE WHEN rho > 0 THEN list_avg(d) ELSE (SELECT avg(dist) FROM knn) END) AS sigma
+      FROM r JOIN b ON b.src = r.src AND r.i = {GR.STEPS}),
+a AS (SELECT src, dst, CASE WHEN dist <= rho OR sigma = 0 THEN 1 ELSE exp((rho - dist) / sigma) END AS a FROM knn JOIN s USING (src) WHERE src <> dst)
+SELECT coalesce(x.src, y.dst) AS src, coalesce(x.dst, y.src) AS dst,
+       {S.R('coalesce(x.a, 0) + coalesce(y.a, 0) - coalesce(x.a, 0) * coalesce(y.a, 0)')} AS w
+FROM a x FULL JOIN a y ON x.src = y.dst AND x.dst = y.src
+""")
 def q_fuzzy_graph(spark, sf_dir):
-    return f3_fuzzy(spark, sf_dir).select("src", "dst", r6("w").alias("w"))
+    """D5 on the 15 nearest vectors by all coordinates; the flows use the principal components."""
+    knn = cut_lineage(NB.knn_exact(f3_vectors(spark, sf_dir), N_NEIGHBORS))
+    return GR.fuzzy_graph(knn, N_NEIGHBORS).select("src", "dst", r6("w").alias("w"))
 
 
 @register("graph_modularity", f"""
@@ -1161,12 +1189,22 @@ def q_regress_out(spark, sf_dir):
     return out.select("cell_id", "gene_id", r6("value").alias("value"))
 
 
-@register("tsne_affinities")
+@register("tsne_affinities", f"""
+WITH RECURSIVE {_knn_sql(91)},
+e AS (SELECT src, dst, dist * dist - min(dist * dist) OVER (PARTITION BY src) AS d2 FROM knn WHERE src <> dst),
+b AS (SELECT src, list(d2) AS d2 FROM e GROUP BY src),
+{_bisection_sql("ln(list_sum(list_transform(d2, lambda x: exp(-mid * x)))) + mid * list_sum(list_transform(d2, lambda x: x * exp(-mid * x)))"
+                " / list_sum(list_transform(d2, lambda x: exp(-mid * x))) < ln(30)")},
+c AS (SELECT src, dst, exp(-mid * e.d2) / sum(exp(-mid * e.d2)) OVER (PARTITION BY src) AS p
+      FROM e JOIN (SELECT src, mid FROM r WHERE i = {GR.STEPS}) USING (src)),
+j AS (SELECT coalesce(x.src, y.dst) AS src, coalesce(x.dst, y.src) AS dst, coalesce(x.p, 0) + coalesce(y.p, 0) AS p
+      FROM c x FULL JOIN c y ON x.src = y.dst AND x.dst = y.src)
+SELECT src, dst, {S.R('1e6 * p / (SELECT sum(p) FROM j)')} AS p_ppm FROM j
+""")
 def q_tsne_affinities(spark, sf_dir):
-    """Perplexity 30 on the first 30 components, 91 nearest cells (self + 3 x 30)."""
-    v = f3_pcs(spark, sf_dir)
-    knn = NB.knn_exact(v, 91)
-    return GR.tsne_affinities(knn, 30.0).select("src", "dst", r6("p").alias("p"))
+    """Perplexity 30 on the 91 nearest vectors (self + 3 x 30) by all coordinates; the flows use the components."""
+    knn = cut_lineage(NB.knn_exact(f3_vectors(spark, sf_dir), 91))
+    return GR.tsne_affinities(knn, 30.0).select("src", "dst", r6(F.col("p") * 1e6).alias("p_ppm"))
 
 
 @register("knn_approx")

@@ -47,7 +47,7 @@ def test_row_number_by_unique_key(spark):
 def test_count_below_hot_and_plain_paths_agree(spark):
     rows = [(1, float(v), 1 + v % 3) for v in range(300)] + [(2, float(v) / 10, 2) for v in range(40)]
     dv = spark.createDataFrame(rows, "g long, value double, n long")
-    hot = count_below_by_value(dv, "g", "value", "n", buckets=8, max_rows=10)
+    hot = count_below_by_value(dv, "g", "value", "n", width=10)
     plain = count_below_by_value(dv, "g", "value", "n")
     w = Window.partitionBy("g").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     exp = dv.withColumn("e", F.coalesce(F.sum("n").over(w), F.lit(0)))
