@@ -41,7 +41,7 @@ def _cut(text: Column, start: Column, length: Column) -> Column:
 
 def _edge_table(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, edges): for every branching node and the root its edges; ``ends`` is the word that ends at the child,
-    ``after`` the first characters that go on from it (END where a word ends)."""
+    ``after`` the pairs of characters that go on from it (END where a word ends), each behind a bar."""
     length = F.length("word")
     prefixes = scratch.put("prefixes", words.select("word", F.explode(F.transform(F.sequence(F.lit(0), length), lambda d: F.struct(
         d.alias("depth"), F.xxhash64(F.substring(F.col("word"), F.lit(1), d)).alias("node"),
@@ -61,17 +61,22 @@ def _edge_table(words: DataFrame, scratch: Scratch) -> DataFrame:
         F.get("steps", i)["node"].alias("child"), F.when(F.get("steps", i)["depth"] == length, F.col("word")).alias("ends")))
     edges = paths.select(F.explode(edge).alias("e")).select("e.*").groupBy("node", "label", "child").agg(F.max("ends").alias("ends"))
     edges = scratch.put("edges", edges)
-    after = edges.groupBy(F.col("node").alias("child")).agg(
-        F.array_join(F.collect_set(F.substring("label", 1, 1)), "").alias("after"))
-    full = edges.join(after, "child", "left").select(
-        "node", F.struct("label", "child", "ends", F.concat(F.coalesce("after", F.lit("")), F.when(F.col("ends").isNull(), "")
-                                                           .otherwise(END)).alias("after")).alias("e"))
+    first = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set(F.substring("label", 1, 1)), "").alias("first"))
+    ended = F.when(F.col("ends").isNull(), "").otherwise(END)
+    edges = edges.join(first, "child", "left").withColumn("first", F.concat(F.coalesce("first", F.lit("")), ended))
+    # What a node goes on with: the first two characters of its edges and of those behind short ones.
+    chars = F.filter(F.split("first", ""), lambda c: c != "")
+    pairs = F.when(F.length("label") > 1, F.array(F.substring("label", 1, 2))).otherwise(F.transform(chars, lambda c: F.concat("label", c)))
+    after = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.flatten(F.collect_list(pairs)), "|").alias("after"))
+    full = edges.join(after, "child", "left").select("node", F.struct(
+        "label", "child", "ends", F.concat(F.lit("|"), F.coalesce("after", F.lit("")), F.lit("|"), ended).alias("after")).alias("e"))
     return scratch.put("trie", full.groupBy("node").agg(F.collect_list("e").alias("edges")))
 
 
 def _going(word: Column, pos: Column) -> Column:
-    """The next character of the word, END at its end."""
-    return F.when(pos < F.length(word), F.substring(word, pos + 1, F.lit(1))).otherwise(END)
+    """What the rest of the word must find in ``after``: its next two characters, END at its end."""
+    more = F.when(pos + 2 > F.length(word), END).otherwise("")
+    return F.concat(F.lit("|"), F.substring(word, pos + 1, F.lit(2)), more)
 
 
 def _states(word: Column, moves: list[tuple[Column, Column, Column]]) -> Column:
@@ -118,7 +123,7 @@ def near_words(words: DataFrame, scratch: Scratch) -> DataFrame:
             at = join_hot(live.where("edits = 1").select("word", "pos", "key"), by_first, "key", scratch, f"edited-{level}", rows[1])
             parts.append(at.select("word", F.inline(_states(word, [(same, pos + n, F.lit(1))]))))
         moved = functools.reduce(DataFrame.unionByName, parts).where("alive").withColumn(
-            "key", F.when(F.col("edits") == 1, F.xxhash64("node", _going(word, pos)))).drop("alive")
+            "key", F.when(F.col("edits") == 1, F.xxhash64("node", F.substring(word, pos + 1, F.lit(1))))).drop("alive")
         step = scratch.put(f"frontier-{level}", moved)
         pairs = scratch.put(f"pairs-{level}", step.where("near is not null").select("word", F.col("near").alias("other")))
         scratch.drop(f"frontier-{level - 1}")
