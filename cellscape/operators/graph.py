@@ -284,11 +284,10 @@ def community_sweep(edges: DataFrame, resolutions: list[float], refine: bool = F
 def cluster_stability(assignments: DataFrame) -> DataFrame:
     """Cluster count against resolution for graph methods; the resolution is parsed
     back from the key (text after 'res'); keys that do not parse are skipped."""
-    from cellscape.operators.labels import cluster_counts
+    from cellscape.operators.labels import cluster_counts, parsed_parameter
 
     c = cluster_counts(assignments).join(assignments.select("cluster_key", "method").distinct(), "cluster_key")
-    r = F.split_part(F.col("cluster_key"), F.lit("res"), F.lit(2)).try_cast("double")
-    return c.withColumn("resolution", r).where(F.col("resolution").isNotNull()).select(
+    return c.withColumn("resolution", parsed_parameter(F.col("cluster_key"))).where(F.col("resolution").isNotNull()).select(
         "method", "resolution", "n_clusters")
 
 

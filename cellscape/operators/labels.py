@@ -6,7 +6,7 @@ per-configuration statistic is one grouped job over all configurations at once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -89,3 +89,31 @@ def cluster_purity(confusion: DataFrame) -> DataFrame:
     return confusion.join(totals, "truth").select(
         "truth", "pred", "n", (F.col("n") / F.greatest(F.col("_tot"), F.lit(1))).alias("fraction")
     )
+
+
+#: The cell columns that may hold a true label, in order of preference.
+TRUTH_COLUMNS = ["cell_type", "celltype", "label", "labels", "ground_truth"]
+
+
+def config_key(method: str, kind: str, parameter: Column) -> Column:
+    """P10: the name of a configuration: method, ``res`` or ``k``, and the parameter's value."""
+    return F.concat(F.lit(f"{method}_{kind}"), parameter.cast("string"))
+
+
+def parsed_parameter(key: Column, kind: str = "res") -> Column:
+    """P10: the parameter behind the first ``kind`` of a configuration's name as a double, null if it is none."""
+    return F.split_part(key, F.lit(kind), F.lit(2)).try_cast("double")
+
+
+def truth_labels(cells: DataFrame) -> DataFrame | None:
+    """(truth_column, cell_id, truth) from the first of TRUTH_COLUMNS that the cells have, None without any."""
+    column = next((c for c in TRUTH_COLUMNS if c in cells.columns), None)
+    if column is None:
+        return None
+    return cells.select(F.lit(column).alias("truth_column"), "cell_id", F.col(column).cast("string").alias("truth"))
+
+
+def method_counts(assignments: DataFrame) -> DataFrame:
+    """Configurations per method, and over all methods under the name ``total``."""
+    per = assignments.groupBy("method").agg(F.countDistinct("cluster_key").alias("n_configurations"))
+    return per.unionByName(per.select(F.lit("total").alias("method"), F.coalesce(F.sum("n_configurations"), F.lit(0)).alias("n_configurations")))

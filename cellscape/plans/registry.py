@@ -1304,3 +1304,38 @@ def q_umap_layout(spark, sf_dir):
     v = cut_lineage(f3_pcs(spark, sf_dir))
     graph = GR.fuzzy_graph(cut_lineage(NB.knn_exact(v, N_NEIGHBORS)), N_NEIGHBORS)
     return LY.umap_layout(cut_lineage(graph), v).positions.withColumns({c: r6(c) for c in "xy"})
+
+
+@register("config_key", f"""
+WITH {S.F3},
+k AS (SELECT DISTINCT cell_id, 'leiden' AS method, 'leiden_res' || CAST(r AS VARCHAR) AS cluster_key, CAST(label % CAST(round(r * 10) AS INTEGER) AS INTEGER) AS cluster
+      FROM f3, (VALUES (0.3::DOUBLE), (0.5::DOUBLE), (0.8::DOUBLE)) v(r)
+      UNION ALL SELECT cell_id, 'kmeans', 'kmeans_k4', CAST(cell_id % 4 AS INTEGER) FROM f3)
+SELECT method, TRY_CAST(split_part(cluster_key, 'res', 2) AS DOUBLE) AS resolution, count(DISTINCT cluster) AS n_clusters
+FROM k WHERE TRY_CAST(split_part(cluster_key, 'res', 2) AS DOUBLE) IS NOT NULL GROUP BY method, cluster_key
+""")
+def q_config_key(spark, sf_dir):
+    """P10 + C7 on labellings of the vectors: names from parameters, parsed back; the k-means name has none and is left out."""
+    v = f3_vectors(spark, sf_dir)
+    keyed = [v.select("cell_id", F.lit("leiden").alias("method"), LB.config_key("leiden", "res", F.lit(r)).alias("cluster_key"),
+                      (F.col("label") % F.lit(round(r * 10))).cast("int").alias("cluster")) for r in (0.3, 0.5, 0.8)]
+    keyed.append(v.select("cell_id", F.lit("kmeans").alias("method"), LB.config_key("kmeans", "k", F.lit(4)).alias("cluster_key"),
+                          (F.col("cell_id") % 4).cast("int").alias("cluster")))
+    return GR.cluster_stability(functools.reduce(DataFrame.unionByName, keyed)).select("method", "resolution", "n_clusters")
+
+
+@register("truth_labels", """
+SELECT 'label' AS truth_column, vec_id AS cell_id, CAST(label AS VARCHAR) AS truth FROM embeddings
+""")
+def q_truth_labels(spark, sf_dir):
+    """The true labels of the vectors, found by the name of their column."""
+    return LB.truth_labels(f3_vectors(spark, sf_dir))
+
+
+@register("method_counts", f"""
+WITH {S.F3}, c AS (SELECT method, count(DISTINCT cluster_key) AS n_configurations FROM f3_asg GROUP BY method)
+SELECT method, n_configurations FROM c UNION ALL SELECT 'total', CAST(sum(n_configurations) AS BIGINT) FROM c
+""")
+def q_method_counts(spark, sf_dir):
+    """A7 on the labellings of the vectors."""
+    return LB.method_counts(f3_assignments(spark, sf_dir))
