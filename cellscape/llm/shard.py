@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellscape.llm.hot import join_hot
 from cellscape.session import Scratch
 
 #: An order key has 20 bits of the dimension, 20 of a text hash and 22 of a row hash: equal
@@ -27,33 +28,49 @@ ROUNDS = (47, 34, 22, 11, 0)
 NEAR, NEAR_GROUP = 0.002, 0.01
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """A coordinate that keeps the order: numbers as they are, strings by their first six bytes."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        value = F.col(name).cast("double")
-    else:
-        head = F.hex(F.substring(F.encode(F.col(name).cast("string"), "utf-8"), 1, 6))
-        value = F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
+def _ranks(values: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(value, rank) of distinct values in their order: sorted by ranges, numbered in each range, offset by the ranges before."""
+    placed = scratch.put(f"{name}-sorted", values.repartitionByRange("value").sortWithinPartitions("value").select(
+        "value", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("at")))
+    ranges = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return scratch.put(name, placed.join(ranges.select("range", (before - F.col("first")).alias("offset")), "range").select(
+        "value", (F.col("offset") + F.col("at")).cast("double").alias("rank")))
 
 
-def _metadata(docs: DataFrame, dims: list[str], text: str, doc_id: str) -> DataFrame:
+def _metadata(docs: DataFrame, dims: list[str], text: str, doc_id: str, scratch: Scratch) -> DataFrame:
+    """(rid, doc_id, size, text_crc32, low, x0, x1, ...): a row's coordinates are those of its group of equal texts, that is of
+    the group's smallest id; numbers count as they are and strings by the rank of their value among all."""
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
     mask = lambda h, bits: h.bitwiseAND(F.lit((1 << bits) - 1))
     text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     low = F.shiftleft(mask(text_hash, TEXT_BITS), ROW_BITS).bitwiseOR(
         mask(F.xxhash64(F.lit(1), F.col(doc_id)), ROW_BITS))
-    return docs.select(
+    named = [F.col(d).alias(f"d{i}") for i, d in enumerate(dims, 1)]
+    base = scratch.put("base", docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), size.alias("size"),
         F.crc32(F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8")).alias("text_crc32"), low.alias("low"),
-        F.log2(size).alias("x0"), *(_number(docs, d).alias(f"x{i}") for i, d in enumerate(dims, 1)))
+        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("same"), F.log2(size).alias("x0"), *named))
+    number = base.count()
+    own = base.drop(*(f"d{i}" for i in range(1, len(dims) + 1)))
+    # The id is the last dimension; the smallest one leads the struct.
+    order = [f"d{i}" for i in (len(dims), *range(1, len(dims)))]
+    first = base.groupBy("same").agg(F.min(F.struct(*order)).alias("d")).select("same", "d.*")
+    rows = join_hot(own, scratch.put("first", first), "same", scratch, "grouped", number).drop("same")
+    for i, d in enumerate(dims, 1):
+        if isinstance(docs.schema[d].dataType, T.NumericType):
+            value = F.coalesce(F.nanvl(F.col(f"d{i}").cast("double"), F.lit(0.0)), F.lit(0.0))
+            rows = rows.withColumn(f"x{i}", value).drop(f"d{i}")
+            continue
+        rows = scratch.put(f"rows-{i}", rows.withColumn("value", F.coalesce(F.col(f"d{i}").cast("string"), F.lit(""))).drop(f"d{i}"))
+        ranks = _ranks(rows.select("value").distinct(), scratch, f"ranks-{i}").withColumnRenamed("rank", f"x{i}")
+        rows = join_hot(rows, ranks, "value", scratch, f"ranked-{i}", number).drop("value")
+    return rows
 
 
 def _rows(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A small table of whole numbers (one row per node) as a literal."""
-    structs = [F.struct(*(F.lit(v).cast("long").alias(n) for n, v in zip(names, r, strict=True))) for r in rows]
-    return df.sparkSession.range(1).select(F.inline(F.array(*structs)))
+    """A small table of whole numbers (one row per node) from the driver's list."""
+    return df.sparkSession.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
 
 
 def _key(dims: int) -> Column:
@@ -109,15 +126,16 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     ``size`` is the text's UTF-8 bytes plus one (null: none plus one).  The number of leaves
     is ``shards``, or what makes them ``target_bytes`` large.  Dimensions: the logarithm of
     the size, the columns ``dims`` and the id, each scaled to the table's range; a null or
-    NaN coordinate is zero.  Shards have nearly equal bytes (within about one per cent, or
-    one document where documents are larger); slots run from 0 without gaps.  Equal texts of
-    equal metadata lie together unless that would unbalance the shards.  Ties of all
-    coordinates, such as repeated rows, stay together.  An empty table gives an empty result;
+    NaN number is zero, a null string the empty one, and strings count by their rank.  A group of
+    equal texts has the coordinates of its smallest id, so it lies in one shard unless keeping it whole would
+    unbalance the shards (``NEAR_GROUP``); then it fills neighbouring ones.  Shards have nearly equal bytes (within about one
+    per cent, or one document where documents are larger, however long they are); slots run from 0 without gaps.
+    Null ids rank below all others; repeated rows stay with their group.  An empty table gives an empty result;
     other columns of ``docs`` are not read.
     """
     dims = [*(dims or []), doc_id]
     scratch = Scratch(docs.sparkSession)
-    raw = scratch.put("metadata", _metadata(docs, dims, text, doc_id))
+    raw = scratch.put("metadata", _metadata(docs, dims, text, doc_id, scratch))
     count = len(dims) + 1
     span = raw.agg(F.sum("size").alias("total"), *(f(f"x{i}").alias(f"{n}{i}") for i in range(count)
                                                    for n, f in (("lo", F.min), ("hi", F.max)))).first()
