@@ -8,6 +8,10 @@ which by definition produces dense values and does so as one vector per cell.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -223,34 +227,37 @@ def gene_mean_sd(m: CountMatrix) -> DataFrame:
     return s.select("gene_id", "mean", F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias("sd"))
 
 
-def scale_clip(m: CountMatrix, max_value: float | None = 10.0, clip_low: bool = True) -> DataFrame:
+def scale_clip(m: CountMatrix, max_value: float | None = 10.0, clip_low: bool = True, rows: int = 1000) -> DataFrame:
     """T5: per gene (x - mean) / sd, clipped at +-``max_value``, as one dense vector per cell.
 
     Returns ``(cell_id, v ARRAY<DOUBLE>)``; position i of ``v`` is the i-th gene in
-    ascending ``gene_id`` order (see :func:`gene_order`).  The (mean, sd) table is
-    bounded by the number of genes kept (the HVG set) and travels as one
-    scalar-subquery array; each cell gathers only its own entries (at most one per gene).
-    ``clip_low=False`` clips the upper side only, as older library versions did.
+    ascending ``gene_id`` order (see :func:`gene_order`).  The mean and sd of the genes kept (the
+    HVG set) travel to the tasks, which fill blocks of ``rows`` cells from the vector of a cell without
+    entries and the cells' own entries.  ``clip_low=False`` clips the upper side only, as older library versions did.
     """
-    arr = cut_lineage(gene_mean_sd(m)).select(
-        F.array_sort(F.collect_list(F.struct("gene_id", "mean", "sd"))).alias("g")
-    ).scalar()
-    per_cell = m.expr.groupBy("cell_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("gene_id", "value"))).alias("_m")
-    )
-    # Subqueries may not sit inside a lambda: bind the bounded gene array to a column first.
-    cells = m.cells.select("cell_id").join(per_cell, "cell_id", "left").withColumn("_g", arr)
-
-    def one(s):
-        x = F.coalesce(F.element_at(F.col("_m"), s["gene_id"]), F.lit(0.0))
-        z = (x - s["mean"]) / s["sd"]
-        if max_value is not None:
-            z = F.least(z, F.lit(float(max_value)))
-            if clip_low:
-                z = F.greatest(z, F.lit(-float(max_value)))
-        return z
-
-    return cells.select("cell_id", F.transform("_g", one).alias("v"))
+    stats = gene_mean_sd(m).orderBy("gene_id").toPandas()  # one row per gene kept
+    ids, mean, sd = (stats[c].to_numpy() for c in ("gene_id", "mean", "sd"))
+
+    def clipped(z: np.ndarray) -> np.ndarray:
+        if max_value is None:
+            return z
+        return np.clip(z, -max_value if clip_low else None, max_value)
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        empty = clipped((0.0 - mean) / sd)
+        for batch in batches:
+            for at in range(0, len(batch), rows):
+                pdf = batch.iloc[at:at + rows]
+                block = np.tile(empty, (len(pdf), 1))
+                for row, genes, values in zip(block, pdf["genes"], pdf["values"]):
+                    if genes is not None:
+                        place = np.searchsorted(ids, genes)
+                        row[place] = clipped((values - mean[place]) / sd[place])
+                yield pd.DataFrame({"cell_id": pdf["cell_id"].to_numpy(), "v": list(block)})
+
+    own = m.expr.join(m.genes.select("gene_id"), "gene_id", "left_semi").groupBy("cell_id").agg(
+        F.collect_list("gene_id").alias("genes"), F.collect_list("value").alias("values"))
+    return m.cells.select("cell_id").join(own, "cell_id", "left").mapInPandas(fill, "cell_id long, v array<double>")
 
 
 def gene_order(genes: DataFrame) -> DataFrame:
