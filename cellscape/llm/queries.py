@@ -73,14 +73,15 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
-def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op6_license_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five one-line statements alone, which SQL can express."""
     templates = _literal(spark, LICENSES, ["template_id", "text"])
     return (license_scan.license_scan(table(spark, sf_dir, "documents"), templates)
             .select("doc_id", F.concat_ws(",", "licenses").alias("licenses"), "containment", "n_windows"))
 
 
-def op6_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The statements of op6_license_scan and whole license texts and headers; near variants are told apart."""
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole license texts, headers and the one-line statements; near variants are told apart."""
     templates = _literal(spark, [*LICENSES, *license_scan.shipped_templates()], ["template_id", "text"])
     return (license_scan.license_scan(table(spark, sf_dir, "documents"), templates, explained=True)
             .select("doc_id", F.concat_ws(",", "licenses").alias("licenses"), "containment", "n_windows"))
@@ -165,7 +166,7 @@ QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op5_kd_shards": op5_kd_shards,
     "op6_license_scan": op6_license_scan,
-    "op6_license_templates": op6_license_templates,
+    "op6_license_statements": op6_license_statements,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
@@ -216,7 +217,7 @@ l AS MATERIALIZED (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b
 r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT node, b FROM r JOIN l ON seen = a)
 SELECT node AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(seen) AS component_id
 FROM r LEFT JOIN n ON node = n.doc_id GROUP BY node""",
-    "op6_license_scan": rf"""
+    "op6_license_statements": rf"""
 WITH t(template_id, text) AS (VALUES {_values(LICENSES)}),
 tw AS (SELECT template_id, {_WORDS.format('text')} AS w FROM t),
 ts AS (SELECT template_id, power(2, ceil(log2(len(w))))::BIGINT AS stride,
