@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscape.session import Scratch
-
-#: A key with more than one part in so many of the rows is hot; so there are never more hot keys than this.
+#: A key with more than one part in so many of the rows is hot; so there are never as many hot keys as this.
 PARTS = 1000
 
 
-def join_hot(many: DataFrame, one: DataFrame, key: str, scratch: Scratch, name: str, rows: int) -> DataFrame:
-    """``many`` joined (inner) with ``one``, which has one row per ``key``.
+def hot_keys(many: DataFrame, key: str, rows: int) -> list:
+    """The keys that hold more than ``rows / PARTS`` of the ``rows`` rows of ``many``: fewer than PARTS values."""
+    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > rows / PARTS)
+    return [r[0] for r in counts.select(key).collect() if r[0] is not None]
+
 
-    ``rows`` is the number of rows of ``many``.  Keys that hold more than ``rows / PARTS`` of
-    them are counted out first; as they are fewer than PARTS, their rows of ``one`` are broadcast and
-    the hot rows stay where they are.  All other keys, each at most one part in PARTS, are
-    shuffled.  Null keys join nothing.
-    """
-    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where((F.col("_c") > rows / PARTS) & F.col(key).isNotNull())
-    hot = scratch.put(f"{name}-hot", one.join(F.broadcast(counts.select(key)), key, "left_semi"))
-    if hot.isEmpty():
+def join_split(many: DataFrame, one: DataFrame, key: str, hot: list) -> DataFrame:
+    """``many`` joined (inner) with ``one``, which has one row per ``key``: the rows of ``one`` for the ``hot`` keys are broadcast
+    and the hot rows stay where they are; all others are shuffled.  Null keys join nothing."""
+    if not hot:
         return many.join(one, key)
-    keys = F.broadcast(hot.select(F.col(key).alias("_hot")))
-    cold = many.join(keys, F.col(key) == F.col("_hot"), "left_anti").join(one, key)
-    return many.join(F.broadcast(hot), key).unionByName(cold)
+    is_hot = F.col(key).isin(hot)
+    return (many.where(is_hot).join(F.broadcast(one.where(is_hot)), key)
+            .unionByName(many.where(~is_hot).join(one.where(~is_hot), key)))
+
+
+def join_hot(many: DataFrame, one: DataFrame, key: str, rows: int) -> DataFrame:
+    """``join_split`` with the hot keys counted out first."""
+    return join_split(many, one, key, hot_keys(many, key, rows))

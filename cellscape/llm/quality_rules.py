@@ -145,8 +145,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", doc_id: s
         "lang", F.array(*(F.col(f"c{i}") / all_chars for i in range(n_classes))).alias("class_shares"))
     references = scratch.put("references", totals.select("lang").join(shares, "lang", "left").join(common, "lang", "left"))
 
-    judged = join_hot(passed.select("_row", "lang", "word_chars", "classes", "n_words", "words"), references, "lang",
-                      scratch, "judged", base.count())
+    judged = join_hot(passed.select("_row", "lang", "word_chars", "classes", "n_words", "words"), references, "lang", base.count())
     judged = judged.withColumn("bins", F.sort_array(_bins("words", "buckets"))).withColumn("starts", F.filter(
         F.transform("bins", lambda b, i: F.when((i == 0) | (b != F.get("bins", i - 1)), i)), lambda i: i.isNotNull()))
     judged = judged.withColumn("counted", _counted("bins", "starts"))

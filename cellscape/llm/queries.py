@@ -125,11 +125,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def damaged_words(docs: DataFrame, min_length: int = 5, min_count: int = 3) -> DataFrame:
     """(word, n): the runs of letters with the contract's damage, that are long and frequent enough.  A null id counts as empty."""
-    found = spelling.runs(docs)
-    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
+    named = docs.select("text", F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":")).alias("doc_id"))
+    # Damage only shortens a run, so those that are too short already need no look at it.
+    found = spelling.runs(named, min_length=min_length).withColumn("h", F.crc32(F.concat("doc_id", "run").cast("binary")))
     at = (F.col("h") % F.length("run")).cast("int")
     cut = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
-    return (found.withColumn("h", h).select(F.when(F.col("h") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return (found.select(F.when(F.col("h") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))
             .where(F.length("word") >= min_length).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count))
 
 

@@ -56,7 +56,7 @@ def _metadata(docs: DataFrame, dims: list[str], text: str, doc_id: str, scratch:
     # The id is the last dimension; the smallest one leads the struct.
     order = [f"d{i}" for i in (len(dims), *range(1, len(dims)))]
     first = base.groupBy("same").agg(F.min(F.struct(*order)).alias("d")).select("same", "d.*")
-    rows = join_hot(own, scratch.put("first", first), "same", scratch, "grouped", number).drop("same")
+    rows = join_hot(own, scratch.put("first", first), "same", number).drop("same")
     for i, d in enumerate(dims, 1):
         if isinstance(docs.schema[d].dataType, T.NumericType):
             value = F.coalesce(F.nanvl(F.col(f"d{i}").cast("double"), F.lit(0.0)), F.lit(0.0))
@@ -64,7 +64,7 @@ def _metadata(docs: DataFrame, dims: list[str], text: str, doc_id: str, scratch:
             continue
         rows = scratch.put(f"rows-{i}", rows.withColumn("value", F.coalesce(F.col(f"d{i}").cast("string"), F.lit(""))).drop(f"d{i}"))
         ranks = _ranks(rows.select("value").distinct(), scratch, f"ranks-{i}").withColumnRenamed("rank", f"x{i}")
-        rows = join_hot(rows, ranks, "value", scratch, f"ranked-{i}", number).drop("value")
+        rows = join_hot(rows, ranks, "value", number).drop("value")
     return rows
 
 

@@ -15,10 +15,10 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from cellscape.llm.hot import join_hot
+from cellscape.llm.hot import PARTS, join_hot, join_split
 from cellscape.llm.text import lower_ascii
 from cellscape.session import Scratch
 
@@ -28,10 +28,12 @@ NON_RUN = "[^A-Za-zÀ-ÿ]+"
 END = "."
 
 
-def runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, run): every maximal run of letters, A-Z lower-cased; null texts have none."""
-    return (docs.select(F.col(doc_id).alias("doc_id"), F.explode(F.split(lower_ascii(F.col(text)), NON_RUN)).alias("run"))
-            .where("run <> ''"))
+def runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_length: int = 1) -> DataFrame:
+    """(doc_id, run): every maximal run of at least ``min_length`` letters, A-Z lower-cased; null texts have none."""
+    every = docs.select(F.col(doc_id).alias("doc_id"), F.explode(F.split(F.col(text), NON_RUN)).alias("run"))
+    # Most runs have no capital letter at all, which ``lower`` tells at less cost than replacing character by character.
+    return every.where(F.length("run") >= min_length).select(
+        "doc_id", F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(lower_ascii(F.col("run"))).alias("run"))
 
 
 def _cut(text: Column, start: Column, length: Column) -> Column:
@@ -48,7 +50,7 @@ def _edge_table(words: DataFrame, scratch: Scratch) -> DataFrame:
         F.substring(F.col("word"), d + 1, F.lit(1)).alias("next")))).alias("p")).select("word", "p.*"))
     branching = prefixes.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("b")).where("a <> b").select("node")
     branching = scratch.put("branching", branching)
-    on_path = join_hot(prefixes.select("word", "depth", "node"), branching, "node", scratch, "path", prefixes.count())
+    on_path = join_hot(prefixes.select("word", "depth", "node"), branching, "node", prefixes.count())
     step = F.struct(F.col("depth"), F.col("node"))
     ends = F.array(F.struct(F.lit(0).alias("depth"), F.xxhash64(F.lit("")).alias("node")),
                    F.struct(length.alias("depth"), F.xxhash64("word").alias("node")))
@@ -98,38 +100,41 @@ def near_words(words: DataFrame, scratch: Scratch) -> DataFrame:
     trie = _edge_table(words, scratch)
     edge = trie.select("node", F.explode("edges").alias("e")).select("node", "e.*")
     by_first = scratch.put("by-first", edge.select(F.xxhash64("node", F.substring("label", 1, 1)).alias("key"), "label", "child", "ends", "after"))
+    trie = trie.withColumnRenamed("node", "key")
     word, pos, n = F.col("word"), F.col("pos"), F.length("label")
     same = F.substring(word, pos + 1, n) == F.col("label")
     first, own = F.substring("label", 1, 1), F.substring(word, pos + 1, F.lit(1))
     replaced = (first > own) & (F.substring(word, pos + 2, n - 1) == F.substring(F.col("label"), F.lit(2), n))
     skipped = (first != own) & (F.substring(word, pos + 2, n) == F.col("label"))
     follow = F.when(first == own, same).otherwise(replaced), pos + n, F.when(first == own, 0).otherwise(1)
-    step = scratch.put("frontier-0", words.select("word", F.lit(0).alias("pos"), F.xxhash64(F.lit("")).alias("node"), F.lit(0).alias("edits"),
-                                                  F.lit(None).cast("string").alias("near"), F.lit(None).cast("long").alias("key")))
-    found, level = None, 0
-    while True:
-        live = step.where("pos < length(word)")
-        counts = live.groupBy("edits").count().collect()  # at most two rows
-        if not counts:
-            break
-        rows = {r.edits: r["count"] for r in counts}
-        level += 1
+    start = words.select("word", F.lit(0).alias("pos"), F.xxhash64(F.lit("")).alias("key"), F.lit(0).alias("edits"),
+                         F.lit(None).cast("string").alias("near"))
+    fresh_n, edited_n, frontiers = words.count(), 0, [scratch.put("frontier-0", start)]
+    while fresh_n or edited_n:
+        live = frontiers[-1].where(pos < F.length(word))
+        # Few states in a level make few hot keys of either kind.
+        share = F.when(F.col("edits") == 0, fresh_n).otherwise(edited_n) / PARTS
+        hot = {0: [], 1: []}
+        for r in live.groupBy("edits", "key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > share).collect():
+            hot[r.edits].append(r.key)
         parts = []
-        if 0 in rows:  # every edge of the node
-            at = join_hot(live.where("edits = 0").select("word", "pos", "node"), trie, "node", scratch, f"fresh-{level}", rows[0])
+        if fresh_n:  # every edge of the node
+            at = join_split(live.where("edits = 0").select("word", "pos", "key"), trie, "key", hot[0])
             at = at.select("word", "pos", F.explode("edges").alias("e")).select("word", "pos", "e.*")
+            at = at.where((first >= own) | (first == F.substring(word, pos + 2, F.lit(1)))).where(
+                (first == own) | (replaced & F.contains("after", _going(word, pos + n))) | (skipped & F.contains("after", _going(word, pos + n + 1))))
             parts.append(at.select("word", F.inline(_states(word, [follow, (skipped, pos + n + 1, F.lit(1))]))))
-        if 1 in rows:  # the one edge that goes on with the word's next character
-            at = join_hot(live.where("edits = 1").select("word", "pos", "key"), by_first, "key", scratch, f"edited-{level}", rows[1])
+        if edited_n:  # the one edge that goes on with the word's next character
+            at = join_split(live.where("edits = 1").select("word", "pos", "key"), by_first, "key", hot[1])
             parts.append(at.select("word", F.inline(_states(word, [(same, pos + n, F.lit(1))]))))
-        moved = functools.reduce(DataFrame.unionByName, parts).where("alive").withColumn(
-            "key", F.when(F.col("edits") == 1, F.xxhash64("node", F.substring(word, pos + 1, F.lit(1))))).drop("alive")
-        step = scratch.put(f"frontier-{level}", moved)
-        pairs = scratch.put(f"pairs-{level}", step.where("near is not null").select("word", F.col("near").alias("other")))
-        scratch.drop(f"frontier-{level - 1}")
-        found = pairs if found is None else found.unionByName(pairs)
-    if found is None:
-        return words.select("word", F.col("word").alias("other")).limit(0)
+        moved = functools.reduce(DataFrame.unionByName, parts).where("alive")
+        key = F.when(F.col("edits") == 0, F.col("node")).otherwise(F.xxhash64("node", F.substring(word, pos + 1, F.lit(1))))
+        seen, going = Observation(), pos < F.length(word)
+        moved = moved.select("word", "pos", key.alias("key"), "edits", "near").observe(
+            seen, F.count_if(going & (F.col("edits") == 0)).alias("fresh"), F.count_if(going & (F.col("edits") == 1)).alias("edited"))
+        frontiers.append(scratch.put(f"frontier-{len(frontiers)}", moved))
+        fresh_n, edited_n = seen.get["fresh"], seen.get["edited"]
+    found = functools.reduce(DataFrame.unionByName, (f.where("near is not null").select("word", F.col("near").alias("other")) for f in frontiers))
     exact = found.where(F.levenshtein("word", "other") == 1).distinct()
     return scratch.put("near", exact.unionByName(exact.select(F.col("other").alias("word"), F.col("word").alias("other"))))
 
@@ -157,7 +162,7 @@ def variants(words: DataFrame) -> DataFrame:
     roots = scratch.put("roots-0", roots)
     while True:
         links = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = join_hot(roots, links, "root", scratch, f"jump-{round_}", roots.count()).select("word", F.col("next").alias("root"))
+        moved = join_hot(roots, links, "root", roots.count()).select("word", F.col("next").alias("root"))
         moved = scratch.put(f"moved-{round_}", moved)
         if moved.isEmpty():
             break
