@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellscape.functions.windows import count_below_by_value
 from cellscape.matrix import CountMatrix
+from cellscape.session import cut_lineage
 
 
 def gene_set_overlap(genes: DataFrame, gene_sets: dict[str, list[str]], name_col: str = "gene_name") -> DataFrame:
@@ -36,9 +38,10 @@ def gene_set_score(m: CountMatrix, gene_list: list[str], ctrl_size: int = 50, n_
     ).select("gene_id", "name", (F.coalesce("s", F.lit(0.0)) / n).alias("avg"))
     g = avg.select(F.count(F.lit(1))).scalar()
     n_items = F.bround(g / F.lit(float(n_bins - 1)), 0)
-    # Genes are bounded in number: one ordered window over the gene table.
-    ranked = avg.withColumn("rk", F.rank().over(Window.orderBy("avg"))).withColumn(
-        "bin", F.floor(F.col("rk") / n_items))
+    avg = cut_lineage(avg)
+    values = avg.groupBy("avg").agg(F.count(F.lit(1)).alias("c")).withColumn("all", F.lit(1))
+    ranks = count_below_by_value(values, "all", "avg", "c").select("avg", (F.col("below") + 1).alias("rk"))
+    ranked = cut_lineage(avg.join(ranks, "avg").withColumn("bin", F.floor(F.col("rk") / n_items)))
     lst = spark.createDataFrame([(x,) for x in gene_list], "name string")
     in_list = ranked.join(lst, "name", "left_semi")
     bins = in_list.select("bin").distinct()
