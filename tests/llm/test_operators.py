@@ -68,6 +68,20 @@ def test_url_rules(spark):
     assert {r.verdict for r in url_filter.url_verdicts(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_url_rules_of_the_query(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cellscape.llm import queries as llm_queries
+
+    pages = {"https://example.org/en/12": ("example.org/en/1", "block"), "http://a.example.org/en/1": ("example.org/en/1", "block"),
+             "http://example.org/en/2": ("org/", "allow"), "http://example.org/es/": ("example.org/es/", "block"),
+             "http://x.org/en/1": ("org/", "allow"), "http://x.com/fr/1": ("com/fr/", "allow"), "http://x.com/de/1": ("com/de/", "block")}
+    spark.createDataFrame(list(pages), "string").withColumnRenamed("value", "url").withColumn("page_id", F.col("url")).write.parquet(
+        str(tmp_path / "pages.parquet"))
+    got = llm_queries.op1_url_filter(spark, str(tmp_path)).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in got} == pages
+
+
 # --- 2 ---------------------------------------------------------------------------------------------
 
 def test_exact_groups(spark):
