@@ -51,3 +51,44 @@ def test_kmeans_cost_never_rises_and_labels_nearest(spark):
     assert all(np.argmin(d[i]) == lab[i] for i in range(len(X)))
     ine = {r.k: r.inertia for r in inertia.collect()}
     assert ine[3] < ine[2]
+
+
+def test_pairs_by_products_equal_differences():
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(300, 8))
+    X[:40] = X[0]  # copies
+    X[40:80] = X[40] + 1e-7 * rng.normal(size=(40, 8))  # far below what a product of the vectors resolves
+    Y = np.concatenate([X[::3], rng.normal(size=(50, 8))]) + 0.0
+    for shift in (0.0, 1e4):
+        left, right = X + shift, Y + shift
+        want = np.sqrt(((left[:, None] - right[None]) ** 2).sum(-1))
+        pairs = NB.Pairs(left, right)
+        got = np.concatenate([d for _, d in pairs.strips()])
+        assert np.allclose(got, want, rtol=1e-11, atol=1e-13)
+        assert (got[want == 0] == 0).all()
+        i, j, dist = pairs.nearest(7, 1e9)
+        order = np.argsort(np.rint(want * 1e9) / 1e9, axis=1, kind="stable")[:, :7]
+        assert (j.reshape(300, 7) == order).all() and (i == np.repeat(np.arange(300), 7)).all()
+        assert np.allclose(dist.reshape(300, 7), np.take_along_axis(want, order, axis=1), rtol=0, atol=1e-9)
+    bad = X.copy()
+    bad[3, 2] = np.nan
+    got = np.concatenate([d for _, d in NB.Pairs(bad, Y).strips()])
+    assert np.isnan(got[3]).all() and np.isfinite(np.delete(got, 3, axis=0)).all()
+
+
+def test_blocks_grow_with_the_cells():
+    # Copies of a cell, one for every block, grew with the cells: 352 at 720,000.
+    assert [NB.n_blocks(n) for n in (1, 2000, 20_000, 120_000, 720_000)] == [1, 1, 10, 16, 22]
+
+
+def test_strips_of_a_tile(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(90, 4))
+    monkeypatch.setattr(NB, "STRIP_CELLS", 100)
+    vec = _vec(spark, X)
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    labels = spark.createDataFrame([(i, "a", i % 3) for i in range(90)] + [(i, "b", i % 2) for i in range(60)],
+                                   "cell_id long, cluster_key string, cluster int")
+    for r in NB.cluster_distance_sums(vec, labels, block_size=32).collect():
+        mine = [j for j in range(90 if r.cluster_key == "a" else 60) if j % (3 if r.cluster_key == "a" else 2) == r.cluster and j != r.cell_id]
+        assert r.cnt == len(mine) and abs(r.dsum - D[r.cell_id, mine].sum()) < 1e-9
