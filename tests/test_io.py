@@ -81,3 +81,22 @@ def test_a_plain_copy_is_read_once_and_bad_numbers_are_errors(spark, tmp_path):
         IO.read_counts_csv(spark, str(tmp_path / "bad.csv")).expr.collect()
     with pytest.raises(ValueError, match="no matrix reader"):
         IO.load_counts(spark, "counts.h5ad")
+
+
+def test_wide_csv_lines_are_made_and_read_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    m = matrix(spark, [(c, (c * 37) % 500, c + 0.5) for c in range(60)], 60, 500, names=[str(g) for g in range(500)])
+    m = m.with_cells(m.cells.selectExpr("cell_id", "concat('cell', cell_id) AS cell_name"))
+    monkeypatch.setattr(IO, "_TEXT_BYTES", 5000)
+    path = IO.write_counts_csv(m, str(tmp_path / "m.csv"), codec="lz4")
+    back = IO.read_counts_csv(spark, path)
+    assert triples(back) == triples(m) and back.cells.count() == 60 and back.genes.count() == 500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+    text = "\n".join(["   ", ",1, b ,0.0,d", "", "x ,0,0.0,0.00,", " y,-0.0, 7,,1e2,9"])
+    (tmp_path / "w.csv").write_text(text)
+    back = IO.read_counts_csv(spark, str(tmp_path / "w.csv"))
+    assert [(r.gene_id, r.gene_name) for r in back.genes.orderBy("gene_id").collect()] == [(0, "1"), (1, "b"), (2, "0.0"), (3, "d")]
+    assert [(r.cell_id, r.cell_name) for r in back.cells.orderBy("cell_id").collect()] == [(1, "x"), (2, "y")]
+    assert sorted((r.cell_id, r.gene_id, r.value) for r in back.expr.collect()) == [(2, 1, 7.0), (2, 3, 100.0), (2, 4, 9.0)]
+    parse = IO._filled_fields(",")
+    batch = IO.pa.RecordBatch.from_pydict({"line": ["c,0.0,2,0,", "c"], "file": ["f", "f"], "start": [0, 0], "at": [0, 1]})
+    assert next(parse(iter([batch]))).to_pydict()["places"] == [[1], []]
