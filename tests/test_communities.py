@@ -49,6 +49,27 @@ def connected(edges, members):
 
 @pytest.mark.parametrize("refine", [True, False])
 def test_communities_at_a_fixed_point(spark, refine):
+    check_fixed_point(spark, refine)
+
+
+@pytest.mark.parametrize("refine, large", [(True, 1 << 20), (True, 60), (False, 60)])
+def test_communities_from_many_groups(spark, monkeypatch, refine, large):
+    monkeypatch.setattr(GR, "GROUP_EDGES", 700)
+    monkeypatch.setattr(GR, "LARGE_COMMUNITY", large)
+    check_fixed_point(spark, refine)
+
+
+def test_few_rounds_to_the_fixed_point(spark, monkeypatch):
+    rounds = []
+    put = GR.Scratch.put
+    monkeypatch.setattr(GR.Scratch, "put", lambda self, name, *a: rounds.append(name) or put(self, name, *a))
+    _, edges = planted(120, 4, 3)
+    found = GR.community_sweep(spark.createDataFrame(edges, "src long, dst long, w double"), [1.0], True)
+    assert found.count() == 120
+    assert sum(name.startswith("moves-") for name in rounds) <= 20 and not any(name.startswith("chances-") for name in rounds)
+
+
+def check_fixed_point(spark, refine):
     group, edges = planted()
     table = spark.createDataFrame(edges, "src long, dst long, w double")
     cells = spark.createDataFrame([(i,) for i in range(223)], "cell_id long")  # three without edges
