@@ -106,3 +106,46 @@ def test_kmeans_step_holds_all_configurations_at_once(spark, monkeypatch):
             mine = D.argmin(1) == cl
             n, sse, total = stats[(c, cl)]
             assert n == mine.sum() and np.isclose(sse, D[mine].min(1).sum()) and np.allclose(total, X[mine].sum(0))
+
+
+def test_a_tile_takes_every_distance_once(spark, monkeypatch):
+    # The product of two blocks was computed for each direction, and every row was partitioned at its full width.
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(120, 5))
+    X[60:70] = X[:10]  # copies, where the product cancels
+    X[70] = 1e6  # far out: its norm must not hide that others cancel
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    seen = np.zeros(D.shape, dtype=int)
+    monkeypatch.setattr(NB, "STRIP_CELLS", 400)
+    for at, to, d in NB.Pairs(X, X).squares():
+        assert d.shape[0] <= 20 and d.shape[1] <= 20
+        seen[at, to] += 1
+        assert np.allclose(d, D[at, to], rtol=1e-9, atol=1e-9)
+    assert (seen == 1).all()
+    monkeypatch.setattr(NB, "GROUPS", 4)
+    for m in (1, 3, 40, 120):
+        i, j, dist = NB.Pairs(X, X).nearest(m, 1e9)
+        order = np.argsort(np.rint(D * 1e9) / 1e9, axis=1, kind="stable")[:, :m]
+        assert (j.reshape(120, m) == order).all()
+    for r in NB.distance_summary(_vec(spark, X), block_size=32).collect():
+        assert r.n_others == 119 and np.isclose(r.mean_distance, D[r.cell_id].sum() / 119) and np.isclose(r.max_distance, D[r.cell_id].max())
+
+
+def test_searches_return_few_candidates(spark):
+    # 70 cells in blocks of 16: 5 blocks of rows, each against 2 blocks of others, so at most 2 x k candidates for a cell (5 x k before).
+    X = np.random.default_rng(12).normal(size=(70, 5))
+    tiles = NB.search_blocks(_vec(spark, X), lambda a, b, pairs: a[["cell_id"]].assign(n=len(b)), "cell_id long, n long", (), 70, 16)
+    per = {r.cell_id: (r["count(1)"], r.n) for r in tiles.groupBy("cell_id").agg(NB.F.count(NB.F.lit(1)), NB.F.sum("n").alias("n")).collect()}
+    assert len(per) == 70 and set(per.values()) == {(2, 70)}
+
+
+def test_cheapest_partner_against_all_pairs():
+    rng = np.random.default_rng(13)
+    X, Y = rng.normal(size=(90, 4)) + 1e3, rng.normal(size=(70, 4)) + 1e3
+    Y[10:20] = X[10:20]
+    n, m = rng.integers(1, 9, 90).astype(float), rng.integers(1, 2000, 70).astype(float)
+    skip = (np.arange(0, 20), np.arange(0, 20))
+    cost = n[:, None] * m / (n[:, None] + m) * ((X[:, None] - Y[None]) ** 2).sum(-1)
+    cost[skip] = np.inf
+    i, j, c = NB.Pairs(X, Y).cheapest(n, m, skip)
+    assert (i == np.arange(90)).all() and (j == cost.argmin(1)).all() and np.allclose(c, cost.min(1))
