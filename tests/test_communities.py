@@ -148,6 +148,33 @@ def test_ward_with_equal_cells(spark):
     assert all(r.cluster == r.cell_id // 4 for r in out.collect())
 
 
+def test_ward_searches_only_where_something_merged(spark, monkeypatch):
+    # Every round searched all clusters again, and copies merged one pair a round.
+    searched = []
+
+    def search(vec, kernel, schema, cols, n_cells, block_size, searching):
+        searched.append((n_cells, vec.where(searching).count()))
+        return NB.search_blocks(vec, kernel, schema, cols, n_cells, block_size, searching)
+
+    monkeypatch.setattr(WD, "search_blocks", search)
+    rng = np.random.default_rng(14)
+    X = rng.normal(size=(70, 3))
+    X[50:] = X[3]  # 21 copies
+    vec = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "cell_id long, v array<double>")
+    tree = WD.ward_tree(vec, 16).collect()
+    assert searched[0] == (50, 50) and sum(few for _, few in searched) < 0.85 * sum(n for n, _ in searched)
+    assert sorted(r.cost for r in tree) == pytest.approx(sorted(m[2] for m in greedy_ward(X)), abs=1e-9)
+    zero = [r for r in tree if r.right >= 50]
+    assert len(tree) == 69 and all(r.left == 3 and r.round == 0 and r.n == r.right - 48 for r in zero) and len(zero) == 20
+    assert len({r.right for r in tree}) == 69 and max(r.n for r in tree) == 70
+    assert all(r.height >= r.cost for r in tree)
+    labels = WD.cut_tree(spark.createDataFrame(tree), vec.select("cell_id"), [4])
+    mine = {r.cell_id: r.cluster for r in labels.collect()}
+    want = greedy_labels(70, sorted(greedy_ward(X), key=lambda m: m[2]), 4)
+    first = {c: i for i, c in enumerate(sorted(set(want)))}
+    assert mine == {i: first[c] for i, c in enumerate(want)}
+
+
 def test_approximate_neighbours_reach_their_recall(spark):
     X = np.random.default_rng(5).normal(size=(1500, 30))  # no structure: the hardest case
     vec = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "cell_id long, v array<double>")
