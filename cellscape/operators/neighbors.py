@@ -408,14 +408,45 @@ def knn_of_sample(vec: DataFrame, k: int, size: int) -> DataFrame:
     return _nearest_of(vec.select("cell_id", "v").mapInPandas(search, _CANDIDATES), k)
 
 
+def _groups_of_lists(centres: np.ndarray, n_groups: int) -> np.ndarray:
+    """A group for every list: lists that follow each other along the centres' widest direction, equally many a group."""
+    centred = centres - centres.mean(axis=0)
+    along = centred @ np.linalg.eigh(centred.T @ centred)[1][:, -1]
+    groups = np.empty(len(centres), dtype=np.int32)
+    groups[np.argsort(along, kind="stable")] = np.arange(len(centres)) * min(n_groups, len(centres)) // len(centres)
+    return groups
+
+
+def _lists_nearest(lp: pd.DataFrame, rp: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest rows of ``rp`` for every row of ``lp``, among those in one of its lists; ties to the smaller id."""
+    if lp.empty or rp.empty:
+        return pd.DataFrame({"src": [], "dst": [], "dist": []})
+    rp = rp.sort_values("cell_id", kind="stable")
+    left, right, ids, far_ids = _matrix(lp), _matrix(rp), lp["cell_id"].to_numpy(), rp["cell_id"].to_numpy()
+    rows, wanted = np.repeat(np.arange(len(lp)), lp["lists"].map(len)), np.concatenate(lp["lists"].to_numpy())
+    home = np.concatenate(rp["lists"].to_numpy())
+    found = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))]
+    for number in np.intersect1d(wanted, home):
+        here, there = rows[wanted == number], np.flatnonzero(home == number)
+        i, j, dist = Pairs(left[here], right[there]).nearest(k, 1e9)
+        found.append((here[i], there[j], dist))
+    i, j, dist = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((j, dist, i))
+    i, j, dist = i[order], j[order], dist[order]
+    near = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return pd.DataFrame({"src": ids[i[near]], "dst": far_ids[j[near]], "dist": dist[near]})
+
+
 def knn_approx(vec: DataFrame, k: int = 15, recall: float = 0.95, sample: int = 500, n_lists: int | None = None,
-               n_probe: int = 8, chunk_rows: int = DEFAULT_BLOCK, seed: int = 42) -> DataFrame:
+               n_probe: int = 8, chunk_rows: int | None = None, seed: int = 42) -> DataFrame:
     """Approximate kNN by an inverted file, with as many probes as a wanted ``recall`` needs.
 
     Lists come from MLlib k-means (``n_lists`` ~ sqrt(N)); every cell searches the residents of its nearest lists.  The
     probes start at ``n_probe`` and are doubled, searching the new lists only, until the recall on ``sample`` exactly
-    searched cells reaches the target; with all lists probed the search is exact.  Residents and visitors of a list are cut
-    into hash chunks of about ``chunk_rows``, so a crowded list is spread over many tasks.
+    searched cells reaches the target; with all lists probed the search is exact.  A cell visits a group of lists once, with the
+    numbers of those that it probes, so its copies are bounded by the groups and not by the probes.  Residents and visitors
+    of a group are cut into hash chunks of about ``chunk_rows`` (by default a block of the exact search), so a crowded
+    group is spread over many tasks.
     Returns knn(src, dst, rank, dist).
     """
     from pyspark.ml.clustering import KMeans
@@ -430,36 +461,43 @@ def knn_approx(vec: DataFrame, k: int = 15, recall: float = 0.95, sample: int =
         centres = np.array(model.clusterCenters())
     else:
         centres = np.zeros((1, len(vec.first().v) if n else 1))
+    n_groups = n_blocks(n)
+    chunk_rows = chunk_rows or max(1, math.ceil(n / n_groups))
+    groups = _groups_of_lists(centres, n_groups)
 
     def visits(low: int, high: int) -> DataFrame:
-        """(cell_id, v, list, nearness) for the lists that are the low-th to high-th nearest of a cell."""
+        """(cell_id, v, group, lists) for the lists that are the low-th to high-th nearest of a cell, a row for each of their groups."""
         def near(batches):
             for pdf in batches:
                 if len(pdf):
                     d = np.concatenate([d for _, d in Pairs(_matrix(pdf), centres).strips()])
-                    yield pdf.assign(lists=list(np.argsort(d, axis=1, kind="stable")[:, low:high].astype(np.int32)))
-        near_lists = vec.mapInPandas(near, "cell_id long, v array<double>, lists array<int>")
-        return near_lists.select("cell_id", "v", F.explode("lists").alias("list"))
+                    lists = np.argsort(d, axis=1, kind="stable")[:, low:high].astype(np.int32)
+                    lists = np.take_along_axis(lists, np.argsort(groups[lists], axis=1, kind="stable"), axis=1)
+                    row, group = np.repeat(np.arange(len(pdf)), lists.shape[1]), groups[lists].ravel()
+                    first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(group, prepend=-1) != 0))
+                    yield pd.DataFrame({"cell_id": pdf["cell_id"].to_numpy()[row[first]], "v": pdf["v"].to_numpy()[row[first]],
+                                        "group": group[first], "lists": np.array([*np.split(lists.ravel(), first[1:]), None], dtype=object)[:-1]})
+        return vec.mapInPandas(near, "cell_id long, v array<double>, group int, lists array<int>")
 
     home = scratch.put("home", visits(0, 1))
 
     def chunked(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        sizes = rows.groupBy("list").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows))).alias(f"{name}s"))
-        return rows.join(sizes, "list").withColumn(name, F.pmod(F.xxhash64("cell_id", F.lit(name)), F.col(f"{name}s"))).drop(f"{name}s"), sizes
+        sizes = rows.groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows))).alias(f"{name}s"))
+        sizes = scratch.put(f"sizes-{name}", sizes)
+        return rows.join(F.broadcast(sizes), "group").withColumn(name, F.pmod(F.xxhash64("cell_id", F.lit(name)), F.col(f"{name}s"))).drop(f"{name}s"), sizes
 
     residents, resident_chunks = chunked(home, "r")
     known = scratch.put("sample", knn_of_sample(vec, k, sample))
     found, low, high = None, 0, min(n_probe, len(centres))
     while True:
-        visitors, visitor_chunks = chunked(scratch.put(f"visits-{high}", visits(low, high)), "l")
-        left = visitors.join(resident_chunks, "list").withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rs") - 1)))
-        right = residents.join(visitor_chunks, "list").withColumn("l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ls") - 1)))
-        cand = left.groupBy("list", "l", "r").cogroup(right.groupBy("list", "l", "r")).applyInPandas(
-            lambda lp, rp: _block_nearest(lp, rp, k), _CANDIDATES)
+        visitors, visitor_chunks = chunked(visits(low, high), "l")
+        left = visitors.join(F.broadcast(resident_chunks), "group").withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rs") - 1)))
+        right = residents.join(F.broadcast(visitor_chunks), "group").withColumn("l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ls") - 1)))
+        cand = left.groupBy("group", "l", "r").cogroup(right.groupBy("group", "l", "r")).applyInPandas(
+            lambda lp, rp: _lists_nearest(lp, rp, k), _CANDIDATES)
         if found is not None:
             cand = cand.unionByName(found.drop("rank"))
         found = scratch.put(f"found-{high}", _nearest_of(cand, k))
-        scratch.drop(f"visits-{high}")
         reached = knn_recall(found, known).first().recall
         if high >= len(centres) or reached is None or reached >= recall:
             return found

@@ -193,3 +193,22 @@ def test_distance_summary(spark):
     D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
     for r in NB.distance_summary(vec, block_size=16).collect():
         assert r.n_others == 49 and np.isclose(r.mean_distance, D[r.cell_id].sum() / 49) and np.isclose(r.max_distance, D[r.cell_id].max())
+
+
+def test_a_cell_visits_a_group_of_lists_once(spark):
+    # A cell's vector was copied for every list that it probes.
+    X = np.random.default_rng(15).normal(size=(40, 6))
+    centres = X[:12]
+    groups = NB._groups_of_lists(centres, 3)
+    assert sorted(np.bincount(groups)) == [4, 4, 4]
+    import pandas as pd
+    home = ((X[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+    residents = pd.DataFrame({"cell_id": np.arange(40), "v": list(X), "lists": [np.array([h]) for h in home]})
+    probes = [np.array([1, 4, 7])] * 40
+    got = NB._lists_nearest(residents.assign(lists=probes), residents, 3)
+    inside = np.flatnonzero(np.isin(home, (1, 4, 7)))
+    D = np.sqrt(((X[:, None] - X[None, inside]) ** 2).sum(-1))
+    assert (got["dst"].to_numpy().reshape(40, 3) == inside[np.argsort(np.rint(D * 1e9), axis=1, kind="stable")[:, :3]]).all()
+    vec = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "cell_id long, v array<double>")
+    found = NB.knn_approx(vec, 4, recall=1.0, n_lists=12, n_probe=2, chunk_rows=7)  # all lists in the end: exact
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, NB.knn_exact(vec, 4).collect()))
