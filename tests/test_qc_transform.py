@@ -115,3 +115,23 @@ def test_hvg_single_gene_bin_gets_z_one(spark):
     m = T.log1p_transform(matrix(spark, dense_to_triples(X.tolist()), 4, 6))
     h = {r.gene_id: r for r in T.hvg_dispersion(m, n_top_genes=2).collect()}
     assert h[5].mean_bin == 20 and abs(h[5].dispersions_norm - 1.0) < 1e-9
+
+
+def test_regress_out_reads_its_entries_from_one_written_table(spark, tmp_path):
+    # Every reader of the matrix derived it from lineitem again.
+    from cellscape.plans import registry as R
+
+    names = [*R.S_LIST, *R.G2M_LIST, "other a", "other b"]
+    tables = {
+        "customer": ([(i, "m") for i in range(12)], "c_custkey long, c_mktsegment string"),
+        "part": (list(enumerate(names)), "p_partkey long, p_name string"),
+        "orders": ([(i, i % 12) for i in range(60)], "o_orderkey long, o_custkey long"),
+        "lineitem": ([(i, (i * 7 + j) % len(names), float(j + 1)) for i in range(60) for j in range(4)], "l_orderkey long, l_partkey long, l_quantity double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    m = R.f2(spark, str(tmp_path))
+    assert any("lineitem" in f for f in m.expr.inputFiles())
+    sub, _ = R.f2_preprocessed(spark, str(tmp_path))
+    assert not any("lineitem" in f for f in sub.expr.inputFiles())
+    assert sorted(map(tuple, R.f2_written(spark, str(tmp_path)).expr.collect())) == sorted(map(tuple, m.expr.collect()))
