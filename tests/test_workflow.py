@@ -73,3 +73,29 @@ def test_logistic_regression_markers(planted):
         best[r.cluster].append((r.score, r.gene_id))
     for g in range(GROUPS):
         assert {i for _, i in sorted(best[f"g{g}"])[-2:]} == {2 * g, 2 * g + 1}
+
+
+def test_marker_report_covers_the_whole_matrix(spark, tmp_path):
+    # Customers with more than 40 part names, fewer than 20, and all but 20 names were left out.
+    from cellscape.plans import registry as R
+
+    rng = np.random.default_rng(5)
+    names = [f"{'red' if p in (1, 4) else 'blue'} thing {p}" for p in range(1, 49)]
+    rows = {"customer": [(c, f"s{c % 2}") for c in range(1, 42)],  # 41 bought nothing
+            "part": [(p, n) for p, n in enumerate(names, 1)],
+            "orders": [(100 + c, c) for c in range(1, 41)],
+            "lineitem": [(100 + c, p, float(rng.integers(1, 4) + 45 * (p % 4 == c % 2 + 2))) for c in range(1, 41)
+                         for p in range(1, (49 if c > 4 else 13))]}
+    schemas = {"customer": "c_custkey long, c_mktsegment string", "part": "p_partkey long, p_name string",
+               "orders": "o_orderkey long, o_custkey long", "lineitem": "l_orderkey long, l_partkey long, l_quantity double"}
+    for name, schema in schemas.items():
+        spark.createDataFrame(rows[name], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    raw, vec = R.report_matrix(spark, str(tmp_path))
+    assert sorted(r.cell_id for r in vec.collect()) == list(range(1, 41))
+    assert {len(r.v) for r in vec.collect()} == {48} and raw.expr.select("gene_id").distinct().count() == 48
+    assert raw.expr.count() == len(rows["lineitem"])
+    found = collections.defaultdict(set)
+    for r in R.QUERIES["marker_report"](spark, str(tmp_path)).collect():
+        found[r.cluster].add(r.gene)
+    high = [{names[p - 1] for p in range(1, 49) if p % 4 == g} for g in (2, 3)]
+    assert len(found) >= 2 and all(any(len(genes & h) >= 8 for genes in found.values()) for h in high)
