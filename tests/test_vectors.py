@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from cellscape.operators import kmeans as KM
 from cellscape.operators import neighbors as NB
@@ -94,6 +95,31 @@ def test_strips_of_a_tile(spark, monkeypatch):
         assert r.cnt == len(mine) and abs(r.dsum - D[r.cell_id, mine].sum()) < 1e-9
 
 
+@pytest.mark.parametrize("block", [16, 2048])
+def test_finished_means_leave_a_task(spark, block):
+    # A row for every cell, cluster and tile left the tasks.
+    rng = np.random.default_rng(21)
+    X = rng.normal(size=(150, 4))
+    X[140:] = X[:10]  # copies
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    label = {"many": np.arange(150) % 50, "few": np.arange(150) % 3 - 1, "alone": np.minimum(np.arange(150), 1)}
+    rows = [(i, key, int(c)) for key, of in label.items() for i, c in enumerate(of) if key != "few" or i >= 5]  # five have none
+    rows = [(i, key, None if (i, key) == (9, "many") else c) for i, key, c in rows]  # and one is missing
+    labels = spark.createDataFrame(rows, "cell_id long, cluster_key string, cluster int")
+    got = NB.cluster_distance_means(_vec(spark, X), labels, block_size=block).collect()
+    assert len(got) == len(rows) == len({(r.cell_id, r.cluster_key) for r in got})
+    of = {(i, key): c for i, key, c in rows}
+    for r in got:
+        mean = {}
+        for c in set(label[r.cluster_key].tolist()):
+            mates = [j for j in range(150) if of.get((j, r.cluster_key)) == c and j != r.cell_id]
+            if mates:
+                mean[c] = (len(mates), D[r.cell_id, mates].mean())
+        n, a = mean.pop(of[r.cell_id, r.cluster_key], (0, None))
+        assert r.n_own == n and (r.a is None if a is None else abs(r.a - a) < 1e-9)
+        assert abs(r.b - min(m for _, m in mean.values())) < 1e-9
+
+
 def test_kmeans_step_holds_all_configurations_at_once(spark, monkeypatch):
     X = np.random.default_rng(8).normal(size=(70, 3))
     centres = {c: X[5 * c:5 * c + k].tolist() for c, k in enumerate((2, 3, 7))}
